@@ -61,7 +61,7 @@ SPAN = "SELECT min(value) AS lo, max(value) AS hi, avg(value) AS mean, stddev_sa
 
 def _box(source: str, by: str | None) -> str:
     key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
-    return f"""WITH q AS (SELECT {key}count(value) AS n, min(value) AS mn, {quantile('value', .25)} AS q1,
+    return f"""{DIRTY}, q AS (SELECT {key}count(value) AS n, min(value) AS mn, {quantile('value', .25)} AS q1,
         {quantile('value', .5)} AS md, {quantile('value', .75)} AS q3, max(value) AS mx FROM {source} {group})
         SELECT {f"q.{by}, " if by else ""}any_value(n) AS n, {r('any_value(mn)')} AS min, {r('any_value(q1)')} AS q1,
         {r('any_value(md)')} AS median, {r('any_value(q3)')} AS q3, {r('any_value(mx)')} AS max,
@@ -80,8 +80,8 @@ SQL = {
         SELECT i AS bin, {r('lo + i * w')} AS lower, {r('lo + (i + 1) * w')} AS upper, {r('mean')} AS mean,
                {r('median')} AS median, coalesce(k, 0) AS "count"
         FROM w, range(0, 30) t(i) LEFT JOIN c ON c.bin = i WHERE i < bins""",
-    "box_stats": f"{DIRTY} {_box('dirty', None)}",
-    "box_stats_by": f"{DIRTY} {_box('dirty', 'event_type')}",
+    "box_stats": _box('dirty', None),
+    "box_stats_by": _box('dirty', 'event_type'),
     "ecdf": f"""SELECT {r('l_extendedprice', 8)} AS value, count(*) AS "count",
         {r('sum(count(*)) OVER (ORDER BY l_extendedprice) / sum(count(*)) OVER ()', 8)} AS share
         FROM lineitem GROUP BY l_extendedprice""",

@@ -111,7 +111,8 @@ SQL = {
     "clip_outliers": f"""{DIRTY}, v AS ({bounds_sql(['value'], 'dirty')})
         SELECT event_id, {r(clamp('value', 'v'))} AS value, whole_float, constant FROM dirty, v""",
     "winsorize": f"""WITH q AS ({bounds_sql(['quality'], 'labels')}), t AS ({bounds_sql(['toxic'], 'labels')})
-        SELECT doc_id, {r(clamp('quality', 'q'))} AS quality, {r(clamp('toxic', 't'))} AS toxic FROM labels, q, t""",
+        SELECT doc_id, CAST({clamp('quality', 'q')} AS INTEGER) AS quality, CAST({clamp('toxic', 't')} AS INTEGER) AS toxic
+        FROM labels, q, t""",    # no flag lies beyond its bounds, so the columns stay integers
     "outlier_handler": f"""WITH b AS ({bounds_sql(['n_chars'], 'documents')})
         SELECT doc_id, {r(clamp('n_chars', 'b'))} AS n_chars FROM documents, b""",
     "outlier_report": f"{DIRTY} SELECT * REPLACE ({', '.join(f'{r(c)} AS {c}' for c in REPORT_DOUBLES)}) "

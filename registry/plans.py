@@ -11,6 +11,7 @@ from winnow.plans import cleaning, reports
 from winnow.plans.batch import batch_job
 from winnow.plans.config import Config, preset
 from winnow.session import scratch_path
+from winnow.sources.sinks import MOMENT
 
 CFG = Config(order_by="event_id")
 
@@ -50,10 +51,9 @@ def batch(spark, sf):
     source, output = scratch_path(spark, "batch-in") + ".parquet", scratch_path(spark, "batch-out")
     _raw(spark, sf).write.parquet(source)
     batch_job(spark, source, output, CFG)
-    return rounded(spark.read.csv(f"{output}/data", header=True, schema=(
+    return rounded(spark.read.options(header=True, timestampNTZFormat=MOMENT).schema(
         "event_id bigint, ts timestamp_ntz, event_type string, value double, amount_text string, "
-        "ts_text timestamp_ntz, whole_float smallint, constant int"),
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        "ts_text timestamp_ntz, whole_float smallint, constant int").csv(f"{output}/data"))
 
 
 QUERIES = {f.__name__: f for f in (full_clean, step_clean, run_full_report, run_summary, quality_cards)}

@@ -55,7 +55,7 @@ def sample_table(spark, sf):
 def sink_csv(spark, sf):
     df, path = table(spark, sf, "lineitem"), scratch_path(spark, "sink")
     sinks.write_csv(df, path)
-    return spark.read.csv(path, header=True, schema=df.schema, timestampNTZFormat=sinks.MOMENT)
+    return spark.read.options(header=True, timestampNTZFormat=sinks.MOMENT).schema(df.schema).csv(path)
 
 
 def sink_report(spark, sf):
@@ -85,8 +85,9 @@ def _masked(name: str, expr: str) -> str:
 
 def _poisson() -> str:
     """k is the number of cumulative probabilities at or below u."""
-    steps = "list_transform(range(0, 30), k -> list_sum(list_transform(range(0, k + 1), j -> exp(-5) * pow(5, j) / gamma(j + 1))))"
-    return f"len(list_filter({steps}, p -> p <= {_u('visits')}))"
+    steps = ("list_transform(range(0, 30), lambda k: list_sum(list_transform(range(0, k + 1), "
+             "lambda j: exp(-5) * pow(5, j) / gamma(j + 1))))")
+    return f"len(list_filter({steps}, lambda p: p <= {_u('visits')}))"
 
 
 PLANTED = "(floor(id * 20 / n) <> floor((id - 1) * 20 / n))"

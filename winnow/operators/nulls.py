@@ -15,7 +15,7 @@ from winnow.functions.columns import (
 from winnow.functions.numbers import half_even, share_pct
 from winnow.functions.reshape import aggregate_rows
 from winnow.operators.frequency import mode_values
-from winnow.operators.quantiles import summarize
+from winnow.operators.quantiles import Stats, summarize
 
 NULL_SCHEMA = "total_rows bigint, null_count bigint"
 # Fills when a column holds no value to count.
@@ -146,16 +146,20 @@ def fill(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
     return df.select(*out)
 
 
+def _fillable(s: Stats) -> bool:
+    return s.count > 0 and s.nulls > 0
+
+
 def mean_fills(df: DataFrame, cols: Iterable[str] | None = None) -> dict[str, float]:
     names = numeric_columns(df, cols)
     stats, _ = summarize(df, {c: present(df, c) for c in names})
-    return {c: s.mean for c, s in stats.items() if s.mean is not None}
+    return {c: s.mean for c, s in stats.items() if _fillable(s)}
 
 
 def median_fills(df: DataFrame, cols: Iterable[str] | None = None) -> dict[str, float]:
     names = numeric_columns(df, cols)
-    stats, _ = summarize(df, {c: present(df, c) for c in names}, (0.5,))
-    return {c: s.quantiles[0.5] for c, s in stats.items() if s.count}
+    stats, _ = summarize(df, {c: present(df, c) for c in names}, (0.5,), needed=_fillable)
+    return {c: s.quantiles[0.5] for c, s in stats.items() if _fillable(s)}
 
 
 def mode_fills(df: DataFrame, cols: Iterable[str]) -> dict[str, object]:
@@ -177,8 +181,8 @@ def datetime_fills(df: DataFrame, cols: Iterable[str] | None = None, how: str =
     temporal = columns_of(df, "datetime")
     names = temporal if cols is None else [c for c in cols if c in temporal]
     probs = (0.5,) if how == "median" else ()
-    stats, _ = summarize(df, {c: micros(df, c) for c in names}, probs)
-    return {c: moment_fill(s, how) for c, s in stats.items() if s.count}
+    stats, _ = summarize(df, {c: micros(df, c) for c in names}, probs, needed=_fillable)
+    return {c: moment_fill(s, how) for c, s in stats.items() if _fillable(s)}
 
 
 def moment_fill(stats, how: str) -> int:

@@ -272,8 +272,8 @@ def dataset_summary(df: DataFrame, order_by: str | None = None, samples: int = 1
           for k in ("numeric", "categorical", "datetime", "boolean")],
         (F.lit("total_nulls"), F.col("total_nulls").cast("string")),
         (F.lit("columns_with_nulls"), F.size(F.filter("nulls", lambda x: x > 0)).cast("string")),
-        (F.lit("null_pct"), F.format_number(F.coalesce(share_pct(
-            F.col("total_nulls"), F.col("rows") * F.lit(len(names))), F.lit(0.0)), "0.00")),
+        (F.lit("null_pct"), F.call_function("format_number", F.coalesce(share_pct(
+            F.col("total_nulls"), F.col("rows") * F.lit(len(names))), F.lit(0.0)), F.lit("0.00"))),
         *[(F.lit(f"sample:{c}"), F.coalesce(F.col(f"s{i}"), F.lit("NaN"))) for i, c in enumerate(first)],
     ]
     return one.select(F.stack(F.lit(len(cells)), *[x for pair in cells for x in pair]).alias("metric", "value"))
