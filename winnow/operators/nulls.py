@@ -233,15 +233,35 @@ class NullFit:
 NUMERIC_STRATEGIES = ("mean", "median", "most_frequent")
 
 
+@dataclass(frozen=True)
+class Measured:
+    """Statistics of the numeric and temporal columns and value counts of the rest."""
+
+    rows: int
+    stats: dict[str, Stats]
+    counts: dict[str, int]
+
+
+def measure(df: DataFrame, probs: Sequence[float] = (), needed=lambda s: True) -> Measured:
+    """Nulls of every column and the distribution of those that have one, in one scan
+    (two with exact quantiles). Fits that look at the same table can share it."""
+    numeric, moments = columns_of(df, "numeric"), columns_of(df, "datetime")
+    values = {c: present(df, c) for c in numeric} | {c: micros(df, c) for c in moments}
+    rest = {c: present(df, c) for c in df.columns if c not in values}
+    stats, counts = summarize(df, values, probs, counts=rest, needed=needed)
+    return Measured(counts.pop(""), stats, counts)
+
+
 def fit_nulls(
     df: DataFrame, threshold: float = 0.5, strategy: str = "median",
-    categorical: str = "mode", compat: bool = False,
+    categorical: str = "mode", compat: bool = False, measured: Measured | None = None,
 ) -> NullFit:
     """Columns to drop and fills for the rest.
 
     One scan counts the nulls of every column and sketches what a median may need; later
     scans touch only columns that have nulls and stay. ``compat`` keeps the older rule
-    that anything but ``mean`` fills numbers with the median.
+    that anything but ``mean`` fills numbers with the median. ``measured`` (with a median)
+    replaces the first scans.
     """
     if strategy not in NUMERIC_STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {NUMERIC_STRATEGIES}")
@@ -254,13 +274,11 @@ def fit_nulls(
     def imputed(s) -> bool:
         return s.rows > 0 and 0 < s.nulls <= threshold * s.rows
 
-    values = {c: present(df, c) for c in numeric} | {c: micros(df, c) for c in moments}
-    probs = (0.5,) if numeric_rule == "median" or moment_rule == "median" else ()
-    stats, counted = summarize(
-        df, values, probs, counts={c: present(df, c) for c in rest}, needed=imputed,
-    )
-    rows = counted.pop("")
-    nulls = {c: stats[c].nulls if c in stats else rows - counted[c] for c in df.columns}
+    if measured is None:
+        probs = (0.5,) if numeric_rule == "median" or moment_rule == "median" else ()
+        measured = measure(df, probs, imputed)
+    rows, stats = measured.rows, measured.stats
+    nulls = {c: stats[c].nulls if c in stats else rows - measured.counts[c] for c in df.columns}
     dropped = [c for c in df.columns if rows and nulls[c] / rows > threshold]
     todo = [c for c in df.columns if nulls[c] and c not in dropped]
 
@@ -282,9 +300,10 @@ def fit_nulls(
     return NullFit(rows, nulls, dropped, fills)
 
 
-def null_report(df: DataFrame, threshold: float = 0.5, strategy: str = "median") -> DataFrame:
+def null_report(df: DataFrame, threshold: float = 0.5, strategy: str = "median",
+                measured: Measured | None = None) -> DataFrame:
     """Per column: nulls, percentage, whether it would be dropped, and its fill."""
-    fitted = fit_nulls(df, threshold, strategy)
+    fitted = fit_nulls(df, threshold, strategy, measured=measured)
     kinds = {f.name: kind(f.dataType) for f in df.schema}
     rows = []
     for c in df.columns:

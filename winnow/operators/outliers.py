@@ -17,6 +17,7 @@ from winnow.operators.quantiles import Stats, summarize
 # each side when that range is zero.
 IQR_FACTOR = 1.5
 STD_FACTOR = 3.0
+QUARTILES = (0.25, 0.75)
 CLIP_METHODS = ("iqr", "remove", "winsorize")
 
 
@@ -42,7 +43,12 @@ def fit_bounds(df: DataFrame, cols: Iterable[str] | None = None, factor: float =
     names = numeric_columns(df, cols)
     if not names:
         return {}
-    stats, _ = summarize(df, {c: present(df, c) for c in names}, (0.25, 0.75), exact=exact)
+    stats, _ = summarize(df, {c: present(df, c) for c in names}, QUARTILES, exact=exact)
+    return bounds_from(stats, factor)
+
+
+def bounds_from(stats: Mapping[str, Stats], factor: float = IQR_FACTOR) -> dict[str, dict]:
+    """Bounds from statistics that already hold the quartiles."""
     found = {c: bounds_of(s, factor) for c, s in stats.items()}
     return {c: b for c, b in found.items() if b}
 

@@ -20,7 +20,7 @@ from winnow.functions.columns import col
 
 SLOTS = 64            # groups for the first merge of partial results
 SKETCH_K = 2000       # KLL size: rank error about 0.2 %, 50 kB a column
-GRID = 512            # ranks read from a sketch, evenly spaced
+GRID = 256            # ranks read from a sketch, evenly spaced
 BRACKET = 0.004       # margin around a wanted rank, as a share of the rows sketched
 MAX_BRACKET_ROWS = 4_000_000   # larger brackets are sketched again before values are counted
 SPLITS = 2048         # value ranges for prefix sums over a whole column
@@ -71,18 +71,31 @@ class _Target:
         return grid[max(0, low)], grid[min(GRID, high)]
 
 
-def _grid(sketch: str, n: str) -> Column:
+def _even_ranks(parts: int) -> str:
+    """0, 1/parts, ... 1 as a constant array, without an expression per rank."""
+    return f"cast(split('{','.join(str(i / parts) for i in range(parts + 1))}', ',') as array<double>)"
+
+
+def _grid(sketch: str, n: str, parts: int = GRID) -> str:
     """Values at evenly spaced ranks of a sketch; null when it is empty."""
-    return F.when(F.col(n) > 0, F.kll_sketch_get_quantile_double(sketch, _even_ranks(GRID)))
+    return f"CASE WHEN {n} > 0 THEN kll_sketch_get_quantile_double({sketch}, {_even_ranks(parts)}) END"
+
+
+def _merge_sketches(sketch: str, n: str) -> str:
+    return f"kll_merge_agg_double(CASE WHEN {n} > 0 THEN {sketch} END)"
 
 
-def _even_ranks(parts: int) -> Column:
-    """0, 1/parts, ... 1 as one constant array (one expression, not one call per rank)."""
-    return F.expr("array(" + ",".join(f"{i / parts!r}D" for i in range(parts + 1)) + ")")
+def _number(x: float) -> str:
+    return f"{x!r}D" if math.isfinite(x) else f"double('{x}')"
 
 
-def _slot() -> Column:
-    return (F.spark_partition_id() % F.lit(SLOTS)).alias("slot")
+def _by_slot(df: DataFrame, columns: Sequence[Column], inner: Sequence[str], outer: Sequence[str]) -> DataFrame:
+    """Aggregate in two steps: by slot, then over the slots. Expressions are computed once."""
+    slot = (F.spark_partition_id() % F.lit(SLOTS)).alias("slot")
+    return (
+        df.select(slot, *columns).groupBy("slot").agg(*[F.expr(e) for e in inner])
+        .agg(*[F.expr(e) for e in outer])
+    )
 
 
 def _merge_moments(parts: Sequence) -> tuple[float | None, float | None]:
@@ -116,31 +129,26 @@ def summarize(
     """
     counts = dict(counts or {})
     names = list(values)
-    doubles = {name: values[name].cast("double") for name in names}
-    inner = [F.count(F.lit(1)).alias("rows")]
-    outer = [F.sum("rows").alias("rows")]
-    for j, c in enumerate(counts.values()):
-        inner.append(F.count(c).alias(f"c{j}"))
-        outer.append(F.sum(f"c{j}").alias(f"c{j}"))
-    for i, name in enumerate(names):
-        x = doubles[name]
-        inner += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-        part = F.struct(
-            F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"), F.col(f"v{i}").alias("var")
-        )
-        outer += [F.sum(f"n{i}").alias(f"n{i}"), F.collect_list(part).alias(f"p{i}")]
+    doubles = {name: values[name].cast("double").alias(f"v{i}") for i, name in enumerate(names)}
+    flags = [c.isNotNull().alias(f"c{j}") for j, c in enumerate(counts.values())]
+    inner, outer, plain = ["count(1) rows"], ["sum(rows) rows"], ["rows"]
+    for j in range(len(flags)):
+        inner.append(f"count_if(c{j}) c{j}")
+        outer.append(f"sum(c{j}) c{j}")
+        plain.append(f"c{j}")
+    for i in range(len(names)):
+        inner += [f"count(v{i}) n{i}", f"avg(v{i}) m{i}", f"var_pop(v{i}) v{i}"]
+        outer += [f"sum(n{i}) n{i}", f"collect_list(struct(n{i} AS n, m{i} AS mean, v{i} AS var)) p{i}"]
+        plain += [f"n{i}", f"p{i}"]
         if probs:    # a sketch keeps the exact extremes
-            inner.append(F.kll_sketch_agg_double(x, F.lit(SKETCH_K)).alias(f"k{i}"))
-            outer.append(
-                F.kll_merge_agg_double(F.when(F.col(f"n{i}") > 0, F.col(f"k{i}"))).alias(f"k{i}")
-            )
+            inner.append(f"kll_sketch_agg_double(v{i}, {SKETCH_K}) k{i}")
+            outer.append(f"{_merge_sketches(f'k{i}', f'n{i}')} k{i}")
+            plain.append(f"{_grid(f'k{i}', f'n{i}')} q{i}")
         else:
-            inner += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-            outer += [F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}")]
-    merged = df.groupBy(_slot()).agg(*inner).agg(*outer)
-    plain = [F.col(c) for c in merged.columns if not c.startswith("k")]
-    grids = [_grid(f"k{i}", f"n{i}").alias(f"q{i}") for i in range(len(names) if probs else 0)]
-    row = merged.select(*plain, *grids).first()
+            inner += [f"min(v{i}) lo{i}", f"max(v{i}) hi{i}"]
+            outer += [f"min(lo{i}) lo{i}", f"max(hi{i}) hi{i}"]
+            plain += [f"lo{i}", f"hi{i}"]
+    row = _by_slot(df, [*doubles.values(), *flags], inner, outer).selectExpr(*plain).first()
 
     rows = row["rows"] or 0
     out: dict[str, Stats] = {}
@@ -190,29 +198,22 @@ def _resolve(df, doubles, targets: list[_Target], out: dict[str, Stats]) -> None
 
 def _narrow(df, doubles, targets: list[_Target], out: dict[str, Stats]) -> None:
     """Sketch the rows inside each bracket and shrink it around the wanted ranks."""
-    inner, outer = [], []
+    columns, inner, outer, picks = [], [], [], []
     for i, t in enumerate(targets):
-        x = doubles[t.name]
-        inside = F.when((x >= F.lit(t.lo)) & (x <= F.lit(t.hi)), x)
-        inner += [
-            F.count(F.when(x < F.lit(t.lo), x)).alias(f"b{i}"), F.count(inside).alias(f"n{i}"),
-            F.kll_sketch_agg_double(inside, F.lit(SKETCH_K)).alias(f"k{i}"),
-        ]
-        outer += [
-            F.sum(f"b{i}").alias(f"b{i}"), F.sum(f"n{i}").alias(f"n{i}"),
-            F.kll_merge_agg_double(F.when(F.col(f"n{i}") > 0, F.col(f"k{i}"))).alias(f"k{i}"),
-        ]
-    merged = df.groupBy(_slot()).agg(*inner).agg(*outer)
-    picks = [
-        c for i in range(len(targets))
-        for c in (F.col(f"b{i}"), F.col(f"n{i}"), _grid(f"k{i}", f"n{i}").alias(f"q{i}"))
-    ]
-    row = merged.select(*picks).first()
+        columns.append(doubles[t.name].alias(f"v{i}"))
+        lo, hi = _number(t.lo), _number(t.hi)
+        inside = f"CASE WHEN v{i} >= {lo} AND v{i} <= {hi} THEN v{i} END"
+        inner += [f"count_if(v{i} < {lo}) b{i}", f"count({inside}) n{i}",
+                  f"kll_sketch_agg_double({inside}, {SKETCH_K}) k{i}"]
+        outer += [f"sum(b{i}) b{i}", f"sum(n{i}) n{i}", f"{_merge_sketches(f'k{i}', f'n{i}')} k{i}"]
+        picks += [f"b{i}", f"n{i}", f"{_grid(f'k{i}', f'n{i}')} q{i}"]
+    row = _by_slot(df, columns, inner, outer).selectExpr(*picks).first()
     for i, t in enumerate(targets):
         below, inside = row[f"b{i}"], row[f"n{i}"]
         if not (below <= t.low_rank and t.high_rank < below + inside):
             t.widen(out[t.name])
             continue
+        t.width = BRACKET
         narrowed = t.bracket(row[f"q{i}"], t.low_rank - below, inside)
         # no narrower by rank means that a few values with many copies are all that is left
         t.sketched = 0 if narrowed == (t.lo, t.hi) else inside
@@ -239,18 +240,19 @@ def _select(df, doubles, targets: list[_Target]) -> list[tuple[float | None, flo
     names = list(dict.fromkeys(t.name for t in targets))
     cells, ranks = [], []
     for i, name in enumerate(names):
-        x = doubles[name]
         mine = [t for t in targets if t.name == name]
-        zone, value = F.when(F.lit(False), F.lit(0)), F.when(F.lit(False), x)
+        zone, value = "CASE", "CASE"
         for z, (lo, hi) in enumerate(_zones([(t.lo, t.hi) for t in mine])):
-            zone = zone.when(x < F.lit(lo), F.lit(2 * z)).when(x <= F.lit(hi), F.lit(2 * z + 1))
-            value = value.when(x < F.lit(lo), F.lit(None)).when(x <= F.lit(hi), x)
-        cells += [F.lit(i), zone, value]
+            below, upto = f"WHEN v{i} < {_number(lo)}", f"WHEN v{i} <= {_number(hi)}"
+            zone += f" {below} THEN {2 * z} {upto} THEN {2 * z + 1}"
+            value += f" {below} THEN NULL {upto} THEN v{i}"
+        cells += [str(i), f"{zone} END", f"{value} END"]
         ranks.append(sorted({r for t in mine for r in (t.low_rank, t.high_rank)}))
     in_order = Window.partitionBy("item").orderBy("zone", "value")
     wanted = "array(" + ",".join(f"array({','.join(f'{r}L' for r in rs)})" for rs in ranks) + ")"
     hits = (
-        df.select(F.stack(F.lit(len(names)), *cells).alias("item", "zone", "value"))
+        df.select(*[doubles[name].alias(f"v{i}") for i, name in enumerate(names)])
+        .selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS (item, zone, value)")
         .filter("zone is not null")
         .groupBy("item", "zone", "value").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -267,16 +269,11 @@ def _select(df, doubles, targets: list[_Target]) -> list[tuple[float | None, flo
 
 def value_splits(df: DataFrame, value: Column, parts: int = SPLITS) -> list[float]:
     """At most ``parts`` increasing values that cut the rows into even shares."""
-    sketched = df.groupBy(_slot()).agg(
-        F.count(value).alias("n"),
-        F.kll_sketch_agg_double(value.cast("double"), F.lit(SKETCH_K)).alias("k"),
-    ).agg(
-        F.sum("n").alias("n"),
-        F.kll_merge_agg_double(F.when(F.col("n") > 0, F.col("k"))).alias("k"),
-    )
-    row = sketched.select(
-        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("k", _even_ranks(parts))).alias("q")
-    ).first()
+    row = _by_slot(
+        df, [value.cast("double").alias("v")],
+        ["count(v) n", f"kll_sketch_agg_double(v, {SKETCH_K}) k"],
+        ["sum(n) n", f"{_merge_sketches('k', 'n')} k"],
+    ).selectExpr(f"{_grid('k', 'n', parts)} q").first()
     return sorted(set(row["q"] or []))
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from winnow.functions.columns import numeric_columns
 from winnow.functions.numbers import half_even, share_pct
 from winnow.operators import nulls, outliers, profile, types
 from winnow.plans.config import Config
@@ -49,18 +50,24 @@ class Run:
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def quality_reports(df: DataFrame, cfg: Config, stage: str) -> dict[str, DataFrame]:
+def quality_reports(df: DataFrame, cfg: Config, stage: str, fit: types.TypeFit | None = None) -> dict[str, DataFrame]:
     """Schema, missing-value and outlier reports of one table, labelled with its stage.
 
-    The missing-value report states median fills whatever the strategy of the run.
+    One measurement of the table serves both the fills and the bounds. The missing-value
+    report states median fills whatever the strategy of the run. ``fit`` is the type fit
+    of this very table where there is one already.
     """
     label = F.lit(stage).alias("stage")
-    fit = types.fit_types(df, cfg.numerical, cfg.categorical, cfg.dates, dict(cfg.date_formats),
-                          cfg.exact_dates, cfg.single_floats, cfg.max_categories, cfg.order_by)
+    fit = fit or types.fit_types(
+        df, cfg.numerical, cfg.categorical, cfg.dates, dict(cfg.date_formats),
+        cfg.exact_dates, cfg.single_floats, cfg.max_categories, cfg.order_by)
+    measured = nulls.measure(df, (0.25, 0.5, 0.75))
+    numeric = {c: s for c, s in measured.stats.items() if c in numeric_columns(df)}
+    bounds = outliers.bounds_from(numeric, cfg.outlier_factor)
     return {
         "schema": types.schema_report(df, fit).select(label, "*"),
-        "missing_values": nulls.null_report(df, cfg.drop_threshold).select(label, "*"),
-        "outliers": outliers.outlier_report(df, factor=cfg.outlier_factor).select(label, "*"),
+        "missing_values": nulls.null_report(df, cfg.drop_threshold, measured=measured).select(label, "*"),
+        "outliers": outliers.outlier_report(df, bounds).select(label, "*"),
     }
 
 
@@ -86,7 +93,8 @@ def run_full(df: DataFrame, cfg: Config | None = None) -> Run:
     """Clean the table and report on it as it came in. A failure raises."""
     cfg = cfg or Config()
     cleaned, model = clean(df, cfg)
-    reports = {"final": final_report(df, cleaned, cfg), **quality_reports(df, cfg, "raw")}
+    fit = model.stages[0].fit_result
+    reports = {"final": final_report(df, cleaned, cfg), **quality_reports(df, cfg, "raw", fit)}
     return Run(cleaned, model, cfg, reports)
 
 
