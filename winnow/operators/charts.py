@@ -128,7 +128,9 @@ def sorted_series(df: DataFrame, name: str, points: int = 1000) -> DataFrame:
     steps = F.least(F.lit(points).cast("bigint"), F.col("total")) - 1
     last = F.col("total") - 1
     # position j stands for rank floor(j * last / steps)
-    first_j = F.when(steps > 0, F.ceil((F.col("upto") - F.col("n")) * steps / last)).otherwise(F.lit(0))
+    below = F.col("upto") - F.col("n")
+    # a single position belongs to the smallest value: for the others the run is empty
+    first_j = F.when(steps > 0, F.ceil(below * steps / last)).otherwise(F.least(below, F.lit(1)))
     last_j = F.when(steps > 0, F.ceil(F.col("upto") * steps / last) - 1).otherwise(F.lit(0))
     rank = F.when(steps > 0, F.floor(F.col("position") * last / steps)).otherwise(F.lit(0))
     return (

@@ -106,19 +106,21 @@ def column_statistics(df: DataFrame, name: str) -> DataFrame:
 def correlation(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Pearson matrix in long form ``(x, y, r)`` over the rows where both are present.
 
-    Every pair in one pass. A constant side gives null.
+    Every pair in one pass. A constant side gives null; it is told by its extremes, since
+    variances merged from partitions are not exactly zero.
     """
     names = numeric_columns(df, cols)
     values = {c: present(df, c).cast("double") for c in names}
     aggs, cells = [], []
     for i, c in enumerate(names):
-        aggs.append(F.coalesce(F.var_samp(values[c]), F.lit(0.0)).alias(f"v{i}"))
-        one = F.when(F.col(f"v{i}") > 0, F.lit(1.0))
+        aggs.append((F.min(values[c]) < F.max(values[c])).alias(f"v{i}"))
+        one = F.when(F.col(f"v{i}"), F.lit(1.0))
         cells.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), one.alias("r")))
     for (i, a), (j, b) in combinations(enumerate(names), 2):
         x, y = F.when(values[b].isNotNull(), values[a]), F.when(values[a].isNotNull(), values[b])
-        aggs.append(F.try_divide(
-            F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"r{i}_{j}"))
+        r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        aggs.append(F.when(varies, r).alias(f"r{i}_{j}"))
         for left, right in ((a, b), (b, a)):
             cells.append(F.struct(
                 F.lit(left).alias("x"), F.lit(right).alias("y"), F.col(f"r{i}_{j}").alias("r")))

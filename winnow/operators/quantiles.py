@@ -161,6 +161,8 @@ def summarize(
             lo, hi = grid[0], grid[-1]
         else:
             lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if n and lo == hi:    # merged partial means leave a trace of variance on constants
+            mean, std = lo, (0.0 if n > 1 else None)
         stats = out[name] = Stats(rows, n, lo, hi, mean, std)
         for p in probs:
             if n == 0:

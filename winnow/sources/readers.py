@@ -15,7 +15,6 @@ NA_TOKENS = [
 ]
 BOOLEANS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 FALLBACK_ENCODING = "ISO-8859-1"
-REPLACEMENT = "�"
 
 
 def normalize_na(df: DataFrame, tokens: Sequence[str] = tuple(NA_TOKENS)) -> DataFrame:
@@ -68,8 +67,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. Types are inferred unless ``schema`` is given.
 
-    Without ``encoding`` the file is read as UTF-8, and as Latin-1 when that leaves
-    replacement characters. Give both on large inputs: each saves a scan. ``multi_line``
+    Without ``encoding`` the file is read as UTF-8, or as Latin-1 when some line is not
+    valid UTF-8. Give both on large inputs: each saves a scan. ``multi_line``
     allows line breaks inside quotes, at the price of files that cannot be split.
     """
     def reader(charset: str):
@@ -78,8 +77,7 @@ def read_csv(
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
     if encoding is None:
-        raw = spark.read.text(path)
-        broken = raw.filter(F.contains("value", F.lit(REPLACEMENT))).limit(1).count()
+        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
         encoding = FALLBACK_ENCODING if broken else "UTF-8"
     if schema is not None:
         return normalize_na(reader(encoding).schema(schema).csv(path))
