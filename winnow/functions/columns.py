@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -17,9 +18,21 @@ FIXED_WIDTH = {
 }
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def double_literal(x: float) -> str:
+    return f"{float(x)!r}D" if math.isfinite(x) else f"double('{x}')"
+
+
 def col(name: str) -> Column:
     """Reference a column by its exact name, dots and all."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -60,12 +73,16 @@ def numeric_columns(df: DataFrame, cols: Iterable[str] | None = None) -> list[st
     return [c for c in wanted if c in numeric]
 
 
-def present(df: DataFrame, name: str) -> Column:
+def present_sql(df: DataFrame, name: str) -> str:
     """The column with NaN read as null: one notion of a missing value."""
-    c = col(name)
-    if isinstance(df.schema[name].dataType, FLOATING):
-        return F.when(~F.isnan(c), c)
-    return c
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, FLOATING):
+        return f"nullif({quoted(name)}, {dtype.simpleString()}('NaN'))"
+    return quoted(name)
+
+
+def present(df: DataFrame, name: str) -> Column:
+    return F.expr(present_sql(df, name))
 
 
 def as_text(df: DataFrame, name: str) -> Column:

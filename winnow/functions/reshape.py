@@ -6,27 +6,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from winnow.functions.columns import text_literal
+
 
 def aggregate_rows(
-    df: DataFrame, names: Sequence[str], metrics: Mapping[str, Mapping[str, Column]],
+    df: DataFrame, names: Sequence[str], metrics: Mapping[str, Mapping[str, Column | str]],
     schema: str, label: str = "column",
 ) -> DataFrame:
     """Compute ``metrics[name][metric]`` for all names in one pass; one output row per name.
 
-    ``schema`` lists the metric columns with their types, as in a DDL string; each metric
+    Metrics are columns or SQL expressions. ``schema`` lists the metric columns with their types, as in a DDL string; each metric
     is cast to it so the rows line up.
     """
     fields = [part.split() for part in schema.split(",")]
     if not names:
         return df.sparkSession.createDataFrame([], f"{label} string, {schema}")
-    aggs = [
-        metrics[name][metric].cast(dtype).alias(f"{i}_{metric}")
-        for i, name in enumerate(names) for metric, dtype in fields
-    ]
-    cells: list[Column] = []
+    aggs, cells = [], []
     for i, name in enumerate(names):
-        cells.append(F.lit(name))
-        cells.extend(F.col(f"{i}_{metric}") for metric, _ in fields)
-    return df.agg(*aggs).select(
-        F.stack(F.lit(len(names)), *cells).alias(label, *[metric for metric, _ in fields])
-    )
+        cells.append(text_literal(name))
+        for metric, dtype in fields:
+            value = metrics[name][metric]
+            value = F.expr(value) if isinstance(value, str) else value
+            aggs.append(value.alias(f"{metric}_{i}"))
+            cells.append(f"cast({metric}_{i} as {dtype})")
+    shown = ", ".join([label, *[metric for metric, _ in fields]])
+    return df.agg(*aggs).selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS ({shown})")

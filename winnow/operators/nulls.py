@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from winnow.functions.columns import (
-    col, columns_of, is_integral, is_temporal, kind, micros, numeric_columns, present,
+    col, columns_of, is_integral, is_temporal, kind, micros, numeric_columns, present, present_sql,
 )
 from winnow.functions.numbers import half_even, share_pct
 from winnow.functions.reshape import aggregate_rows
@@ -27,8 +27,8 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, total_rows, null_count)``, all columns in one pass."""
     names = list(cols) if cols is not None else df.columns
     return aggregate_rows(df, names, {
-        c: {"total_rows": F.count(F.lit(1)),
-            "null_count": F.count(F.lit(1)) - F.count(present(df, c))} for c in names
+        c: {"total_rows": "count(1)", "null_count": f"count(1) - count({present_sql(df, c)})"}
+        for c in names
     }, NULL_SCHEMA)
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from winnow.functions.columns import col, is_integral, numeric_columns, present
+from winnow.functions.columns import col, double_literal, is_integral, numeric_columns, present, present_sql
 from winnow.functions.numbers import half_even, share_pct
 from winnow.functions.reshape import aggregate_rows
-from winnow.operators.projection import between_all, is_outside
+from winnow.operators.projection import between_all
 from winnow.operators.quantiles import Stats, summarize
 
 # Default factor on the interquartile range, and the deviations allowed on
@@ -75,14 +75,12 @@ def iqr_bounds(df: DataFrame, cols: Iterable[str] | None = None, factor: float =
 def _clipped(df: DataFrame, name: str, b: Mapping) -> Column:
     """Clamp, keeping nulls.
 
-    An integer column stays one unless the fitted data had values beyond a fractional
-    bound; then it becomes double, as the bound itself is stored.
+    An integer column stays one unless the fitted data had values beyond a bound; then it
+    becomes double, since bounds are.
     """
     c, lower, upper = present(df, name), b["lower"], b["upper"]
     if is_integral(df.schema[name].dataType):
-        cut_low = not float(lower).is_integer() and b["min"] < lower
-        cut_high = not float(upper).is_integer() and b["max"] > upper
-        if cut_low or cut_high:
+        if b["min"] < lower or b["max"] > upper:
             c = c.cast("double")
         else:
             dtype = df.schema[name].dataType
@@ -90,10 +88,8 @@ def _clipped(df: DataFrame, name: str, b: Mapping) -> Column:
             lo, hi = max(math.ceil(lower), limits[0]), min(math.floor(upper), limits[1])
             low, high = F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)
             return F.when(c < low, low).when(c > high, high).otherwise(c)
-    else:
-        dtype = df.schema[name].dataType
-        if dtype.typeName() == "decimal":
-            c = c.cast("double")
+    elif isinstance(df.schema[name].dataType, T.DecimalType):
+        c = c.cast("double")
     low, high = F.lit(float(lower)), F.lit(float(upper))
     return F.when(c < low, low).when(c > high, high).otherwise(c)
 
@@ -139,13 +135,13 @@ def outlier_report(df: DataFrame, bounds: Mapping[str, Mapping] | None = None,
     names = [c for c in numeric_columns(df) if c in bounds]
     metrics = {}
     for c in names:
-        x, out = present(df, c), is_outside(c, bounds[c]["lower"], bounds[c]["upper"])
-        odd, usual = F.when(out, x), F.when(~out, x)
+        x = present_sql(df, c)
+        out = f"({x} < {double_literal(bounds[c]['lower'])} OR {x} > {double_literal(bounds[c]['upper'])})"
+        odd, usual = f"CASE WHEN {out} THEN {x} END", f"CASE WHEN NOT {out} THEN {x} END"
         metrics[c] = {
-            "outlier_count": F.count(odd), "outlier_min": F.min(odd), "outlier_max": F.max(odd),
-            "outlier_mean": F.avg(odd), "outlier_std": F.stddev_samp(odd.cast("double")),
-            "normal_count": F.count(usual), "normal_min": F.min(usual), "normal_max": F.max(usual),
-            "normal_mean": F.avg(usual),
+            f"{group}_{name}": f"{f}({values})"
+            for group, values in (("outlier", odd), ("normal", usual))
+            for name, f in (("count", "count"), ("min", "min"), ("max", "max"), ("mean", "avg"), ("std", "stddev_samp"))
         }
     measured = aggregate_rows(df, names, metrics, REPORT_SCHEMA).filter(
         "outlier_count + normal_count > 0"

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from winnow.functions.columns import col
+from winnow.functions.columns import col, double_literal
 
 SLOTS = 64            # groups for the first merge of partial results
 SKETCH_K = 2000       # KLL size: rank error about 0.2 %, 50 kB a column
@@ -85,10 +85,6 @@ def _merge_sketches(sketch: str, n: str) -> str:
     return f"kll_merge_agg_double(CASE WHEN {n} > 0 THEN {sketch} END)"
 
 
-def _number(x: float) -> str:
-    return f"{x!r}D" if math.isfinite(x) else f"double('{x}')"
-
-
 def _by_slot(df: DataFrame, columns: Sequence[Column], inner: Sequence[str], outer: Sequence[str]) -> DataFrame:
     """Aggregate in two steps: by slot, then over the slots. Expressions are computed once."""
     slot = (F.spark_partition_id() % F.lit(SLOTS)).alias("slot")
@@ -203,7 +199,7 @@ def _narrow(df, doubles, targets: list[_Target], out: dict[str, Stats]) -> None:
     columns, inner, outer, picks = [], [], [], []
     for i, t in enumerate(targets):
         columns.append(doubles[t.name].alias(f"v{i}"))
-        lo, hi = _number(t.lo), _number(t.hi)
+        lo, hi = double_literal(t.lo), double_literal(t.hi)
         inside = f"CASE WHEN v{i} >= {lo} AND v{i} <= {hi} THEN v{i} END"
         inner += [f"count_if(v{i} < {lo}) b{i}", f"count({inside}) n{i}",
                   f"kll_sketch_agg_double({inside}, {SKETCH_K}) k{i}"]
@@ -245,7 +241,7 @@ def _select(df, doubles, targets: list[_Target]) -> list[tuple[float | None, flo
         mine = [t for t in targets if t.name == name]
         zone, value = "CASE", "CASE"
         for z, (lo, hi) in enumerate(_zones([(t.lo, t.hi) for t in mine])):
-            below, upto = f"WHEN v{i} < {_number(lo)}", f"WHEN v{i} <= {_number(hi)}"
+            below, upto = f"WHEN v{i} < {double_literal(lo)}", f"WHEN v{i} <= {double_literal(hi)}"
             zone += f" {below} THEN {2 * z} {upto} THEN {2 * z + 1}"
             value += f" {below} THEN NULL {upto} THEN v{i}"
         cells += [str(i), f"{zone} END", f"{value} END"]
