@@ -8,7 +8,7 @@ from winnow.plans.stages import OutlierHandler
 @pytest.mark.parametrize("q1, q3, lower, upper", [
     (325, 796, -381.5, 1502.5), (1980, 1992, 1962, 2010), (3777, 5502, 1189.5, 8089.5)])
 def test_published_bounds(q1, q3, lower, upper):
-    s = Stats(10, 10, 0.0, 1e6, 500.0, 9.0, {0.25: float(q1), 0.75: float(q3)})
+    s = Stats(10, 10, 0.0, 1e6, 500.0, 9.0, 9, {0.25: float(q1), 0.75: float(q3)})
     b = outliers.bounds_of(s)
     assert (b["lower"], b["upper"], b["method"]) == (lower, upper, "iqr")
 
@@ -55,7 +55,7 @@ def test_later_values_stay_inside_integer_bounds(spark):
     model = OutlierHandler(factor=0.51).fit(base)     # bounds -0.5 and 100.5: nothing lies beyond
     late = spark.createDataFrame([(-30,), (30000,), (7,)], "x int").selectExpr("CAST(x AS SMALLINT) AS x")
     assert [r["x"] for r in model.transform(late).collect()] == [0, 100, 7]
-    assert outliers.bounds_of(Stats(1, 1, 5.0, 5.0, 5.0, None, {0.25: 5.0, 0.75: 5.0}))["method"] == "no_variation"
+    assert outliers.bounds_of(Stats(1, 1, 5.0, 5.0, 5.0, None, 1, {0.25: 5.0, 0.75: 5.0}))["method"] == "no_variation"
 
 
 def test_remove_drops_nulls_too(df):

@@ -73,12 +73,13 @@ def test_estimates_are_close_and_need_one_scan(spark):
 
 
 @pytest.mark.parametrize("splits", [None, [], [10.0], [float(i) for i in range(0, 100, 3)]])
-def test_grouped_quantiles_equal_brute_force(spark, splits):
+@pytest.mark.parametrize("few", [True, False])
+def test_grouped_quantiles_equal_brute_force(spark, splits, few):
     rng = random.Random(3)
     rows = [("hot" if i % 3 else f"g{i % 40}", float(rng.randint(0, 60))) for i in range(3000)]
     rows += [("single", 1.5), (None, 3.0), ("gone", None)]
     df = spark.createDataFrame(rows, "k string, x double")
-    got = {r["k"]: r for r in grouped_quantiles(df, "k", "x", (0.25, 0.5, 0.9), splits).collect()}
+    got = {r["k"]: r for r in grouped_quantiles(df, "k", "x", (0.25, 0.5, 0.9), splits, few).collect()}
     groups = {}
     for k, x in rows:
         if k is not None and x is not None:
@@ -90,6 +91,16 @@ def test_grouped_quantiles_equal_brute_force(spark, splits):
             assert got[k][f"q{j}"] == pytest.approx(np.quantile(xs, p))
 
 
+def test_box_stats_do_not_depend_on_the_way_of_joining(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 else f"g{i % 9}", rng.paretovariate(1)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    few = sorted(charts.box_stats_by(df, "x", "k").collect())
+    monkeypatch.setattr(charts, "FEW_GROUPS", 0)
+    assert sorted(charts.box_stats_by(df, "x", "k").collect()) == few
+    assert sum(r["outliers"] for r in few) > 0
+
+
 def test_running_counts_over_ranges(spark):
     values = shapes()["one value holds a third"]
     df = frame(spark, values)

@@ -74,6 +74,15 @@ def test_sample_takes_the_first_values(spark):
     assert types.date_parse_ratio(df, ["t"], n=None).first()["ratio"] == 0.2
 
 
+def test_sample_without_an_order(spark):
+    rows = [(None if i < 150 else "2024-01-01", "y" * 500 if i % 2 else "2024-01-01") for i in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    got = {r["column"]: tuple(r)[1:] for r in types.date_parse_ratio(df, ["a", "b"], 100).collect()}
+    assert got == {"a": (100, 100, 1.0), "b": (100, 50, 0.5)}
+    tiny = spark.createDataFrame([(None, "x")], "a string, b string")
+    assert {tuple(r)[1:3] for r in types.date_parse_ratio(tiny).collect()} == {(0, 0), (1, 0)}
+
+
 def test_lists_given_by_the_caller_win(spark):
     df = spark.createDataFrame([("12", "2024-01-01", 3)], "a string, b string, c int")
     roles = types.find_roles(df, numerical=["a"], categorical=["b"], date_cols=[])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.columns import col, present
 from winnow.operators.quantiles import (
-    grouped_quantiles, running_counts, summarize, value_splits,
+    FEW_GROUPS, group_estimate, grouped_quantiles, running_counts, summarize, value_splits,
 )
 
 # Histogram bins, whisker length, chart row limits.
@@ -24,8 +24,11 @@ def _number(df: DataFrame, name: str) -> Column:
     return present(df, name).cast("double")
 
 
-def _distinct_up_to(df: DataFrame, name: str, limit: int) -> int:
-    """min(limit, distinct values). A sketch settles wide columns without a shuffle."""
+def _distinct_up_to(df: DataFrame, name: str, seen: int, limit: int) -> int:
+    """min(limit, distinct values). ``seen`` values settle most columns without a scan, an
+    estimate settles the other wide ones, and only narrow columns are counted."""
+    if seen >= limit:
+        return limit
     x = _number(df, name)
     estimate = df.agg(F.approx_count_distinct(x, 0.05).alias("d")).first()["d"]
     if estimate > 2 * limit:
@@ -45,7 +48,7 @@ def histogram(df: DataFrame, name: str, bins: int | None = None) -> DataFrame:
     if s.count == 0:
         return spark.createDataFrame([], schema + ", count bigint")
     if bins is None:
-        bins = _distinct_up_to(df, name, MAX_BINS)
+        bins = _distinct_up_to(df, name, s.seen, MAX_BINS)
     width = (s.max - s.min) / bins if s.max > s.min else 1.0
     if s.max == s.min:
         bins = 1
@@ -86,22 +89,28 @@ def box_stats_by(df: DataFrame, name: str, by: str) -> DataFrame:
     """Box statistics per category.
 
     Quartiles come from counts by value range, so a category with a third of the rows is
-    spread over its ranges. Whiskers join the per-category fences back to the rows: Spark
-    broadcasts that table when it is small and splits skewed partitions when it is not,
-    and both sides of the aggregation fold map-side.
+    spread over its ranges. Whiskers join the per-category fences back: broadcast to the
+    rows when there are few categories, else to counts of distinct values, where a large
+    category is at most its distinct values and skewed partitions are split.
     """
-    quartiles = grouped_quantiles(df, by, name, (0.25, 0.5, 0.75)).withColumns({
+    few = group_estimate(df, by) <= FEW_GROUPS
+    quartiles = grouped_quantiles(df, by, name, (0.25, 0.5, 0.75), few_groups=few).withColumns({
         "low": F.col("q0") - WHISKER * (F.col("q2") - F.col("q0")),
         "high": F.col("q2") + WHISKER * (F.col("q2") - F.col("q0")),
     })
     rows = df.select(col(by).alias(by), _number(df, name).alias("~x")).filter("`~x` is not null")
-    x = F.col("~x")
-    return rows.join(quartiles, by).groupBy(by).agg(
+    x, copies = F.col("~x"), F.lit(1)
+    if few:
+        joined = rows.join(F.broadcast(quartiles), by)
+    else:
+        copies = F.col("~copies")
+        joined = rows.groupBy(by, "~x").agg(F.count(F.lit(1)).alias("~copies")).join(quartiles, by)
+    return joined.groupBy(by).agg(
         F.first("n").alias("n"), F.min(x).alias("min"), F.first("q0").alias("q1"),
         F.first("q1").alias("median"), F.first("q2").alias("q3"), F.max(x).alias("max"),
         F.min(F.when(x >= F.col("low"), x)).alias("whisker_low"),
         F.max(F.when(x <= F.col("high"), x)).alias("whisker_high"),
-        F.count(F.when((x < F.col("low")) | (x > F.col("high")), x)).alias("outliers"),
+        F.coalesce(F.sum(F.when((x < F.col("low")) | (x > F.col("high")), copies)), F.lit(0)).alias("outliers"),
     )
 
 

@@ -24,6 +24,7 @@ GRID = 256            # ranks read from a sketch, evenly spaced
 BRACKET = 0.004       # margin around a wanted rank, as a share of the rows sketched
 MAX_BRACKET_ROWS = 4_000_000   # larger brackets are sketched again before values are counted
 SPLITS = 2048         # value ranges for prefix sums over a whole column
+FEW_GROUPS = 100_000  # groups whose ranges (a few rows each) are broadcast
 
 
 @dataclass
@@ -36,6 +37,7 @@ class Stats:
     max: float | None
     mean: float | None
     std: float | None
+    seen: int = 0    # distinct values met in the sketch: a lower limit of the column's own
     quantiles: dict[float, float | None] = field(default_factory=dict)
 
     @property
@@ -159,7 +161,8 @@ def summarize(
             lo, hi = row[f"lo{i}"], row[f"hi{i}"]
         if n and lo == hi:    # merged partial means leave a trace of variance on constants
             mean, std = lo, (0.0 if n > 1 else None)
-        stats = out[name] = Stats(rows, n, lo, hi, mean, std)
+        seen = len(set(grid)) if probs and n else 0
+        stats = out[name] = Stats(rows, n, lo, hi, mean, std, seen)
         for p in probs:
             if n == 0:
                 stats.quantiles[p] = None
@@ -310,20 +313,32 @@ def running_counts(counted: DataFrame, splits: Sequence[float]) -> DataFrame:
     )
 
 
+def group_estimate(df: DataFrame, by: str) -> int:
+    """About how many groups there are (2 % error), to choose how to join on them."""
+    return df.agg(F.approx_count_distinct(col(by), 0.02)).first()[0]
+
+
 def grouped_quantiles(
     df: DataFrame, by: str, name: str, probs: Sequence[float], splits: Sequence[float] | None = None,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group: columns ``by``, ``n``, ``q0``, ``q1``, ...
 
     Rows are first counted by group and value range; that says in which range each wanted
     rank lies. Only those ranges are then counted value by value, so a group holding a
     third of the table is spread over its ranges and never sits in one task.
+
+    With few groups the wanted ranges are broadcast and rows outside them go before any
+    shuffle. With many, rows are folded to counts of distinct values first, so that the
+    shuffled join on (group, range) sees no copies.
     """
     x = col(name).cast("double")
     rows = df.select(col(by).alias("group"), x.alias("value")).filter(
         "`group` is not null and value is not null and not isnan(value)")
     if splits is None:
         splits = value_splits(rows, F.col("value"))
+    if few_groups is None:
+        few_groups = group_estimate(df, by) <= FEW_GROUPS
     ranged = with_range(rows, "value", splits)
 
     in_order = Window.partitionBy("group").orderBy("range")
@@ -346,15 +361,16 @@ def grouped_quantiles(
         .distinct()
     )
     places = targets.select("group", "range").distinct()
-    valued = (
-        ranged.join(places, ["group", "range"], "left_semi")
-        .groupBy("group", "range", "value").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(
-            Window.partitionBy("group", "range").orderBy("value")
-            .rowsBetween(Window.unboundedPreceding, 0)))
-    )
+    keys, n = ["group", "range", "value"], F.count(F.lit(1)).alias("n")
+    if few_groups:
+        counted = ranged.join(F.broadcast(places), ["group", "range"], "left_semi").groupBy(*keys).agg(n)
+    else:
+        counted = ranged.groupBy(*keys).agg(n).join(places, ["group", "range"], "left_semi")
+    valued = counted.withColumn("upto", F.sum("n").over(
+        Window.partitionBy("group", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    # one row per distinct value in the wanted ranges, matched on (group, range)
     hits = (
-        valued.join(targets, ["group", "range"])
+        valued.join(F.broadcast(targets) if few_groups else targets, ["group", "range"])
         .filter("local < upto and local >= upto - n")
     )
     aggs = []

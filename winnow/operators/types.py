@@ -47,8 +47,9 @@ def date_parse_ratio(
 ) -> DataFrame:
     """``(column, sampled, parsed, ratio)`` over the first ``n`` non-null values of each column.
 
-    "First" is by ``order_by``; without it any ``n`` values serve. Each branch reads one
-    column and keeps ``n`` rows per task. ``n=None`` measures the whole column in one pass.
+    "First" is by ``order_by``: each branch then reads one column and keeps ``n`` rows per
+    task. Without it any ``n`` values serve, and a few splits are read. ``n=None`` measures
+    whole columns in one pass.
     """
     names = columns_of(df, "categorical") if cols is None else list(cols)
     schema = "sampled bigint, parsed bigint"
@@ -59,13 +60,7 @@ def date_parse_ratio(
             c: {"sampled": F.count(col(c)), "parsed": F.count(dates.parse_any(col(c)))} for c in names
         }, schema)
     else:
-        def sample(c: str) -> DataFrame:
-            rows = df.filter(col(c).isNotNull())
-            if order_by is not None:
-                rows = rows.orderBy(col(order_by))
-            return rows.limit(n).select(F.lit(c).alias("column"), col(c).alias("value"))
-
-        sampled = reduce(DataFrame.unionByName, [sample(c) for c in names])
+        sampled = _any_values(df, names, n) if order_by is None else _first_values(df, names, n, order_by)
         found = sampled.groupBy("column").agg(
             F.count(F.lit(1)).alias("sampled"),
             F.count(dates.parse_any(F.col("value"))).alias("parsed"))
@@ -75,6 +70,30 @@ def date_parse_ratio(
     return counted.withColumn("ratio", F.try_divide(F.col("parsed"), F.col("sampled")))
 
 
+def _first_values(df: DataFrame, names: Sequence[str], n: int, order_by: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        df.filter(col(c).isNotNull()).orderBy(col(order_by)).limit(n)
+        .select(F.lit(c).alias("column"), col(c).alias("value")) for c in names])
+
+
+def _any_values(df: DataFrame, names: Sequence[str], n: int) -> DataFrame:
+    """At most ``n`` values of each column, fetched as a limit does: splits are read until
+    there are enough. No date is longer than 64 characters; longer text stands as empty."""
+    short = {c: F.when(F.length(col(c)) <= 64, col(c)).when(col(c).isNotNull(), F.lit("")) for c in names}
+    taken = {c: [] for c in names}
+    rows = df.select(*[short[c].alias(f"v{i}") for i, c in enumerate(names)]).limit(n).collect()
+    for row in rows:
+        for c, value in zip(names, row):
+            if value is not None:
+                taken[c].append(value)
+    for c in names:    # columns with nulls among the first rows
+        if len(taken[c]) < n and len(rows) == n:
+            more = df.filter(col(c).isNotNull()).select(short[c]).limit(n).collect()
+            taken[c] = [r[0] for r in more]
+    return df.sparkSession.createDataFrame(
+        [(c, v) for c, values in taken.items() for v in values], "column string, value string")
+
+
 @dataclass(frozen=True)
 class Roles:
     numerical: list[str] = field(default_factory=list)

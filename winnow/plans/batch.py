@@ -12,16 +12,25 @@ from pyspark.sql import SparkSession
 from winnow.plans.cleaning import Run, run_full
 from winnow.plans.config import Config, PRESETS, environment, preset
 from winnow.plans.reports import report_table
+from winnow.session import scratch_path
 from winnow.sources.readers import load
 from winnow.sources.sinks import write_csv, write_report
 
 
 def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None = None) -> Run:
-    """Write ``output/data`` (CSV) and ``output/report`` (JSON lines)."""
+    """Write ``output/data`` (CSV) and ``output/report`` (JSON lines).
+
+    Fitting scans the table several times, so a text source is first written once as
+    Parquet in the shared scratch folder; later scans read only the columns they need.
+    """
     cfg = cfg or Config()
     df = load(spark, source)
     if cfg.max_rows is not None:
         df = df.limit(cfg.max_rows)
+    if not source.rstrip("/").endswith(".parquet") or cfg.max_rows is not None:
+        staged = scratch_path(spark, "staged")
+        df.write.parquet(staged)
+        df = spark.read.parquet(staged)
     run = run_full(df, cfg)
     write_csv(run.cleaned, f"{output}/data")
     write_report(report_table(run.reports), f"{output}/report")
