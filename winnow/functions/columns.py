@@ -85,6 +85,16 @@ def present(df: DataFrame, name: str) -> Column:
     return F.expr(present_sql(df, name))
 
 
+def has_value(df: DataFrame, name: str) -> Column:
+    """True for values, false or null for nulls and NaN; a form that file readers can use.
+
+    NaN sorts above infinity, so one comparison leaves out both NaN and null.
+    """
+    if isinstance(df.schema[name].dataType, FLOATING):
+        return col(name) <= F.lit(math.inf)
+    return col(name).isNotNull()
+
+
 def as_text(df: DataFrame, name: str) -> Column:
     """A text form that is equal exactly when the values are."""
     dtype = df.schema[name].dataType

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.functions.columns import col, present
+from winnow.functions.columns import col, has_value, present
 from winnow.operators.quantiles import (
     FEW_GROUPS, group_estimate, grouped_quantiles, running_counts, summarize, value_splits,
 )
@@ -33,7 +33,7 @@ def _distinct_up_to(df: DataFrame, name: str, seen: int, limit: int) -> int:
     estimate = df.agg(F.approx_count_distinct(x, 0.05).alias("d")).first()["d"]
     if estimate > 2 * limit:
         return limit
-    return min(limit, df.filter(x.isNotNull()).select(x.alias("x")).distinct().count())
+    return min(limit, df.filter(has_value(df, name)).select(x.alias("x")).distinct().count())
 
 
 def histogram(df: DataFrame, name: str, bins: int | None = None) -> DataFrame:
@@ -55,7 +55,7 @@ def histogram(df: DataFrame, name: str, bins: int | None = None) -> DataFrame:
     edges = spark.createDataFrame(
         [(i, s.min + i * width, s.min + (i + 1) * width, s.mean, s.quantiles[0.5]) for i in range(bins)],
         schema)
-    counted = df.filter(_number(df, name).isNotNull()).groupBy(
+    counted = df.filter(has_value(df, name)).groupBy(
         _bin(_number(df, name), s.min, width, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return F.broadcast(edges).join(counted, "bin", "left").fillna(0, ["count"])
 
@@ -98,7 +98,7 @@ def box_stats_by(df: DataFrame, name: str, by: str) -> DataFrame:
         "low": F.col("q0") - WHISKER * (F.col("q2") - F.col("q0")),
         "high": F.col("q2") + WHISKER * (F.col("q2") - F.col("q0")),
     })
-    rows = df.select(col(by).alias(by), _number(df, name).alias("~x")).filter("`~x` is not null")
+    rows = df.filter(has_value(df, name)).select(col(by).alias(by), _number(df, name).alias("~x"))
     x, copies = F.col("~x"), F.lit(1)
     if few:
         joined = rows.join(F.broadcast(quartiles), by)
@@ -116,7 +116,7 @@ def box_stats_by(df: DataFrame, name: str, by: str) -> DataFrame:
 
 def _value_table(df: DataFrame, name: str) -> DataFrame:
     x = _number(df, name)
-    return df.filter(x.isNotNull()).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(has_value(df, name)).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def ecdf(df: DataFrame, name: str) -> DataFrame:
@@ -164,7 +164,7 @@ def density(df: DataFrame, name: str, points: int = 64, bins: int = 512) -> Data
     width = (s.max - s.min) / bins
     band = 1.06 * s.std * s.count ** -0.2
     x = _number(df, name)
-    binned = df.filter(x.isNotNull()).groupBy(_bin(x, s.min, width, bins).alias("bin")).agg(
+    binned = df.filter(has_value(df, name)).groupBy(_bin(x, s.min, width, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     step = (s.max - s.min) / (points - 1)
     grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)),
@@ -184,7 +184,7 @@ def scatter_points(df: DataFrame, x: str, y: str, key: str, color: str | None =
     partitioning, kept as ``n`` rows per task.
     """
     extra = ([col(color).alias("color")] if color else []) + [col(h) for h in hover]
-    points = df.filter(_number(df, x).isNotNull() & _number(df, y).isNotNull())
+    points = df.filter(has_value(df, x) & has_value(df, y))
     if n is not None:
         text = col(key).cast("string")
         points = points.orderBy(F.md5(text), text).limit(n)
@@ -193,7 +193,7 @@ def scatter_points(df: DataFrame, x: str, y: str, key: str, color: str | None =
 
 def scatter_grid(df: DataFrame, x: str, y: str, nx: int = 50, ny: int = 50) -> DataFrame:
     """``(bx, by, count)``: points counted on an even grid over both ranges."""
-    both = df.filter(_number(df, x).isNotNull() & _number(df, y).isNotNull())
+    both = df.filter(has_value(df, x) & has_value(df, y))
     vx, vy = _number(df, x), _number(df, y)
     r = both.agg(F.min(vx).alias("x0"), F.max(vx).alias("x1"), F.min(vy).alias("y0"), F.max(vy).alias("y1")).first()
     if r["x0"] is None:

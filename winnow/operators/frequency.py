@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from winnow.functions.columns import as_text, col, is_integral, is_numeric, is_temporal, kind, present
+from winnow.functions.columns import as_text, col, has_value, is_integral, is_numeric, is_temporal, kind, present
 
 # Strings longer than this are counted by a 256-bit digest, so that a distinct count does
 # not shuffle whole documents. A shorter value can never equal a 64-character digest.
@@ -110,7 +110,7 @@ def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
 def value_counts(df: DataFrame, name: str, k: int | None = None) -> DataFrame:
     """Values by falling count (value order on ties), the top ``k`` when given."""
     counted = (
-        df.filter(present(df, name).isNotNull())
+        df.filter(has_value(df, name))
         .groupBy(col(name).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     )
     if k is None:

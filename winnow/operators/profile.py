@@ -167,17 +167,15 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     hashed = df.select(*keys).withColumn("h", F.xxhash64(*[f"k{i}" for i in range(len(keys))]))
     per_hash = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     shared = per_hash.filter("n > 1")
-    distinct_shared = (
-        hashed.join(shared.select("h"), "h", "left_semi").distinct()
-        .agg(F.count(F.lit(1)).alias("kept"))
-    )
-    totals = per_hash.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("shared_rows"))
-    # two one-row tables side by side
-    return totals.withColumn("one", F.lit(1)).join(
-        F.broadcast(distinct_shared.withColumn("one", F.lit(1))), "one"
-    ).select("total_rows", (F.col("shared_rows") - F.col("kept")).alias("duplicate_rows"))
+    kept = hashed.join(shared.select("h"), "h", "left_semi").distinct()
+    # every hash adds its rows to the total and, when shared, to the candidates; every
+    # distinct row among the candidates takes one off again
+    nothing = F.lit(0).cast("bigint")
+    parts = per_hash.agg(
+        F.sum("n").alias("total_rows"),
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_rows"),
+    ).unionByName(kept.agg(nothing.alias("total_rows"), (-F.count(F.lit(1))).alias("duplicate_rows")))
+    return parts.agg(*[F.coalesce(F.sum(c), nothing).alias(c) for c in ("total_rows", "duplicate_rows")])
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -200,23 +198,29 @@ def quality_scores(df: DataFrame) -> DataFrame:
     for c in names:
         x = present(df, c) if kind(df.schema[c].dataType) != "other" else as_text(df, c)
         varies.append(F.when(F.min(x) < F.max(x), 1).otherwise(0))
+    nothing = F.lit(0).cast("bigint")
     cells = df.agg(
         rows.alias("rows"),
         F.array(*[rows - F.count(present(df, c)) for c in names]).alias("nulls"),
         F.array(*varies).alias("varies"),
     ).select(
-        "rows", F.lit(1).alias("one"),
-        F.aggregate("nulls", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("nulls"),
-        F.aggregate("varies", F.lit(0), lambda a, b: a + b).alias("varying"),
+        "rows", _array_sum("nulls").alias("nulls"), _array_sum("varies").alias("varying"),
+        nothing.alias("duplicate_rows"),
     )
-    copies = duplicate_count(df).withColumn("one", F.lit(1))
-    return cells.join(F.broadcast(copies), "one").select(
+    copies = duplicate_count(df).select(
+        nothing.alias("rows"), nothing.alias("nulls"), nothing.alias("varying"), "duplicate_rows")
+    return cells.unionByName(copies).agg(
+        *[F.sum(c).alias(c) for c in ("rows", "nulls", "varying", "duplicate_rows")]).select(
         F.coalesce(100 - share_pct(F.col("nulls"), F.col("rows") * n), F.lit(100.0)).alias("completeness"),
         F.coalesce(100 - share_pct(F.col("duplicate_rows"), F.col("rows")), F.lit(100.0)).alias("uniqueness"),
         (share_pct(F.col("varying"), n) if names else F.lit(100.0)).alias("variability"),
     )
 
 
+def _array_sum(name: str) -> Column:
+    return F.aggregate(name, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
 def _samples(df: DataFrame, cols: Sequence[str], order_by: str | None) -> dict[str, Column]:
     """First non-null value of each column as text; the smallest without an order."""
     out = {}
@@ -265,11 +269,11 @@ def dataset_summary(df: DataFrame, order_by: str | None = None, samples: int = 1
         rows.alias("rows"), F.array(*null_cells).alias("nulls"),
         F.array(*sizes.values()).alias("sizes"),
         *[s.alias(f"s{i}") for i, s in enumerate(first.values())],
-    ).withColumn("total_nulls", F.aggregate("nulls", F.lit(0).cast("bigint"), lambda a, b: a + b))
+    ).withColumn("total_nulls", _array_sum("nulls"))
     cells = [
         (F.lit("total_rows"), F.col("rows").cast("string")),
         (F.lit("total_columns"), F.lit(str(len(names)))),
-        (F.lit("total_bytes"), F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b).cast("string")),
+        (F.lit("total_bytes"), _array_sum("sizes").cast("string")),
         *[(F.lit(f"{k}_columns"), F.lit(str(kinds.count(k))))
           for k in ("numeric", "categorical", "datetime", "boolean")],
         (F.lit("total_nulls"), F.col("total_nulls").cast("string")),
@@ -295,8 +299,8 @@ def table_facts(df: DataFrame) -> DataFrame:
         F.array(*sizes.values()).alias("sizes"),
     ).select(
         "rows", F.lit(len(df.columns)).alias("columns"),
-        F.aggregate("nulls", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("nulls"),
-        F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("bytes"),
+        _array_sum("nulls").alias("nulls"),
+        _array_sum("sizes").alias("bytes"),
     )
 
 
@@ -304,11 +308,12 @@ def compare(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: shape, nulls and size of both tables, and the columns that went."""
     removed = sorted(set(before.columns) - set(after.columns))
 
-    def named(df: DataFrame, stage: str) -> DataFrame:
-        return table_facts(df).select(F.lit(1).alias("one"), *[
-            F.col(c).alias(f"{c}_{stage}") for c in ("rows", "columns", "nulls", "bytes")])
-
-    return named(before, "before").join(F.broadcast(named(after, "after")), "one").drop("one").select(
+    facts = ("rows", "columns", "nulls", "bytes")
+    stages = table_facts(before).withColumn("stage", F.lit("before")).unionByName(
+        table_facts(after).withColumn("stage", F.lit("after")))
+    return stages.agg(*[
+        F.max(F.when(F.col("stage") == stage, F.col(c))).alias(f"{c}_{stage}")
+        for stage in ("before", "after") for c in facts]).select(
         "*", (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
         F.lit(len(removed)).alias("columns_removed"), F.lit(", ".join(removed)).alias("removed_columns"),
         F.coalesce(half_even(share_pct(F.col("bytes_before") - F.col("bytes_after"), F.col("bytes_before"))),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from winnow.functions.columns import col, columns_of, present
+from winnow.functions.columns import col, columns_of, has_value
 
 ROLE_KINDS = {
     "numeric": ("numeric",), "categorical": ("categorical",),
@@ -26,7 +26,7 @@ def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, name: str) -> DataFrame:
-    return df.filter(present(df, name).isNotNull())
+    return df.filter(has_value(df, name))
 
 
 def _limits(bounds: Mapping) -> dict[str, tuple[float, float]]:
@@ -37,18 +37,13 @@ def _limits(bounds: Mapping) -> dict[str, tuple[float, float]]:
     }
 
 
-def is_outside(name: str, lower: float, upper: float) -> Column:
-    return (col(name) < F.lit(lower)) | (col(name) > F.lit(upper))
-
-
 def outside(df: DataFrame, bounds: Mapping) -> DataFrame:
     """Rows beyond the bounds of any listed column."""
     limits = {c: b for c, b in _limits(bounds).items() if c in df.columns}
     if not limits:
         return df.limit(0)
-    tests = [F.coalesce(is_outside(c, lo, hi) & present(df, c).isNotNull(), F.lit(False))
-             for c, (lo, hi) in limits.items()]
-    return df.filter(reduce(lambda a, b: a | b, tests))
+    return df.filter(reduce(lambda a, b: a | b, [
+        (col(c) < F.lit(lo)) | ((col(c) > F.lit(hi)) & has_value(df, c)) for c, (lo, hi) in limits.items()]))
 
 
 def between_all(df: DataFrame, bounds: Mapping) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from winnow.functions.columns import col, double_literal
+from winnow.functions.columns import col, double_literal, has_value
 
 SLOTS = 64            # groups for the first merge of partial results
 SKETCH_K = 2000       # KLL size: rank error about 0.2 %, 50 kB a column
@@ -332,9 +332,8 @@ def grouped_quantiles(
     shuffle. With many, rows are folded to counts of distinct values first, so that the
     shuffled join on (group, range) sees no copies.
     """
-    x = col(name).cast("double")
-    rows = df.select(col(by).alias("group"), x.alias("value")).filter(
-        "`group` is not null and value is not null and not isnan(value)")
+    rows = df.filter(has_value(df, name) & col(by).isNotNull()).select(
+        col(by).alias("group"), col(name).cast("double").alias("value"))
     if splits is None:
         splits = value_splits(rows, F.col("value"))
     if few_groups is None:
