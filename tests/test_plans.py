@@ -51,6 +51,15 @@ def test_transform_runs_no_job_and_shuffles_nothing(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_estimates_are_close(spark):
+    df = dirty(spark, SF_SMALL)
+    exact, close = (cleaning.clean(df, Config(exact=e))[1] for e in (True, False))
+    a, b = (m.stages[2].bounds["value"] for m in (exact, close))
+    assert b["q3"] == pytest.approx(a["q3"], rel=0.05) and b["mean"] == pytest.approx(a["mean"], rel=0.01)
+    a, b = (m.stages[1].fit_result.fills["value"] for m in (exact, close))
+    assert b == pytest.approx(a, rel=0.05)
+
+
 def test_steps_report_on_the_cleaned_table(spark):
     run = cleaning.run_steps(dirty(spark, SF_SMALL), Config())
     assert {r["stage"] for r in run.reports["outliers"].collect()} == {"cleaned"}
@@ -100,6 +109,11 @@ def test_latin1_fallback(spark):
     path = text_file(spark, ".csv", "name", "Zoë", encoding="latin-1")
     assert readers.read_csv(spark, path).first()["name"] == "Zoë"
     assert readers.read_csv(spark, text_file(spark, ".csv", "name", "Zoë")).first()["name"] == "Zoë"
+    assert readers.read_csv(spark, path, schema="name string").first()["name"] == "Zoë"
+    genuine = text_file(spark, ".csv", "name", "Zo\ufffd é")      # valid UTF-8 stays as it is
+    assert readers.read_csv(spark, genuine).first()["name"] == "Zo\ufffd é"
+    header = text_file(spark, ".csv", "naïve", "1", encoding="latin-1")
+    assert readers.read_csv(spark, header).columns == ["naïve"]
 
 
 def test_json_array_and_lines(spark):

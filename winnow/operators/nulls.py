@@ -242,26 +242,28 @@ class Measured:
     counts: dict[str, int]
 
 
-def measure(df: DataFrame, probs: Sequence[float] = (), needed=lambda s: True) -> Measured:
+def measure(df: DataFrame, probs: Sequence[float] = (), needed=lambda s: True,
+            exact: bool = True) -> Measured:
     """Nulls of every column and the distribution of those that have one, in one scan
     (two with exact quantiles). Fits that look at the same table can share it."""
     numeric, moments = columns_of(df, "numeric"), columns_of(df, "datetime")
     values = {c: present(df, c) for c in numeric} | {c: micros(df, c) for c in moments}
     rest = {c: present(df, c) for c in df.columns if c not in values}
-    stats, counts = summarize(df, values, probs, counts=rest, needed=needed)
+    stats, counts = summarize(df, values, probs, counts=rest, needed=needed, exact=exact)
     return Measured(counts.pop(""), stats, counts)
 
 
 def fit_nulls(
     df: DataFrame, threshold: float = 0.5, strategy: str = "median",
     categorical: str = "mode", compat: bool = False, measured: Measured | None = None,
+    exact: bool = True,
 ) -> NullFit:
     """Columns to drop and fills for the rest.
 
     One scan counts the nulls of every column and sketches what a median may need; later
     scans touch only columns that have nulls and stay. ``compat`` keeps the older rule
     that anything but ``mean`` fills numbers with the median. ``measured`` (with a median)
-    replaces the first scans.
+    replaces the first scans. ``exact=False`` fills with estimated medians.
     """
     if strategy not in NUMERIC_STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {NUMERIC_STRATEGIES}")
@@ -276,7 +278,7 @@ def fit_nulls(
 
     if measured is None:
         probs = (0.5,) if numeric_rule == "median" or moment_rule == "median" else ()
-        measured = measure(df, probs, imputed)
+        measured = measure(df, probs, imputed, exact)
     rows, stats = measured.rows, measured.stats
     nulls = {c: stats[c].nulls if c in stats else rows - measured.counts[c] for c in df.columns}
     dropped = [c for c in df.columns if rows and nulls[c] / rows > threshold]

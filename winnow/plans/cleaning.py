@@ -27,11 +27,11 @@ def type_stage(cfg: Config) -> TypeEnforcer:
 
 def null_stage(cfg: Config) -> NullHandler:
     return NullHandler(threshold=cfg.drop_threshold, strategy=cfg.impute_strategy,
-                       categoricalImpute=cfg.categorical_impute, compat=cfg.compat)
+                       categoricalImpute=cfg.categorical_impute, compat=cfg.compat, exact=cfg.exact)
 
 
 def outlier_stage(cfg: Config) -> OutlierHandler:
-    return OutlierHandler(factor=cfg.outlier_factor, method=cfg.clip_method)
+    return OutlierHandler(factor=cfg.outlier_factor, method=cfg.clip_method, exact=cfg.exact)
 
 
 def cleaning_pipeline(cfg: Config | None = None) -> Pipeline:
@@ -61,7 +61,7 @@ def quality_reports(df: DataFrame, cfg: Config, stage: str, fit: types.TypeFit |
     fit = fit or types.fit_types(
         df, cfg.numerical, cfg.categorical, cfg.dates, dict(cfg.date_formats),
         cfg.exact_dates, cfg.single_floats, cfg.max_categories, cfg.order_by)
-    measured = nulls.measure(df, (0.25, 0.5, 0.75))
+    measured = nulls.measure(df, (0.25, 0.5, 0.75), exact=cfg.exact)
     numeric = {c: s for c, s in measured.stats.items() if c in numeric_columns(df)}
     bounds = outliers.bounds_from(numeric, cfg.outlier_factor)
     return {

@@ -24,6 +24,7 @@ class Config:
     compat: bool = False
     outlier_factor: float = 1.5
     clip_method: str = "iqr"
+    exact: bool = True    # False: medians and quartiles by sketch, two scans fewer
     preview_rows: int = 10
     max_rows: int | None = None
     order_by: str | None = None

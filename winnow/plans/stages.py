@@ -100,16 +100,18 @@ class NullHandler(_Stage):
     strategy = _param("strategy", "mean, median or most_frequent", TypeConverters.toString)
     categoricalImpute = _param("categoricalImpute", "mode or constant", TypeConverters.toString)
     compat = _param("compat", "numbers take the median unless the strategy is mean", TypeConverters.toBoolean)
+    exact = _param("exact", "exact medians; False keeps sketch estimates", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, threshold=None, strategy=None, categoricalImpute=None, compat=None):
+    def __init__(self, *, threshold=None, strategy=None, categoricalImpute=None, compat=None, exact=None):
         super().__init__()
-        self._settle(dict(threshold=0.5, strategy="median", categoricalImpute="mode", compat=False),
+        self._settle(dict(threshold=0.5, strategy="median", categoricalImpute="mode", compat=False, exact=True),
                      self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "NullHandlerModel":
         fit = nulls.fit_nulls(dataset, self._value(self.threshold), self._value(self.strategy),
-                              self._value(self.categoricalImpute), self._value(self.compat))
+                              self._value(self.categoricalImpute), self._value(self.compat),
+                              exact=self._value(self.exact))
         return NullHandlerModel(asdict(fit))
 
 

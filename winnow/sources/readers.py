@@ -15,6 +15,7 @@ NA_TOKENS = [
 ]
 BOOLEANS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 FALLBACK_ENCODING = "ISO-8859-1"
+REPLACEMENT = "\ufffd"
 
 
 def normalize_na(df: DataFrame, tokens: Sequence[str] = tuple(NA_TOKENS)) -> DataFrame:
@@ -40,15 +41,23 @@ def infer_types(df: DataFrame) -> DataFrame:
     Runs after missing-value tokens are nulled, so a column of numbers with ``NA`` in it
     is still a column of numbers. Dates stay text until types are enforced.
     """
+    return _infer(df)[0]
+
+
+def _infer(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The typed table, and whether any text holds a replacement character."""
     names = columns_of(df, "categorical")
+    suspect = any(REPLACEMENT in c for c in df.columns)
     if not names:
-        return df
+        return df, suspect
     row = df.agg(*[a for i, c in enumerate(names) for a in (
         F.count(col(c)).alias(f"n{i}"),
         F.count(F.trim(col(c)).try_cast("bigint")).alias(f"w{i}"),
         F.count(_number(col(c))).alias(f"d{i}"),
         F.count(F.when(col(c).isin(*BOOLEANS), 1)).alias(f"b{i}"),
+        F.max(F.contains(col(c), F.lit(REPLACEMENT))).alias(f"r{i}"),
     )]).first()
+    suspect = suspect or any(row[f"r{i}"] for i in range(len(names)))
     casts = {}
     for i, c in enumerate(names):
         n = row[f"n{i}"]
@@ -58,7 +67,11 @@ def infer_types(df: DataFrame) -> DataFrame:
             casts[c] = _number(col(c))
         elif n and row[f"b{i}"] == n:
             casts[c] = F.lower(col(c)) == "true"
-    return df.withColumns(casts) if casts else df
+    return (df.withColumns(casts) if casts else df), suspect
+
+
+def _invalid_utf8(spark: SparkSession, path: str) -> bool:
+    return spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count() > 0
 
 
 def read_csv(
@@ -68,20 +81,23 @@ def read_csv(
     """CSV with a header. Types are inferred unless ``schema`` is given.
 
     Without ``encoding`` the file is read as UTF-8, or as Latin-1 when some line is not
-    valid UTF-8. Give both on large inputs: each saves a scan. ``multi_line``
-    allows line breaks inside quotes, at the price of files that cannot be split.
+    valid UTF-8; the scan that infers types tells when that is worth a closer look. Give
+    both on large inputs. ``multi_line`` allows line breaks inside quotes, at the price of
+    files that cannot be split.
     """
     def reader(charset: str):
         return spark.read.options(
             header=True, encoding=charset, multiLine=multi_line, quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
-    if encoding is None:
-        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
-        encoding = FALLBACK_ENCODING if broken else "UTF-8"
     if schema is not None:
+        if encoding is None:
+            encoding = FALLBACK_ENCODING if _invalid_utf8(spark, path) else "UTF-8"
         return normalize_na(reader(encoding).schema(schema).csv(path))
-    return infer_types(normalize_na(reader(encoding).csv(path)))
+    typed, suspect = _infer(normalize_na(reader(encoding or "UTF-8").csv(path)))
+    if encoding is None and suspect and _invalid_utf8(spark, path):
+        return infer_types(normalize_na(reader(FALLBACK_ENCODING).csv(path)))
+    return typed
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
