@@ -51,6 +51,19 @@ def test_transform_runs_no_job_and_shuffles_nothing(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+@pytest.mark.parametrize("strategy", ["median", "mean", "most_frequent"])
+def test_the_shared_fit_equals_the_stages(spark, strategy):
+    cfg = Config(impute_strategy=strategy, drop_threshold=0.85, order_by="event_id")    # user_id is filled
+    df = dirty(spark, SF_SMALL).withColumn("empty", F.expr("CASE WHEN event_id < 900 THEN 5.0D END"))
+    one, other = cleaning.fit_cleaning(df, cfg), cleaning.cleaning_pipeline(cfg).fit(df)
+    assert one.stages[0].values == other.stages[0].values and one.stages[1].values == other.stages[1].values
+    a, b = one.stages[2].bounds, other.stages[2].bounds
+    assert set(a) == set(b) and {"user_id", "empty"} <= set(a)
+    for c in a:
+        assert a[c].pop("method") == b[c].pop("method")
+        assert a[c] == pytest.approx(b[c], rel=1e-12)
+
+
 def test_estimates_are_close(spark):
     df = dirty(spark, SF_SMALL)
     exact, close = (cleaning.clean(df, Config(exact=e))[1] for e in (True, False))

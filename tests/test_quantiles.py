@@ -47,6 +47,22 @@ def test_a_sketch_that_misses_is_caught(spark, monkeypatch):
     assert got["x"].quantiles[0.5] == 1999.5
 
 
+@pytest.mark.parametrize("fill", [-50.0, 0.0, 0.5, 0.9, 99.0])
+@pytest.mark.parametrize("share", [0.01, 0.4, 0.9])
+def test_statistics_of_a_filled_column(spark, fill, share):
+    rng = random.Random(11)
+    values = [None if rng.random() < share else rng.random() for _ in range(6000)]
+    df = frame(spark, values)
+    before = summarize(df, {"x": F.col("x")}, (0.5,))[0]["x"]
+    after = before.filled(fill)
+    full = [fill if v is None else v for v in values]
+    assert (after.count, after.nulls, after.min, after.max) == (6000, 0, min(full), max(full))
+    assert after.mean == pytest.approx(np.mean(full)) and after.std == pytest.approx(np.std(full, ddof=1))
+    quantiles.settle(df.fillna(fill), {"x": F.col("x")}, {"x": after}, (0.25, 0.5, 0.75), margin=0.012)
+    for p in (0.25, 0.5, 0.75):
+        assert after.quantiles[p] == pytest.approx(np.quantile(full, p), rel=1e-12)
+
+
 def test_moments_merge_over_partitions(spark):
     values = [1e9 + v for v in shapes()["uniform"]]
     s = summarize(frame(spark, values, 13), {"x": F.col("x")})[0]["x"]

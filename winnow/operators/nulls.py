@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import struct
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -146,6 +147,13 @@ def fill(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
     return df.select(*out)
 
 
+def stored_fill(df: DataFrame, name: str, value: float) -> float:
+    """A numeric fill as the column will hold it: single precision rounds."""
+    if isinstance(df.schema[name].dataType, T.FloatType):
+        return struct.unpack("f", struct.pack("f", value))[0]
+    return float(value)
+
+
 def _fillable(s: Stats) -> bool:
     return s.count > 0 and s.nulls > 0
 

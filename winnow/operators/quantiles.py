@@ -10,6 +10,7 @@ map-side count.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -37,13 +38,40 @@ class Stats:
     max: float | None
     mean: float | None
     std: float | None
-    seen: int = 0    # distinct values met in the sketch: a lower limit of the column's own
     quantiles: dict[float, float | None] = field(default_factory=dict)
+    grid: Sequence[float] = field(default=(), repr=False)    # values at even ranks of the sketch
 
     @property
     def nulls(self) -> int:
         return self.rows - self.count
 
+    @property
+    def seen(self) -> int:
+        """Distinct values met in the sketch: a lower limit of the column's own."""
+        return len(set(self.grid))
+
+    def filled(self, value: float) -> "Stats":
+        """These statistics once every null holds ``value``; the grid becomes an estimate."""
+        if not self.nulls:
+            return self
+        if not self.count:
+            return Stats(self.rows, self.rows, value, value, value, 0.0 if self.rows > 1 else None,
+                         grid=[value] * (GRID + 1))
+        variance = (self.std or 0.0) ** 2 * (self.count - 1) / self.count
+        mean, std = _merge_moments([
+            {"n": self.count, "mean": self.mean, "var": variance}, {"n": self.nulls, "mean": value, "var": 0.0}])
+        below = bisect_left(self.grid, value) / GRID * self.count
+        grid = []
+        for i in range(GRID + 1):
+            rank = i / GRID * self.rows
+            if below < rank < below + self.nulls:
+                grid.append(value)
+            else:
+                at = rank if rank <= below else rank - self.nulls
+                grid.append(self.grid[min(GRID, round(at / self.count * GRID))])
+        low, high = min(self.min, value), max(self.max, value)
+        return Stats(self.rows, self.rows, low, high, mean, std, grid=sorted([low, *grid[1:-1], high]))
+
 
 @dataclass
 class _Target:
@@ -127,7 +155,7 @@ def summarize(
     """
     counts = dict(counts or {})
     names = list(values)
-    doubles = {name: values[name].cast("double").alias(f"v{i}") for i, name in enumerate(names)}
+    doubles = [values[name].cast("double").alias(f"v{i}") for i, name in enumerate(names)]
     flags = [c.isNotNull().alias(f"c{j}") for j, c in enumerate(counts.values())]
     inner, outer, plain = ["count(1) rows"], ["sum(rows) rows"], ["rows"]
     for j in range(len(flags)):
@@ -146,37 +174,43 @@ def summarize(
             inner += [f"min(v{i}) lo{i}", f"max(v{i}) hi{i}"]
             outer += [f"min(lo{i}) lo{i}", f"max(hi{i}) hi{i}"]
             plain += [f"lo{i}", f"hi{i}"]
-    row = _by_slot(df, [*doubles.values(), *flags], inner, outer).selectExpr(*plain).first()
+    row = _by_slot(df, [*doubles, *flags], inner, outer).selectExpr(*plain).first()
 
     rows = row["rows"] or 0
     out: dict[str, Stats] = {}
-    targets: list[_Target] = []
     for i, name in enumerate(names):
         mean, std = _merge_moments(row[f"p{i}"])
         n = row[f"n{i}"] or 0
-        if probs:
-            grid = row[f"q{i}"] or [None]
-            lo, hi = grid[0], grid[-1]
-        else:
-            lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        grid = (row[f"q{i}"] or ()) if probs else ()
+        lo, hi = (row[f"lo{i}"], row[f"hi{i}"]) if not probs else (grid[0], grid[-1]) if n else (None, None)
         if n and lo == hi:    # merged partial means leave a trace of variance on constants
             mean, std = lo, (0.0 if n > 1 else None)
-        seen = len(set(grid)) if probs and n else 0
-        stats = out[name] = Stats(rows, n, lo, hi, mean, std, seen)
+        out[name] = Stats(rows, n, lo, hi, mean, std, grid=grid)
+    settle(df, values, out, probs, lambda s: exact and needed(s))
+    return out, {"": rows} | {c: row[f"c{j}"] or 0 for j, c in enumerate(counts)}
+
+
+def settle(
+    df: DataFrame, values: Mapping[str, Column], stats: Mapping[str, Stats], probs: Sequence[float],
+    needed: Callable[[Stats], bool] = lambda stats: True, margin: float = BRACKET,
+) -> None:
+    """Set the quantiles of ``stats`` from their grids: exactly where ``needed``, in one
+    scan for all columns, else as estimated. ``margin`` allows for the grid's rank error."""
+    targets: list[_Target] = []
+    for name, s in stats.items():
         for p in probs:
-            if n == 0:
-                stats.quantiles[p] = None
-            elif not exact or not needed(stats):
-                stats.quantiles[p] = grid[round(p * GRID)]
-            elif stats.min == stats.max:
-                stats.quantiles[p] = stats.min
+            if s.count == 0:
+                s.quantiles[p] = None
+            elif s.min == s.max:
+                s.quantiles[p] = s.min
+            elif not needed(s):
+                s.quantiles[p] = s.grid[round(p * GRID)]
             else:
-                rank = p * (n - 1)
-                target = _Target(name, p, math.floor(rank), math.ceil(rank), stats.min, stats.max, n)
-                target.lo, target.hi = target.bracket(grid, rank, n)
-                targets.append(target)
-    _resolve(df, doubles, targets, out)
-    return out, {"": rows} | {c: row[f"c{j}"] or 0 for j, c in enumerate(counts)}
+                rank = p * (s.count - 1)
+                t = _Target(name, p, math.floor(rank), math.ceil(rank), s.min, s.max, s.count, margin)
+                t.lo, t.hi = t.bracket(s.grid, rank, s.count)
+                targets.append(t)
+    _resolve(df, {t.name: values[t.name].cast("double") for t in targets}, targets, stats)
 
 
 def _resolve(df, doubles, targets: list[_Target], out: dict[str, Stats]) -> None:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from winnow.functions.columns import numeric_columns
+from winnow.functions.columns import numeric_columns, present
 from winnow.functions.numbers import half_even, share_pct
-from winnow.operators import nulls, outliers, profile, types
+from winnow.operators import nulls, outliers, profile, quantiles, types
 from winnow.plans.config import Config
-from winnow.plans.stages import NullHandler, OutlierHandler, TypeEnforcer
+from winnow.plans.stages import (
+    NullHandler, NullHandlerModel, OutlierHandler, OutlierHandlerModel, TypeEnforcer,
+)
 
+# A grid shifted by fills is off by up to two steps more than the sketch it comes from.
+FILLED_MARGIN = quantiles.BRACKET + 2 / quantiles.GRID
 STEPS = ("type_enforcer", "null_handler", "outlier_handler")
 
 
@@ -84,8 +88,36 @@ def final_report(before: DataFrame, after: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def fit_cleaning(df: DataFrame, cfg: Config | None = None) -> PipelineModel:
+    """What ``cleaning_pipeline(cfg).fit(df)`` gives, with fewer scans.
+
+    Filling nulls with constants changes a distribution in a known way, so the measurement
+    made for the fills also brackets the quartiles of the filled table. What is left for
+    the outlier step is the scan that settles them, or nothing when estimates will do.
+    """
+    cfg = cfg or Config()
+    type_model = type_stage(cfg).fit(df)
+    typed = type_model.transform(df)
+
+    def imputed(s) -> bool:
+        return cfg.impute_strategy == "median" and 0 < s.nulls <= cfg.drop_threshold * s.rows
+
+    measured = nulls.measure(typed, (0.5,), imputed, cfg.exact)
+    fit = nulls.fit_nulls(typed, cfg.drop_threshold, cfg.impute_strategy, cfg.categorical_impute,
+                          cfg.compat, measured)
+    null_model = NullHandlerModel(asdict(fit))
+    filled = null_model.transform(typed)
+    stats = {c: measured.stats[c].filled(nulls.stored_fill(typed, c, fit.fills[c])) if c in fit.fills
+             else measured.stats[c] for c in numeric_columns(filled)}
+    quantiles.settle(filled, {c: present(filled, c) for c in stats}, stats, outliers.QUARTILES,
+                     lambda s: cfg.exact, margin=FILLED_MARGIN)
+    bounds = outliers.bounds_from(stats, cfg.outlier_factor)
+    return PipelineModel([type_model, null_model,
+                          OutlierHandlerModel({"bounds": bounds, "method": cfg.clip_method})])
+
+
 def clean(df: DataFrame, cfg: Config | None = None) -> tuple[DataFrame, PipelineModel]:
-    model = cleaning_pipeline(cfg).fit(df)
+    model = fit_cleaning(df, cfg)
     return model.transform(df), model
 
 
