@@ -8,12 +8,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from winnow.functions.columns import (
-    FIXED_WIDTH, as_text, col, columns_of, is_numeric, is_temporal, kind, micros, numeric_columns, present,
+    FIXED_WIDTH, as_text, col, columns_of, is_numeric, kind, micros, numeric_columns, present,
 )
 from winnow.functions.numbers import half_even, share_pct
 from winnow.functions.reshape import aggregate_rows
 from winnow.operators.frequency import distinct_counts, mode_values
-from winnow.operators.nulls import null_counts, null_summary
+from winnow.operators.nulls import null_counts
 from winnow.operators.quantiles import Stats, summarize
 
 SAMPLE_CHARS = 100     # fixed value: samples are cut to this length

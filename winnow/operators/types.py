@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from winnow.functions import dates
 from winnow.functions.columns import FLOATING, col, columns_of, is_temporal, kind, present
+from winnow.functions.numbers import text_number
 from winnow.functions.reshape import aggregate_rows
 from winnow.operators.frequency import settle_cardinality, within_cardinality
 from winnow.operators.profile import size_expressions
@@ -189,10 +190,7 @@ def number_value(df: DataFrame, name: str) -> Column:
         return present(df, name)
     if k == "boolean":
         return col(name).cast("int")
-    text = F.trim(col(name).cast("string"))
-    # the cast would also take a type suffix, as in "12d"
-    value = F.when(~text.rlike(r"[0-9.][dDfF]$"), text).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return text_number(col(name).cast("string"))
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:

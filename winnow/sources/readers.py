@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from winnow.functions.columns import FLOATING, col, columns_of, present
+from winnow.functions.numbers import text_number
 
 # Text that stands for a missing value.
 NA_TOKENS = [
@@ -31,8 +32,17 @@ def normalize_na(df: DataFrame, tokens: Sequence[str] = tuple(NA_TOKENS)) -> Dat
     return df.select(*out)
 
 
-def _number(text: Column) -> Column:
-    return F.when(~text.rlike(r"[0-9.][dDfF]$"), F.trim(text)).try_cast("double")
+# Each type with the test its values pass and the form they take, narrowest first.
+def _as_whole(c: Column) -> Column:
+    return F.trim(c).try_cast("bigint")
+
+
+def _as_boolean(c: Column) -> Column:
+    return F.when(c.isin(*BOOLEANS), F.lower(c) == "true")
+
+
+TYPE_TESTS = {"whole": _as_whole, "real": text_number, "boolean": _as_boolean}
+TYPE_SAMPLE = 1000    # rows that rule types out before the whole table is tested
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -44,29 +54,33 @@ def infer_types(df: DataFrame) -> DataFrame:
     return _infer(df)[0]
 
 
+def _first_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A few short values, fetched as a limit does: one that fails a test settles the
+    matter without a scan of the table."""
+    short = [F.when(F.length(col(c)) <= 64, col(c)).alias(c) for c in names]
+    rows = df.select(*short).limit(TYPE_SAMPLE).collect()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def _infer(df: DataFrame) -> tuple[DataFrame, bool]:
     """The typed table, and whether any text holds a replacement character."""
     names = columns_of(df, "categorical")
     suspect = any(REPLACEMENT in c for c in df.columns)
     if not names:
         return df, suspect
-    row = df.agg(*[a for i, c in enumerate(names) for a in (
-        F.count(col(c)).alias(f"n{i}"),
-        F.count(F.trim(col(c)).try_cast("bigint")).alias(f"w{i}"),
-        F.count(_number(col(c))).alias(f"d{i}"),
-        F.count(F.when(col(c).isin(*BOOLEANS), 1)).alias(f"b{i}"),
-        F.max(F.contains(col(c), F.lit(REPLACEMENT))).alias(f"r{i}"),
-    )]).first()
+    open_types = {c: list(TYPE_TESTS) for c in names}
+    for rows in (_first_rows(df, names), df):
+        tests = [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)]
+        tests += [F.count(TYPE_TESTS[t](col(c))).alias(f"{t}{i}")
+                  for i, c in enumerate(names) for t in open_types[c]]
+        tests += [F.max(F.contains(col(c), F.lit(REPLACEMENT))).alias(f"r{i}") for i, c in enumerate(names)]
+        row = rows.agg(*tests).first()
+        for i, c in enumerate(names):
+            open_types[c] = [t for t in open_types[c] if row[f"{t}{i}"] == row[f"n{i}"]]
     suspect = suspect or any(row[f"r{i}"] for i in range(len(names)))
-    casts = {}
-    for i, c in enumerate(names):
-        n = row[f"n{i}"]
-        if n and row[f"w{i}"] == n:
-            casts[c] = F.trim(col(c)).try_cast("bigint")
-        elif n and row[f"d{i}"] == n:
-            casts[c] = _number(col(c))
-        elif n and row[f"b{i}"] == n:
-            casts[c] = F.lower(col(c)) == "true"
+    casts = {c: TYPE_TESTS[open_types[c][0]](col(c)) for i, c in enumerate(names)
+             if open_types[c] and row[f"n{i}"]}
     return (df.withColumns(casts) if casts else df), suspect
 
 
