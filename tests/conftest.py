@@ -3,6 +3,7 @@ from __future__ import annotations
 import logging
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -21,6 +22,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="winnow-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
