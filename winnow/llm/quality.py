@@ -5,9 +5,9 @@ distributions are held in KLL quantile sketches per (language, source); sketches
 slots first, so no task reads one sketch per input split, then upwards to the language and to the
 corpus. A document is judged by the smallest group around it that has MIN_GROUP documents.
 
-A threshold is a fence: the 90 % quantile plus FENCE times its distance from the median, at least
-SLACK above the 90 % quantile. A fence adapts to each group and, unlike a fixed share, removes nobody
-from a group without outliers. SLACK keeps a constant signal from rejecting tiny departures.
+A threshold is a fence: the upper quartile plus FENCE times its distance from the median, at least
+the signal's slack above the quartile. A fence adapts to each group and, unlike a fixed share, removes nobody
+from a group without outliers. Slack keeps a constant signal from rejecting tiny departures.
 
 Signals (upper fence each): symbols per word, share of repeated lines, share of words in repeated
 5-word windows, capitals per letter, exclamation marks per word, characters per word; characters per word also
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.llm.common import SPACE_CHARS, WORD, Scratch, bind, same, small, text_of, words_of
+from winnow.llm.common import WORD, Scratch, bind, same, small, text_of, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5                  # words
@@ -34,7 +34,7 @@ SKETCH_K = 400
 SLOTS = 64
 SIGNALS = {                 # name -> (expression over the base columns, slack)
     "symbol_rate": ("n_symbols / greatest(n_words, 1)", 0.20),
-    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.30),
+    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.50),
     "repeat_rate": ("n_repeat_words / greatest(n_words, 1)", 0.20),
     "capital_rate": ("n_capitals / greatest(word_chars, 1)", 0.25),
     "bang_rate": ("n_bangs / greatest(n_words, 1)", 0.20),
@@ -43,53 +43,57 @@ SIGNALS = {                 # name -> (expression over the base columns, slack)
 
 
 def repeat_words(words: Column) -> Column:
-    """Words that lie in a 5-word window found at least twice in the text."""
-    def covered(keys: Column) -> Column:
-        # Windows in order of their words; equal neighbours are repeats.
-        ordered = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+    """Words that lie in a 5-word window found at least twice in the text.
 
-        def positions(o: Column) -> Column:
-            last = F.size(o) - 1
-            repeated = F.filter(o, lambda x, j: (
-                ((j > 0) & (F.get(o, j - 1)["k"] == x["k"])) | ((j < last) & (F.get(o, j + 1)["k"] == x["k"]))))
-            starts = F.array_sort(F.transform(repeated, lambda x: x["i"]))
-            # A window adds its words less those that the window before it covers.
-            return bind(starts, lambda s: F.aggregate(
-                F.transform(s, lambda p, j: F.when(j == 0, WINDOW).otherwise(
-                    F.least(F.lit(WINDOW), p - F.get(s, j - 1)))),
-                F.lit(0), lambda a, x: a + x))
+    Windows are hashed first: distinct hashes mean distinct windows. Only a text with equal hashes
+    sorts its windows by hash, and neighbours of equal hash are compared by their words.
+    """
+    starts = F.sequence(F.lit(0), F.size(words) - WINDOW)
+    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WINDOW)]))
+
+    def covered(ordered: Column) -> Column:
+        def equal(x: Column, y: Column) -> Column:
+            return (x["h"] == y["h"]) & (F.slice(words, x["i"] + 1, WINDOW) == F.slice(words, y["i"] + 1, WINDOW))
 
-        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(bind(ordered, positions))
+        repeated = F.filter(ordered, lambda x, j: (
+            ((j > 0) & equal(x, F.get(ordered, j - 1))) | equal(x, F.get(ordered, j + 1))))
+        # A window adds its words less those that the window before it covers.
+        return bind(F.array_sort(F.transform(repeated, lambda x: x["i"])), lambda s: F.aggregate(
+            F.transform(s, lambda p, j: F.when(j == 0, WINDOW).otherwise(F.least(F.lit(WINDOW), p - F.get(s, j - 1)))),
+            F.lit(0), lambda a, x: a + x))
 
-    def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
-                           lambda i: F.array_join(F.slice(w, i, WINDOW), " "))
+    def counted(h: Column) -> Column:
+        in_order = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(bind(in_order, covered))
 
-    return bind(words, lambda w: F.when(F.size(w) <= WINDOW, F.lit(0))
-                .otherwise(bind(windows(w), covered))).cast("long")
+    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(bind(hashes, counted)).cast("long")
 
 
 def _base(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    return F.struct(
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        bind(lines, lambda x: F.struct(
-            F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))
-             ).alias("lines"),
-        repeat_words(words_of(text)).alias("n_repeat_words"),
-        F.regexp_count(text, F.lit("\\p{Lu}")).cast("long").alias("n_capitals"),
-        F.regexp_count(text, F.lit("!")).cast("long").alias("n_bangs"),
-    )
+    def counts(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
+        return F.struct(
+            bind(words_of(t), lambda w: F.struct(
+                F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"),
+                repeat_words(w).alias("repeated"))).alias("words"),
+            bind(lines, lambda x: F.struct(
+                F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))
+                 ).alias("lines"),
+            F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            F.regexp_count(t, F.lit("\\p{Lu}")).cast("long").alias("n_capitals"),
+            F.regexp_count(t, F.lit("!")).cast("long").alias("n_bangs"),
+        )
+
+    return bind(text, counts)       # one value, which the optimizer does not copy into each use
 
 
 def signals(docs: DataFrame, text: str = "text", into: str = "__quality") -> DataFrame:
     """The rows with one more column, a struct of base counts, ``base_failed`` and rates."""
     counted = docs.withColumn(into, _base(text_of(text)))
-    counts = {c: F.col(f"{into}.{c}") for c in
-              ("n_words", "word_chars", "n_symbols", "n_repeat_words", "n_capitals", "n_bangs")}
-    counts |= {"n_lines": F.col(f"{into}.lines.n"), "n_dup_lines": F.col(f"{into}.lines.dup")}
+    counts = {k: F.col(f"{into}.{c}") for k, c in {
+        "n_words": "words.n", "word_chars": "words.chars", "n_symbols": "n_symbols", "n_lines": "lines.n",
+        "n_dup_lines": "lines.dup", "n_repeat_words": "words.repeated", "n_capitals": "n_capitals",
+        "n_bangs": "n_bangs"}.items()}
     flat = counted.withColumn(into, F.struct(*[c.alias(k) for k, c in counts.items()]))
     failed = F.expr(f"{into}.n_words < {MIN_WORDS} OR 100 * {into}.n_repeat_words > "
                     f"{MAX_REPEAT_PERCENT} * {into}.n_words")
@@ -133,7 +137,7 @@ def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source")
                                                  for c in (f"{s}_low", f"{s}_high")])
 
     def fences(sketch: Column, s: str) -> Column:
-        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         low, mid, high, slack = F.get(q, 0), F.get(q, 1), F.get(q, 2), F.lit(SIGNALS[s][1])
         return F.struct((low - F.greatest(slack, FENCE * (mid - low))).alias("low"),
                         (high + F.greatest(slack, FENCE * (high - mid))).alias("high"))
