@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import exact_dedup, quality
+from winnow.llm import bpe, exact_dedup, mixing, quality
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +23,20 @@ def op9_exact_dedup(spark, sf_dir):
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_mixing(spark, sf_dir):
+    return mixing.queue(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def op10_byte_bpe(spark, sf_dir):
+    return bpe.digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 SQL = {
