@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, mixing, quality
+from winnow.llm import bpe, exact_dedup, mixing, quality, secrets
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -23,6 +23,10 @@ def op9_exact_dedup(spark, sf_dir):
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.queue(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
@@ -34,6 +38,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
