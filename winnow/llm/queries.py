@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, mixing, quality, secrets
+from winnow.llm import bpe, exact_dedup, mixing, near_dedup, quality, secrets
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -14,6 +14,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark, sf_dir):
+    return near_dedup.near_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_quality_rules(spark, sf_dir):
     return quality.quality(documents(spark, sf_dir))
 
@@ -37,6 +41,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op8_mixing": op8_mixing,
