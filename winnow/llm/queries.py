@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, mixing, near_dedup, quality, secrets
+from winnow.llm import bpe, exact_dedup, mixing, near_dedup, quality, secrets, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,11 @@ def op3_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
 
 
+def op6_warc(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.queue(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op6_warc": op6_warc,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
