@@ -38,44 +38,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from winnow.llm.common import BROADCAST_ROWS, Scratch, same
 from winnow.llm.components import components
+from winnow.llm.hashing import constants, mixed, word_hashes, words
 
 SHINGLE = 5
 SIZE, ROWS = 128, 4
 BANDS = SIZE // ROWS
 PERCENT = 75
 SMALL_BUCKET = 16           # members; larger buckets take one hub at a time
-_WORDS: dict[bytes, int] = {}
-_WORDS_KEPT = 300_000
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))      # fixed values: a public mixer
-_STEPS = np.array([xxhash.xxh64_intdigest(b"word%d" % i) | 1 for i in range(SHINGLE)], dtype=np.uint64)
-_ROUNDS = np.array([xxhash.xxh64_intdigest(b"round%d" % i) for i in range(2 * SIZE)], dtype=np.uint64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def _word(word: bytes) -> int:
-    if len(_WORDS) >= _WORDS_KEPT:
-        _WORDS.clear()
-    found = _WORDS[word] = xxhash.xxh64_intdigest(word)
-    return found
+_STEPS = constants("word", SHINGLE)
+_ROUNDS = constants("round", 2 * SIZE)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes. Only A-Z are lower-cased."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    found = words(text)
+    if not found:
         return np.empty(0, np.uint64)
-    if len(words) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    known = _WORDS.get
-    hashed = np.fromiter((known(w) or _word(w) for w in words), np.uint64, len(words))
-    total = np.zeros(len(words) - SHINGLE + 1, np.uint64)
+    if len(found) < SHINGLE:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(found), seed=1)], np.uint64)
+    hashed, n = word_hashes(found), len(found) - SHINGLE + 1
+    total = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
-        total = _mixed(total + hashed[i:len(words) - SHINGLE + 1 + i] * _STEPS[i])
+        total = mixed(total + hashed[i:n + i] * _STEPS[i])
     return np.unique(total)
 
 
@@ -86,7 +70,7 @@ def sketch(items: np.ndarray) -> np.ndarray:
     step = max(1, 512 // len(items))            # small sets take several rounds at once
     for first in range(0, 2 * SIZE, step):
         rounds = np.arange(first, min(first + step, 2 * SIZE))
-        hashed = _mixed(items[None, :] ^ _ROUNDS[rounds][:, None])
+        hashed = mixed(items[None, :] ^ _ROUNDS[rounds][:, None])
         value = (hashed & low) | (rounds.astype(np.uint64) << np.uint64(56))[:, None]
         place = np.where(rounds[:, None] < SIZE, (hashed >> np.uint64(57)).astype(np.int64),
                          (rounds - SIZE)[:, None])
@@ -99,9 +83,9 @@ def sketch(items: np.ndarray) -> np.ndarray:
 def bands(items: np.ndarray) -> np.ndarray:
     """One 64-bit key per band."""
     parts = sketch(items).reshape(BANDS, ROWS)
-    key = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+    key = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
     for i in range(ROWS):
-        key = _mixed(key + parts[:, i] * _STEPS[i])
+        key = mixed(key + parts[:, i] * _STEPS[i])
     return key.view(np.int64)
 
 
@@ -135,8 +119,8 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class _Verifier:
     """Compares pairs of representatives on their full sets."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, scratch: Scratch):
-        self.docs, self.reps, self.scratch, self.turn = docs, reps, scratch, 0
+    def __init__(self, docs: DataFrame, scratch: Scratch):
+        self.docs, self.scratch, self.turn = docs, scratch, 0
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` (a, b) with size columns n_a, n_b. Sizes that rule a pair out spare its texts."""
@@ -171,14 +155,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     classes = scratch.write(
         signed.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
-    reps = classes.groupBy("rep").agg(F.first("n").alias("n"))
     members = classes.select("rep", "n", F.posexplode("bands").alias("band", "key")).select("key", "rep", "n")
     shared = members.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("hub"),
                                         F.min_by("n", "rep").alias("n_hub")).where("size > 1")
     shared = scratch.write(shared, "shared")
     buckets = scratch.write(members.join(shared, "key"), "buckets")
     scratch.drop("shared")
-    verify = _Verifier(rows, reps, scratch)
+    verify = _Verifier(rows, scratch)
 
     # 1. One hub per class: the one it shares most buckets with.
     votes = buckets.where("rep <> hub").groupBy("rep", "hub").agg(

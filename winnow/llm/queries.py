@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, mixing, near_dedup, quality, secrets, warc
+from winnow.llm import bpe, exact_dedup, lm, mixing, near_dedup, quality, secrets, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,10 @@ def op3_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
 
 
+def op5_lm_scores(spark, sf_dir):
+    return lm.score(documents(spark, sf_dir))
+
+
 def op6_warc(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op5_lm_scores": op5_lm_scores,
     "op6_warc": op6_warc,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
