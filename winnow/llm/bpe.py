@@ -23,6 +23,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -191,16 +192,19 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", into:
     return encoded.withColumn(into, raw(F.col(ids)))
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens and digests of the ids and of the decoded bytes.
+def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """The rows with one more column ``bpe``: n_tokens, digests of the ids and of the bytes they decode
+    to, and the ids themselves if asked for.
 
-    Encoding and decoding run in one pass, so ids are not moved between processes.
+    Encoding and decoding run in one pass, so ids are not moved between processes for a digest.
     """
     key, ranks = _shared(docs, path, pattern)
-    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                         T.StructField("decoded_sha256", T.StringType())])
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+              T.StructField("decoded_sha256", T.StringType())]
+    if with_ids:
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf(T.StructType(fields))
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         e = _encoder(key, ranks, pattern)
         names = [str(i) for i in range(max(e.vocabulary.bytes, default=0) + 1)]
@@ -209,8 +213,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
             for t in texts:
                 ids = e.encode(t or "")
                 rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                             hashlib.sha256(e.decode(ids)).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                             hashlib.sha256(e.decode(ids)).hexdigest(), *([np.array(ids, np.int32)] if with_ids else [])))
+            yield pd.DataFrame(rows, columns=[f.name for f in fields])
 
-    return (docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text)).alias("d"))
-            .select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256"))
+    return docs.withColumn("bpe", digest(F.col(text)))

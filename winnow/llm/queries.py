@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, lm, mixing, near_dedup, quality, secrets, warc
+from winnow.llm import bpe, exact_dedup, langid, lm, mixing, near_dedup, pii, quality, secrets, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,10 @@ def op3_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
 
 
+def op4_personal_data(spark, sf_dir):
+    return pii.digest(pii.personal(documents(spark, sf_dir)))
+
+
 def op5_lm_scores(spark, sf_dir):
     return lm.score(documents(spark, sf_dir))
 
@@ -40,21 +44,28 @@ def op6_warc(spark, sf_dir):
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_language_id(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.queue(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def op10_byte_bpe(spark, sf_dir):
-    return bpe.digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN).select("doc_id", "bpe.*")
 
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op4_personal_data": op4_personal_data,
     "op5_lm_scores": op5_lm_scores,
     "op6_warc": op6_warc,
+    "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
