@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 MAX_VOCABULARY = 300_000
-CACHED_PIECES = 150_000
+CACHED_PIECES = 500_000
 CACHED_BYTES = 64           # longer pieces are not cached
 
 
@@ -133,15 +134,15 @@ class Encoder:
         whole = self.vocabulary.ranks.get(raw)
         ids = (whole,) if whole is not None else tuple(PieceEncoder(self.vocabulary, raw).ids())
         if len(raw) <= CACHED_BYTES:
-            if len(self._cache) >= CACHED_PIECES:
-                self._cache.clear()
+            if len(self._cache) >= CACHED_PIECES:       # the older half goes
+                self._cache = dict(islice(self._cache.items(), CACHED_PIECES // 2, None))
             self._cache[text] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
-        cache, out = self._cache, []
+        out: list[int] = []
         for piece in self.pattern.findall(text):
-            ids = cache.get(piece)
+            ids = self._cache.get(piece)
             out += self.piece(piece) if ids is None else ids
         return out
 
