@@ -8,17 +8,16 @@ with the probability of the Jaccard similarity, with the concentration of indepe
 
 Documents with equal sets are one class and stand for each other through their smallest id. Classes
 meet where a band of ROWS coordinates agrees: at a similarity of 0.75 a pair shares none of the 32
-bands with probability 5e-6. Candidates are then verified on full sets, in turns that never form all
-pairs of a large bucket:
+bands with probability 5e-6. Candidates are then verified on full sets, without forming all pairs of
+a large bucket:
 
-1. Each class is compared with the hub (smallest id) it shares most bands with. In a group of
-   near copies this settles nearly all in one comparison each.
+1. Each class is compared with one hub, a central class of a bucket, the one it shares most bands with. In
+   a group of near copies this settles nearly all in one comparison each.
 2. Classes already connected need no further comparison. Only buckets whose classes lie in several
-   components go on: small ones compare all pairs of different components; in large ones one class
-   after another is the hub of its bucket, compared with the members of other components, and then
-   leaves the bucket, until no bucket holds two components.
+   components go on: the members outside the largest component are compared with all members, in blocks of
+   sets, so that rows are pairs of blocks, not of documents. This settles every pair that could still link.
 
-Nothing is capped: a bucket ends when all its pairs are connected or compared. Texts are read again
+Nothing is capped: each pair of a bucket is connected or compared in the end. Texts are read again
 only for classes that have candidates. Ids reach executors by broadcast only while they are few.
 
 Defined cases: null, empty or wordless text has an empty set and links with nothing; fewer than five
@@ -29,12 +28,13 @@ a null id is its own component and is kept; an empty table gives an empty result
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.llm.common import BROADCAST_ROWS, Scratch, same
 from winnow.llm.components import components
@@ -44,7 +44,7 @@ SHINGLE = 5
 SIZE, ROWS = 128, 4
 BANDS = SIZE // ROWS
 PERCENT = 75
-SMALL_BUCKET = 16           # members; larger buckets take one hub at a time
+BLOCK = 64                  # sets that are compared with as many others at a time
 _STEPS = constants("word", SHINGLE)
 _ROUNDS = constants("round", 2 * SIZE)
 
@@ -116,32 +116,61 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]] if keep else batch[["a", "b"]]
 
 
-class _Verifier:
-    """Compares pairs of representatives on their full sets."""
-
-    def __init__(self, docs: DataFrame, scratch: Scratch):
-        self.docs, self.scratch, self.turn = docs, scratch, 0
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b) with size columns n_a, n_b. Sizes that rule a pair out spare its texts."""
-        self.turn += 1
-        name = f"pairs-{self.turn}"
-        pairs = self.scratch.write(pairs.where(
-            100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b").distinct(), name)
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        wanted = self.scratch.write(wanted, f"wanted-{self.turn}")
-        texts = self.docs
-        if wanted.count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        # Ids that repeat with other texts: any text of the class will do, so the class is checked.
-        texts = self.scratch.write(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]),
-                                   f"texts-{self.turn}")
-        first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-        found = self.scratch.write(both.mapInPandas(_verified, "a long, b long"), f"links-{self.turn}")
-        self.scratch.drop(name, f"wanted-{self.turn}", f"texts-{self.turn}")
-        return found
+def _texts(docs: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """One text per wanted id; ids are broadcast only while they are few."""
+    ids = scratch.write(ids.distinct(), f"ids-{uuid.uuid4().hex[:8]}")
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose full sets are similar enough. Sizes that rule a pair out spare its texts."""
+    pairs = scratch.write(pairs.where(
+        100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b").distinct(), "pairs")
+    both_ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    texts = scratch.write(_texts(docs, both_ends, scratch), "texts")
+    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    found = scratch.write(both.mapInPandas(_verified, "a long, b long"), "links")
+    scratch.drop("texts")
+    return found
+
+
+def _block(column: str, members: Column) -> Column:
+    """A block of about BLOCK of so many members, by hash."""
+    return F.pmod(F.xxhash64(column), F.ceil(members / BLOCK).cast("long"))
+
+
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"rep": batch["doc_id"], "items": [shingles(t).tobytes() for t in batch["text"]]})
+
+
+def _compared(rows) -> Iterator[tuple[int, int]]:
+    """Links between two blocks of sets, those that connect what is not connected in the two blocks yet."""
+    for mine, others in rows:
+        theirs = [np.frombuffer(o["items"], np.uint64) for o in others]
+        sizes = np.array([len(t) for t in theirs])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        joined = np.concatenate(theirs)
+        label = {m["component"]: m["component"] for m in (*mine, *others)}
+
+        def root(c: int) -> int:
+            while label[c] != c:
+                c = label[c]
+            return c
+
+        for one in mine:
+            items = np.frombuffer(one["items"], np.uint64)
+            place = np.minimum(np.searchsorted(items, joined), len(items) - 1)
+            both = np.add.reduceat(items[place] == joined, starts, dtype=np.int64)
+            for i in np.flatnonzero(100 * both >= PERCENT * (len(items) + sizes - both)):
+                a, b = root(one["component"]), root(others[i]["component"])
+                if a != b:
+                    label[a] = b
+                    yield max(one["rep"], others[i]["rep"]), min(one["rep"], others[i]["rep"])
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -156,21 +185,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         signed.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
     members = classes.select("rep", "n", F.posexplode("bands").alias("band", "key")).select("key", "rep", "n")
-    shared = members.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("hub"),
-                                        F.min_by("n", "rep").alias("n_hub")).where("size > 1")
-    shared = scratch.write(shared, "shared")
+    shared = scratch.write(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared")
     buckets = scratch.write(members.join(shared, "key"), "buckets")
     scratch.drop("shared")
-    verify = _Verifier(rows, scratch)
 
-    # 1. One hub per class: the one it shares most buckets with.
-    votes = buckets.where("rep <> hub").groupBy("rep", "hub").agg(
+    # 1. One hub per class. The hub of a bucket is its most central member, the one that meets most
+    # others over all buckets; a class takes the hub it shares most buckets with.
+    degrees = buckets.groupBy("rep").agg(F.sum("size").alias("degree"))
+    hubs = buckets.select("key", "rep", "n").join(degrees, "rep").groupBy("key").agg(
+        F.max(F.struct(F.col("degree"), (-F.col("rep")).alias("minus"), F.col("n"))).alias("h"))
+    hubs = scratch.write(hubs.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("n_hub")), "hubs")
+    votes = buckets.join(hubs, "key").where("rep <> hub").groupBy("rep", "hub").agg(
         F.count("*").alias("n_shared"), F.first("n").alias("n"), F.first("n_hub").alias("n_hub"))
     best = votes.groupBy("rep", "n").agg(F.max_by(F.struct("hub", "n_hub"), F.struct("n_shared", -F.col("hub"))).alias("h"))
     first = scratch.write(best.select(F.col("rep").alias("a"), F.col("h.hub").alias("b"), F.col("n").alias("n_a"),
                                       F.col("h.n_hub").alias("n_b")), "first")
-    links = verify.links(first)
-    tested = first.select("a", "b")
+    links = _verify(rows, first, scratch)
 
     # Sets of repeated ids belong together through their id.
     joined = signed.where("class IS NOT NULL AND doc_id IS NOT NULL").join(classes.select("class", "rep"), "class")
@@ -180,37 +210,34 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         of_repeats = joined.join(repeats.select("doc_id"), "doc_id", "left_semi")
         links = links.unionByName(of_repeats.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b"))
 
-    # 2. Buckets that still hold several components, less the hubs they are done with.
-    active, turn, all_links = buckets.select("key", "rep", "n"), 0, links
-    while True:
-        turn += 1
-        labels = components(all_links)
-        named = active.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        named = scratch.write(named, f"named-{turn}")
-        # The hub of a turn is picked by a hash that changes from turn to turn.
-        order = F.xxhash64(F.lit(turn), "rep")
-        state = named.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2"),
-            F.min(F.struct(order, F.col("rep"), F.col("n"), F.col("component"))).alias("hub")).where("c1 <> c2")
-        state = scratch.write(state.select("key", "size", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("n_hub"),
-                                           F.col("hub.component").alias("hub_component")), f"state-{turn}")
-        if not state.limit(1).count():
-            break
-        active = scratch.write(named.join(state, "key"), f"active-{turn}")
-        few = active.where(F.col("size") <= SMALL_BUCKET).select("key", "rep", "n", "component")
-        other = few.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-        small_pairs = (few.join(other, "key").where("rep > b AND component <> component_b")
-                       .select(F.col("rep").alias("a"), "b", F.col("n").alias("n_a"), "n_b"))
-        hub_pairs = (active.where((F.col("size") > SMALL_BUCKET) & (F.col("component") != F.col("hub_component")))
-                     .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"),
-                             F.when(F.col("rep") > F.col("hub"), F.col("n")).otherwise(F.col("n_hub")).alias("n_a"),
-                             F.when(F.col("rep") > F.col("hub"), F.col("n_hub")).otherwise(F.col("n")).alias("n_b")))
-        fresh = small_pairs.unionByName(hub_pairs).dropDuplicates(["a", "b"]).join(tested, ["a", "b"], "left_anti")
-        fresh = scratch.write(fresh, f"fresh-{turn}")
-        tested = scratch.write(tested.unionByName(fresh.select("a", "b")), f"tested-{turn}")
-        all_links = scratch.write(all_links.select("a", "b").unionByName(verify.links(fresh)), f"all-{turn}")
-        active = active.where((F.col("size") > SMALL_BUCKET) & (F.col("rep") != F.col("hub"))).select("key", "rep", "n")
+    # 2. Buckets that still hold several components: whoever is not of the largest meets all others.
+    labels = components(links)
+    named = scratch.write(buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")), "named")
+    state = (named.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"))
+        .groupBy("key").agg(F.count("*").alias("components"), F.sum("n").alias("size"), F.max("n").alias("largest"),
+                            F.max_by("component", F.struct("n", "component")).alias("major"),
+                            F.sum("members").alias("members")).where("components > 1")
+        # Buckets of the same members are one bucket.
+        .groupBy("size", "members").agg(F.min_by(F.struct("key", "largest", "major"), "key").alias("s"))
+        .select("s.*", "size"))
+    state = scratch.write(state, "state")
+    if state.limit(1).count():
+        open_ = scratch.write(named.join(state, "key").select(
+            "key", "rep", "component", (F.col("component") != F.col("major")).alias("minor"),
+            _block("rep", F.col("size")).alias("block"),
+            _block("rep", F.col("size") - F.col("largest")).alias("minor_block")), "open")
+        sets = scratch.write(_texts(rows, open_.select(F.col("rep").alias("doc_id")), scratch)
+                             .mapInPandas(_sets, "rep long, items binary"), "sets")
+        held = scratch.write(open_.join(sets, "rep").withColumn("member", F.struct("rep", "component", "items")), "held")
+        minor = held.where("minor").groupBy("key", "minor_block").agg(F.collect_list("member").alias("mine"))
+        every = held.groupBy("key", "block").agg(F.collect_list("member").alias("others"))
+        # Rows hold two blocks of sets: the RDD's batches go by size, Arrow's by rows.
+        found = minor.join(every, "key").select("mine", "others").rdd.mapPartitions(_compared)
+        more = scratch.write(spark.createDataFrame(found, "a long, b long"), "more")
+        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+        labels = components(links)
 
     label = labels.select(F.col("node").alias("rep"), "component")
     of_class = scratch.write(classes.select("class", "rep").join(label, "rep", "left").select(
