@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 _WORDS: dict[bytes, int] = {}
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 150_000
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))      # fixed values: a public mixer
 
 

@@ -32,13 +32,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from winnow.llm.common import Scratch
 from winnow.llm.hashing import constants, mixed, word_hashes, words
 
-FILTER_BYTES = 32 << 20
+FILTER_BYTES = 16 << 20
 PROBES = 5                  # bits per item; a missing item is taken for present once in 32
 BITS_PER_ITEM = PROBES / math.log(2)
 BIGRAM = 0.6
-HEAVY, HEAVY_BYTES = 150_000, 48
+HEAVY, HEAVY_BYTES = 60_000, 48
 BUCKET_BYTES = 16 << 20     # text per bucket of the key space
-HELD_KEYS = 3_000_000       # keys a task folds at a time
+HELD_KEYS = 2_000_000       # keys a task folds at a time
 END = b""                   # no word is empty
 _SALT = constants("lm", 4)
 # Smallest count of each level: factors of about 1.4, whole numbers.
@@ -188,7 +188,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch["text"]:
             held.update(words(text))
             held[END] += 1
-            if len(held) > 400_000:
+            if len(held) > 200_000:
                 yield pd.DataFrame({"token": list(held), "n": list(held.values())})
                 held = Counter()
     if held:
@@ -272,7 +272,7 @@ def _scored(label, shared, shape, heavy, n: int, v: int):
                 ones.append(one)
                 twos.append(two)
                 size += len(one)
-                if size >= 300_000:
+                if size >= 100_000:
                     yield frame(rows, ones, twos)
                     rows, ones, twos, size = [], [], [], 0
             if rows:
