@@ -14,8 +14,10 @@ from winnow.sources import readers, sample, sinks
 
 
 def test_settings():
-    assert environment("prod").drop_threshold == 0.8 and environment("anything").max_rows == 10_000
-    assert environment("TEST").max_rows == 100 and Config().drop_threshold == 0.7
+    assert environment("prod").drop_threshold == 0.8 and environment("DEV").drop_threshold == 0.5
+    assert environment("TEST").preview_rows == 3 and Config().drop_threshold == 0.7
+    with pytest.raises(ValueError):
+        environment("prodution")
     assert [(c.outlier_factor, c.drop_threshold, c.impute_strategy, c.preview_rows) for c in PRESETS.values()] == [
         (1.5, 0.5, "median", 10), (2.0, 0.3, "most_frequent", 5), (1.2, 0.7, "mean", 20)]
     for bad in ({"impute_strategy": "x"}, {"drop_threshold": 50}, {"clip_method": "x"}):

@@ -111,12 +111,13 @@ class Roles:
 
 def find_roles(
     df: DataFrame, numerical: Iterable[str] | None = None, categorical: Iterable[str] | None = None,
-    date_cols: Iterable[str] | None = None, order_by: str | None = None, sample: int | None = DATE_SAMPLE,
+    date_cols: Iterable[str] | None = None, order_by: str | None = None, sample: int | None = None,
 ) -> Roles:
     """Numeric by type, categorical for text and booleans, dates by type, name or content.
 
     Lists given by the caller win. Name keywords apply to text only, so a number called
-    ``lifetime`` stays a number.
+    ``lifetime`` stays a number. Content is judged over whole columns, all in one scan, unless
+    ``sample`` asks for that many values.
     """
     if date_cols is None:
         by_type = columns_of(df, "datetime")

@@ -25,9 +25,7 @@ def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None
     """
     cfg = cfg or Config()
     df = load(spark, source)
-    if cfg.max_rows is not None:
-        df = df.limit(cfg.max_rows)
-    if not source.rstrip("/").endswith(".parquet") or cfg.max_rows is not None:
+    if not source.rstrip("/").endswith(".parquet"):
         staged = scratch_path(spark, "staged")
         df.write.parquet(staged)
         df = spark.read.parquet(staged)

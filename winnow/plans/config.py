@@ -26,7 +26,6 @@ class Config:
     clip_method: str = "iqr"
     exact: bool = True    # False: medians and quartiles by sketch, two scans fewer
     preview_rows: int = 10
-    max_rows: int | None = None
     order_by: str | None = None
 
     def __post_init__(self):
@@ -46,9 +45,9 @@ class Config:
 
 # Environments and presets.
 ENVIRONMENTS = {
-    "development": Config(drop_threshold=0.5, preview_rows=5, max_rows=10_000),
+    "development": Config(drop_threshold=0.5, preview_rows=5),
     "production": Config(drop_threshold=0.8),
-    "test": Config(preview_rows=3, max_rows=100),
+    "test": Config(preview_rows=3),
 }
 PRESETS = {
     "balanced": Config(outlier_factor=1.5, drop_threshold=0.5, impute_strategy="median", preview_rows=10),
@@ -59,9 +58,11 @@ ALIASES = {"dev": "development", "prod": "production"}
 
 
 def environment(name: str = "development") -> Config:
-    """Settings of an environment; unknown names mean development."""
+    """Settings of an environment by its name or short name; unknown names raise."""
     key = ALIASES.get(name.lower(), name.lower())
-    return ENVIRONMENTS.get(key, ENVIRONMENTS["development"])
+    if key not in ENVIRONMENTS:
+        raise ValueError(f"unknown environment {name!r}; known are {', '.join(ENVIRONMENTS)}")
+    return ENVIRONMENTS[key]
 
 
 def preset(name: str) -> Config:
