@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MAX_VOCABULARY = 300_000
 CACHED_PIECES = 500_000
 CACHED_BYTES = 64           # longer pieces are not cached
+CACHED_PAIRS = 1_000_000
+NO_TOKEN = -1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,15 +51,18 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks), default=1)
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
-        self._own: dict[bytes, bool] = {}
-
-    def merged(self, piece: bytes) -> list[bytes]:
-        """BPE by its definition: merge the adjacent pair of lowest rank until none is left."""
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        # Every ending of a token, with its rank, or NO_TOKEN if it is none itself. Longer ones need no look-up.
+        self.endings = {t[i:]: ranks.get(t[i:], NO_TOKEN) for t in ranks for i in range(len(t))}
+        self.pairs: dict[int, bool] = {}
+        self._splits: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self._edges: tuple[dict, dict] = {}, {}
+
+    def merged(self, piece: bytes, until: int = 1) -> list[bytes]:
+        """BPE by its definition: merge the adjacent pair of lowest rank until none (or ``until`` parts) is left."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
         ranks = self.ranks
-        while len(parts) > 1:
+        while len(parts) > until:
             found = [(rank, i) for i, pair in enumerate(zip(parts, parts[1:]))
                      if (rank := ranks.get(pair[0] + pair[1])) is not None]
             if not found:
@@ -66,44 +71,90 @@ class Vocabulary:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def split(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The last merge that builds a token from its bytes, or None."""
+        if token not in self._splits:
+            parts = self.merged(token, 2)
+            self._splits[token] = tuple(parts) if len(parts) == 2 and b"".join(parts) in self.ranks else None
+        return self._splits[token]
+
     def reachable(self, token: bytes) -> bool:
         """Whether BPE builds the token from its own bytes."""
-        known = self._own.get(token)
-        if known is None:
-            known = self._own[token] = self.merged(token) == [token]
+        return len(token) == 1 or self.split(token) is not None
+
+    def edge(self, token: bytes, side: int) -> list[tuple[bytes, int]] | None:
+        """Tokens that lie at the right (side 1) or left (0) end while BPE builds the token, from its end byte
+        on, each with its rank; None unless every merge inside has a higher rank than those it builds on."""
+        known = self._edges[side]
+        if token not in known:
+            if len(token) == 1:
+                known[token] = [(token, -1)]
+            else:
+                parts, rank = self.split(token), self.ranks[token]
+                inner = [self.edge(p, side) for p in parts]
+                steady = all(e is not None and e[-1][1] < rank for e in inner)
+                known[token] = inner[side] + [(token, rank)] if steady else None
+        return known[token]
+
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether BPE leaves two tokens, given by rank, side by side; answers are kept in ``pairs``."""
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        first, second = self.bytes[left], self.bytes[right]
+        known = self.pairs[left << 32 | right] = (
+            self.reachable(first) and self.reachable(second) and self._stay_apart(first, second))
         return known
 
-    def compatible(self, left: bytes, right: bytes) -> bool:
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == [left, right]
-        return known
+    def _stay_apart(self, left: bytes, right: bytes) -> bool:
+        """Merges go by rank, so two neighbours at the boundary stay neighbours until the lower of the ranks that
+        extend them; they are merged if their own rank comes first (at equal ranks the left pair does)."""
+        mine, theirs = self.edge(left, 1), self.edge(right, 0)
+        if mine is None or theirs is None:
+            return self.merged(left + right) == [left, right]
+        i = j = 0
+        while True:
+            rank = self.ranks.get(mine[i][0] + theirs[j][0])
+            after_left = mine[i + 1][1] if i + 1 < len(mine) else None
+            after_right = theirs[j + 1][1] if j + 1 < len(theirs) else None
+            if rank is not None and (after_left is None or rank < after_left) and (
+                    after_right is None or rank <= after_right):
+                return False
+            if after_left is None and after_right is None:
+                return True
+            if after_right is None or (after_left is not None and after_left <= after_right):
+                i += 1
+            else:
+                j += 1
 
 
 class PieceEncoder:
     """The last token of every prefix of one piece."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
-        self.vocabulary, self.piece, self.last = vocabulary, b"", []
+        self.vocabulary, self.piece, self.last = vocabulary, b"", []      # last: ids, one a prefix
         self.append(piece)
 
     def append(self, more: bytes) -> None:
         """Extend the piece; the stored prefixes stay as they are."""
         v, start = self.vocabulary, len(self.last)
         self.piece += more
-        piece, last, ranks = self.piece, self.last, self.vocabulary.ranks
+        piece, last, ending, known = self.piece, self.last, v.endings.get, v.pairs.get
         for end in range(start + 1, len(piece) + 1):
-            for size in range(min(end, v.longest), 0, -1):
-                token = piece[end - size:end]
-                if token not in ranks or not v.reachable(token):
+            for at in range(end - 1, -1, -1):
+                token = ending(piece[at:end])
+                if token is None:
+                    raise ValueError(f"no token ends at byte {piece[end - 1]}")
+                if token == NO_TOKEN:
                     continue
-                if size == end or v.compatible(last[end - size - 1], token):
+                if at:
+                    fits = known(last[at - 1] << 32 | token)
+                    if fits is None:
+                        fits = v.compatible(last[at - 1], token)
+                else:
+                    fits = v.reachable(v.bytes[token])
+                if fits:
                     last.append(token)
                     break
-            else:
-                raise ValueError(f"byte {piece[end - 1]} is not in the vocabulary")
 
     def edit(self, start: int, end: int, new: bytes) -> None:
         """Replace bytes start to end; prefixes before ``start`` are kept."""
@@ -111,15 +162,15 @@ class PieceEncoder:
         self.piece, self.last = self.piece[:start], self.last[:start]
         self.append(tail)
 
-    def tokens(self) -> list[bytes]:
-        out, end = [], len(self.piece)
+    def ids(self) -> list[int]:
+        out, end, size = [], len(self.piece), self.vocabulary.sizes
         while end:
             out.append(self.last[end - 1])
-            end -= len(out[-1])
+            end -= size[out[-1]]
         return out[::-1]
 
-    def ids(self) -> list[int]:
-        return [self.vocabulary.ranks[t] for t in self.tokens()]
+    def tokens(self) -> list[bytes]:
+        return [self.vocabulary.bytes[i] for i in self.ids()]
 
 
 class Encoder:
