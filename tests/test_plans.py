@@ -53,6 +53,15 @@ def test_transform_runs_no_job_and_shuffles_nothing(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_compat_fills_the_exact_median_in_the_shared_fit(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([1.0, 2.0, 30.0, 41.0, None])], "id int, v double")
+    for strategy in ("median", "most_frequent"):
+        cfg = Config(impute_strategy=strategy, compat=True)
+        one, other = cleaning.fit_cleaning(df, cfg), cleaning.cleaning_pipeline(cfg).fit(df)
+        assert one.transform(df).collect() == other.transform(df).collect()
+        assert one.transform(df).where("id = 4").first()["v"] == 16.0
+
+
 @pytest.mark.parametrize("strategy", ["median", "mean", "most_frequent"])
 def test_the_shared_fit_equals_the_stages(spark, strategy):
     cfg = Config(impute_strategy=strategy, drop_threshold=0.85, order_by="event_id")    # user_id is filled

@@ -261,6 +261,16 @@ def measure(df: DataFrame, probs: Sequence[float] = (), needed=lambda s: True,
     return Measured(counts.pop(""), stats, counts)
 
 
+def numeric_rule_of(strategy: str, compat: bool) -> str:
+    """How numbers are filled; ``compat`` knows mean and median only."""
+    return "median" if compat and strategy != "mean" else strategy
+
+
+def needs_median(strategy: str, compat: bool) -> bool:
+    """Whether numbers or moments are filled with a median."""
+    return "median" in (strategy, numeric_rule_of(strategy, compat))
+
+
 def fit_nulls(
     df: DataFrame, threshold: float = 0.5, strategy: str = "median",
     categorical: str = "mode", compat: bool = False, measured: Measured | None = None,
@@ -278,14 +288,14 @@ def fit_nulls(
     numeric = columns_of(df, "numeric")
     moments = columns_of(df, "datetime")
     rest = [c for c in df.columns if c not in numeric and c not in moments]
-    numeric_rule = "median" if compat and strategy != "mean" else strategy
+    numeric_rule = numeric_rule_of(strategy, compat)
     moment_rule = "median" if strategy == "median" else "latest"
 
     def imputed(s) -> bool:
         return s.rows > 0 and 0 < s.nulls <= threshold * s.rows
 
     if measured is None:
-        probs = (0.5,) if numeric_rule == "median" or moment_rule == "median" else ()
+        probs = (0.5,) if needs_median(strategy, compat) else ()
         measured = measure(df, probs, imputed, exact)
     rows, stats = measured.rows, measured.stats
     nulls = {c: stats[c].nulls if c in stats else rows - measured.counts[c] for c in df.columns}

@@ -99,8 +99,10 @@ def fit_cleaning(df: DataFrame, cfg: Config | None = None) -> PipelineModel:
     type_model = type_stage(cfg).fit(df)
     typed = type_model.transform(df)
 
+    median = nulls.needs_median(cfg.impute_strategy, cfg.compat)
+
     def imputed(s) -> bool:
-        return cfg.impute_strategy == "median" and 0 < s.nulls <= cfg.drop_threshold * s.rows
+        return median and 0 < s.nulls <= cfg.drop_threshold * s.rows
 
     measured = nulls.measure(typed, (0.5,), imputed, cfg.exact)
     fit = nulls.fit_nulls(typed, cfg.drop_threshold, cfg.impute_strategy, cfg.categorical_impute,
