@@ -195,6 +195,23 @@ def test_bpe_equals_the_library(docs):
     assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in both)
 
 
+def test_bpe_boundaries_follow_the_definition():
+    v = bpe.Vocabulary(RANKS)
+    rng = random.Random(5)
+    tokens = [t for t in rng.sample(sorted(RANKS), 3000) if v.reachable(t)] + [b"a" * n for n in (1, 2, 3, 4, 8) if b"a" * n in RANKS]
+    apart = 0
+    for _ in range(6000):
+        left, right = rng.choice(tokens), rng.choice(tokens)
+        if rng.random() < 0.5:                      # halves of a token are the hard pairs
+            whole = rng.choice(tokens)
+            cut = rng.randint(1, len(whole) - 1) if len(whole) > 1 else 1
+            left, right = (whole[:cut], whole[cut:]) if whole[:cut] in RANKS and whole[cut:] in RANKS else (left, right)
+        want = v.merged(left + right) == [left, right]
+        assert v.compatible(RANKS[left], RANKS[right]) == want, (left, right)
+        apart += want
+    assert 500 < apart < 5900
+
+
 def test_bpe_appends_and_edits():
     v = bpe.Vocabulary(RANKS)
     rng = random.Random(3)
