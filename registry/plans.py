@@ -96,7 +96,7 @@ LONG = " UNION ALL ".join([
     long_rows("final", FINAL, FACTS + ["rows_removed", "columns_removed", "bytes_reduction_pct", "null_reduction_pct",
                                        "outlier_factor", "drop_threshold"],
               ["stage", "removed_columns", "steps", "impute_strategy"], None),
-    long_rows("schema", SCHEMA, ["bytes_before", "bytes_after", "bytes_saved"],
+    long_rows("schema", SCHEMA, ["bytes_before", "bytes_after", "bytes_saved", "values_lost"],
               ["stage", "original_type", "new_type", "role"]),
     long_rows("missing_values", NULLS, ["total_rows", "null_count", "to_drop", "fill_number", "null_pct"],
               ["stage", "fill_text"]),

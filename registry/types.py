@@ -56,6 +56,21 @@ def parse_dates(spark, sf):
     return types.parse_dates(df, ["ts_exact"], exact=True, order_by="event_id")
 
 
+def parse_dates_mixed(spark, sf):
+    """Plain days, days with a T and a time, days in American order, and junk in one column."""
+    form = "CASE event_id % 4 WHEN 0 THEN 'yyyy-MM-dd' WHEN 1 THEN \"yyyy-MM-dd'T'HH:mm:ss\" WHEN 2 THEN 'MM/dd/yyyy' END"
+    df = dirty(spark, sf).select("event_id", F.expr(f"coalesce(date_format(ts, {form}), '-')").alias("mixed"))
+    return types.parse_dates(df, ["mixed"])
+
+
+def classify_late_dates(spark, sf):
+    """Text that turns to dates after the first hundred rows, and text that stops being dates there."""
+    df = dirty(spark, sf).select(
+        "event_id", F.expr("IF(event_id < 100, 'pending', CAST(ts AS STRING))").alias("late"),
+        F.expr("IF(event_id < 100, CAST(ts AS STRING), 'code')").alias("early"))
+    return types.classify_columns(df, order_by="event_id")
+
+
 def coerce_numeric(spark, sf):
     return types.coerce_numeric(dirty(spark, sf).select("event_id", "amount_text"), ["amount_text"])
 
@@ -87,7 +102,8 @@ def type_changes(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     select_numeric, drop_columns, drop_nulls, outlier_rows, between_all, classify_columns,
-    date_named_columns, date_parse_ratio, infer_date_format, parse_dates, coerce_numeric,
+    date_named_columns, date_parse_ratio, infer_date_format, parse_dates, parse_dates_mixed,
+    classify_late_dates, coerce_numeric,
     narrow_integers, narrow_floats, tag_categoricals, schema_report, type_changes)}
 
 # ---------------------------------------------------------------- checking SQL
@@ -121,13 +137,15 @@ def _size(c: str, dtype: str) -> str:
 
 # What typing does to the view: whole floats within 0..255 narrow, parsed text becomes a date.
 TYPED = dict(DIRTY_TYPES, ts_text="timestamp_ntz", whole_float="smallint")
+_CASTS = {"timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT"}
 SCHEMA_REPORT = f"""
   SELECT s."column", s.original_type, s.new_type, r.role, s.bytes_before, s.bytes_after,
-         s.bytes_before - s.bytes_after AS bytes_saved
+         s.bytes_before - s.bytes_after AS bytes_saved, s.values_lost
   FROM ({per_column(list(DIRTY_COLUMNS), lambda c: f'''
     SELECT '{c}' AS "column", '{DIRTY_TYPES[c]}' AS original_type, '{TYPED[c]}' AS new_type,
            CAST({_size(c, DIRTY_TYPES[c])} AS BIGINT) AS bytes_before,
-           CAST({_size(c, TYPED[c])} AS BIGINT) AS bytes_after FROM dirty''')}) s
+           CAST({_size(c, TYPED[c])} AS BIGINT) AS bytes_after,
+           count({c}) - count(TRY_CAST({c} AS {_CASTS.get(TYPED[c], "VARCHAR")})) AS values_lost FROM dirty''')}) s
   JOIN ({ROLES}) r ON r."column" = s."column"
 """
 
@@ -154,6 +172,15 @@ SQL = {
     "parse_dates": f"""{DIRTY} SELECT event_id, CAST(ts_text AS TIMESTAMP) AS ts_text,
         CASE WHEN length(ts_text) = 19 THEN CAST(ts_text AS TIMESTAMP) END AS ts_exact,
         CAST(substring(ts_text, 1, 10) AS TIMESTAMP) AS day_text FROM dirty""",
+    "parse_dates_mixed": f"""{DIRTY} SELECT event_id, CASE event_id % 4 WHEN 0 THEN date_trunc('day', ts)
+        WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN date_trunc('day', ts) END AS mixed FROM dirty""",
+    "classify_late_dates": f"""{DIRTY}, t AS (SELECT CASE WHEN event_id < 100 THEN 'pending' ELSE CAST(ts AS VARCHAR) END AS late,
+        CASE WHEN event_id < 100 THEN CAST(ts AS VARCHAR) ELSE 'code' END AS early FROM dirty)
+        SELECT 'event_id' AS "column", 'bigint' AS dtype, 'numerical' AS role
+        UNION ALL SELECT 'late', 'string', CASE WHEN avg(CAST(TRY_CAST(late AS TIMESTAMP) IS NOT NULL AS INTEGER)) > 0.8
+            THEN 'date' ELSE 'categorical' END FROM t WHERE late IS NOT NULL
+        UNION ALL SELECT 'early', 'string', CASE WHEN avg(CAST(TRY_CAST(early AS TIMESTAMP) IS NOT NULL AS INTEGER)) > 0.8
+            THEN 'date' ELSE 'categorical' END FROM t WHERE early IS NOT NULL""",
     "coerce_numeric": f"{DIRTY} SELECT event_id, TRY_CAST(amount_text AS DOUBLE) AS amount_text FROM dirty",
     "narrow_integers": f"{DIRTY} SELECT event_id, CAST(whole_float AS SMALLINT) AS whole_float, value, "
                        "CAST(whole_float * 100 - 200 AS SMALLINT) AS signed, "

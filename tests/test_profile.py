@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,11 @@ def test_hot_copies(spark):
     assert tuple(profile.duplicate_count(df).first()) == (9000, 2999)
 
 
+def test_duplicates_take_one_shuffle_of_digests(df):
+    plan = profile.duplicate_count(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 2
+
+
 def test_distinct_counts(df, spark):
     got = {r["column"]: r["distinct"] for r in frequency.distinct_counts(df, df.columns).collect()}
     assert got == {"i": 3, "d": 1, "s": 2, "l": 2, "t": 2}
@@ -69,6 +75,22 @@ def test_correlation(spark):
         assert (r["r"] is None) if np.isnan(w) else r["r"] == pytest.approx(w)
 
 
+def test_correlation_of_many_columns(spark):
+    rng = np.random.default_rng(3)
+    x = 1e9 + rng.normal(size=(1000, 40)) @ rng.normal(size=(40, 40))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 1e9
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(40)])
+    start = time.time()
+    got = {(r["x"], r["y"]): r["r"] for r in profile.correlation(spark.createDataFrame(frame)).collect()}
+    assert time.time() - start < 10 and len(got) == 1600
+    want = frame.corr()
+    for (a, b), r in got.items():
+        assert r is None if "c7" in (a, b) else r == pytest.approx(want.loc[a, b], abs=1e-6)
+    none = profile.correlation(spark.createDataFrame([], "a int, b double")).collect()
+    assert len(none) == 4 and all(r["r"] is None for r in none)
+
+
 def test_days_are_whole_periods(df):
     row = profile.datetime_profile(df).first()
     assert (row["range_days"], row["non_null"], row["null_count"], row["null_pct"]) == (1, 3, 2, 40.0)

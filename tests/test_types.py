@@ -53,11 +53,31 @@ def test_numbers_are_not_years(spark):
 
 def test_keywords(spark):
     assert is_date_name("Start_Time") and is_date_name("updated_by") and not is_date_name("day")
-    df = spark.createDataFrame([(1.5, "x", "2024-01-01", True, "a")],
-                               "lifetime double, updated_by string, when_ string, updated boolean, name string")
+    df = spark.createDataFrame([(1.5, "x", "2024-01-01", True, "a", "good", "2024-01-05T10:00:00", None)],
+                               "lifetime double, updated_by string, when_ string, updated boolean, name string, "
+                               "sentiment string, created_at string, end_time string")
     roles = {r["column"]: r["role"] for r in types.classify_columns(df).collect()}
-    assert roles == {"lifetime": "numerical", "updated_by": "date", "when_": "date",
-                     "updated": "categorical", "name": "categorical"}
+    assert roles == {"lifetime": "numerical", "updated_by": "categorical", "when_": "date",
+                     "updated": "categorical", "name": "categorical", "sentiment": "categorical",
+                     "created_at": "date", "end_time": "date"}
+
+
+def test_a_keyword_lowers_the_share(spark):
+    rows = [("2024-01-01", "2024-01-01")] * 6 + [("x", "x")] * 4
+    df = spark.createDataFrame(rows, "start_date string, other string")
+    roles = {r["column"]: r["role"] for r in types.classify_columns(df).collect()}
+    assert roles == {"start_date": "date", "other": "categorical"}
+
+
+def test_mixed_dates_keep_their_values(spark):
+    df = spark.createDataFrame([("-",), ("03/25/2024",), ("2024-01-05",), ("2024-01-05T10:00:00",), ("2024-01-05 10:00",)] * 4,
+                               "t string")
+    fit = types.fit_types(df, date_cols=["t"])
+    got = [r["t"] for r in types.apply_types(df, fit).collect()[:5]]
+    assert got == [None, dt.datetime(2024, 3, 25), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5, 10),
+                   dt.datetime(2024, 1, 5, 10)]
+    assert types.schema_report(df, fit).first()["values_lost"] == 4
+    assert types.parse_dates(df, ["t"], {"t": "yyyy-MM-dd"}).where("t is not null").count() == 4
 
 
 def test_the_share_must_be_above_80_percent(spark):

@@ -47,8 +47,11 @@ def parse(c: Column, fmt: str | None, exact: bool = False) -> Column:
 
 
 def parse_any(c: Column) -> Column:
-    """Parse each value by whichever known format fits it, else by the default parser."""
+    """Parse each value by whichever known format fits it, else by the default parser.
+
+    The default parser reads ISO text with a ``T`` between day and time, which also starts like a date.
+    """
     out = parse(c, None)
     for pattern, fmt in reversed(DATE_FORMATS):
-        out = F.when(c.rlike("^" + pattern), parse(c, fmt)).otherwise(out)
+        out = F.when(c.rlike("^" + pattern), F.coalesce(parse(c, fmt), parse(c, None))).otherwise(out)
     return out

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from itertools import combinations
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from winnow.functions.columns import (
@@ -17,7 +19,6 @@ from winnow.operators.nulls import null_counts
 from winnow.operators.quantiles import Stats, summarize
 
 SAMPLE_CHARS = 100     # fixed value: samples are cut to this length
-TOP_SIZES = 15         # fixed value: columns in the size ranking
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -103,30 +104,71 @@ def column_statistics(df: DataFrame, name: str) -> DataFrame:
     )).withColumn("null_pct", half_even(share_pct(F.col("null_count"), F.col("total_rows"))))
 
 
+PAIR_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+PAIR_ENDS = ("lo_x", "lo_y", "hi_x", "hi_y")
+
+
+def _pair_sums(shift: np.ndarray, scale: np.ndarray):
+    """Sums over the rows where both columns of a pair are present, for all pairs of a task."""
+    k = len(shift)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, one, two, both = (np.zeros((k, k)) for _ in range(4))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for batch in batches:
+            with np.errstate(all="ignore"):
+                x = (batch.to_numpy(float) - shift) / scale
+                seen = ~np.isnan(x)
+                value, weight = np.where(seen, x, 0.0), seen.astype(float)
+                n += weight.T @ weight
+                one += value.T @ weight             # [a, b]: sum of a where b is present
+                two += (value * value).T @ weight
+                both += value.T @ value
+            for b in range(k):
+                here = seen[:, b]
+                low[:, b] = np.minimum(low[:, b], np.where(seen, x, np.inf)[here].min(0, initial=np.inf))
+                high[:, b] = np.maximum(high[:, b], np.where(seen, x, -np.inf)[here].max(0, initial=-np.inf))
+        a, b = np.triu_indices(k)
+        yield pd.DataFrame({
+            "a": a, "b": b, "n": n[a, b], "x": one[a, b], "y": one[b, a], "xx": two[a, b], "yy": two[b, a],
+            "xy": both[a, b], "lo_x": low[a, b], "lo_y": low[b, a], "hi_x": high[a, b], "hi_y": high[b, a]})
+
+    return fold
+
+
 def correlation(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Pearson matrix in long form ``(x, y, r)`` over the rows where both are present.
 
-    Every pair in one pass. A constant side gives null; it is told by its extremes, since
-    variances merged from partitions are not exactly zero.
+    One scan measures means and extremes. Another sums products of all pairs, centred and scaled, as
+    matrix products over Arrow batches: a plan that does not grow with the pairs, and a row per pair and task
+    to merge. A constant side gives null; it is told by its extremes, as merged variances are not exactly
+    zero. An infinite value leaves its column without coefficients that are numbers.
     """
     names = numeric_columns(df, cols)
-    values = {c: present(df, c).cast("double") for c in names}
-    aggs, cells = [], []
-    for i, c in enumerate(names):
-        aggs.append((F.min(values[c]) < F.max(values[c])).alias(f"v{i}"))
-        one = F.when(F.col(f"v{i}"), F.lit(1.0))
-        cells.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), one.alias("r")))
-    for (i, a), (j, b) in combinations(enumerate(names), 2):
-        x, y = F.when(values[b].isNotNull(), values[a]), F.when(values[a].isNotNull(), values[b])
-        r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        aggs.append(F.when(varies, r).alias(f"r{i}_{j}"))
-        for left, right in ((a, b), (b, a)):
-            cells.append(F.struct(
-                F.lit(left).alias("x"), F.lit(right).alias("y"), F.col(f"r{i}_{j}").alias("r")))
+    spark, schema = df.sparkSession, "x string, y string, r double"
     if not names:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+        return spark.createDataFrame([], schema)
+    values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    row = values.agg(F.count(F.lit(1)).alias("rows"), *[
+        f(v).alias(f"{k}{i}") for i, v in enumerate(values.columns)
+        for k, f in (("mid", F.avg), ("low", F.min), ("high", F.max))]).first()
+    if not row["rows"]:
+        return spark.createDataFrame([(a, b, None) for a, b in product(names, names)], schema)
+    finite = lambda x, instead: instead if x is None or not np.isfinite(x) else x
+    shift = np.array([finite(row[f"mid{i}"], 0.0) for i in range(len(names))])
+    reach = [finite(row[f"high{i}"], 1.0) - finite(row[f"low{i}"], 0.0) for i in range(len(names))]
+    scale = np.array([r if np.isfinite(r) and r > 0 else 1.0 for r in reach])
+    sums = values.mapInPandas(_pair_sums(shift, scale), "a int, b int, " + ", ".join(
+        f"{c} double" for c in (*PAIR_SUMS, *PAIR_ENDS))).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in PAIR_SUMS],
+        *[(F.min if c.startswith("lo") else F.max)(c).alias(c) for c in PAIR_ENDS])
+    varies = F.expr("lo_x < hi_x AND lo_y < hi_y")
+    r = F.expr("try_divide(xy - x * y / n, sqrt(xx - x * x / n) * sqrt(yy - y * y / n))")
+    r = F.when(varies, F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(r))
+    listed = F.array(*[F.lit(c) for c in names])
+    pairs = sums.select("a", "b", r.alias("r"))
+    pairs = pairs.unionByName(pairs.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    return pairs.select(F.get(listed, "a").alias("x"), F.get(listed, "b").alias("y"), "r")
 
 
 # ---------------------------------------------------------------- dates
@@ -159,30 +201,21 @@ def dtype_distribution(df: DataFrame) -> DataFrame:
 def duplicate_count(df: DataFrame) -> DataFrame:
     """``(total_rows, duplicate_rows)``: rows equal to another one, beyond the first.
 
-    Rows are first counted by a 64-bit hash, so that only eight bytes a row are shuffled.
-    Rows whose hash is alone are distinct; the rest are compared in full, so a hash
-    collision cannot pass for a duplicate. The comparison folds copies map-side.
+    Rows are told by a 256-bit digest of all their values, counted in one shuffle of 32 bytes a row.
+    Equal rows fold map-side, so one that fills a third of the table is one row per task.
     """
-    keys = [_key(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)]
-    hashed = df.select(*keys).withColumn("h", F.xxhash64(*[f"k{i}" for i in range(len(keys))]))
-    per_hash = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    shared = per_hash.filter("n > 1")
-    kept = hashed.join(shared.select("h"), "h", "left_semi").distinct()
-    # every hash adds its rows to the total and, when shared, to the candidates; every
-    # distinct row among the candidates takes one off again
-    nothing = F.lit(0).cast("bigint")
-    parts = per_hash.agg(
-        F.sum("n").alias("total_rows"),
-        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_rows"),
-    ).unionByName(kept.agg(nothing.alias("total_rows"), (-F.count(F.lit(1))).alias("duplicate_rows")))
-    return parts.agg(*[F.coalesce(F.sum(c), nothing).alias(c) for c in ("total_rows", "duplicate_rows")])
+    texts = [_key(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)]
+    whole = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}) if texts else F.lit("")
+    per_row = df.groupBy(F.unhex(F.sha2(F.encode(whole, "UTF-8"), 256)).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
+    return per_row.agg(total.alias("total_rows"), (total - F.count(F.lit(1))).alias("duplicate_rows"))
 
 
 def _key(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return present(df, name) + F.lit(0.0).cast(dtype)
-    return F.to_json(col(name)) if isinstance(dtype, (T.MapType, T.StructType)) else col(name)
+    """A value as text, equal exactly when the values are; moments by their number."""
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return micros(df, name).cast("string")
+    return as_text(df, name)
 
 
 def quality_scores(df: DataFrame) -> DataFrame:

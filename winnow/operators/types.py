@@ -20,6 +20,7 @@ from winnow.operators.profile import size_expressions
 DATE_SAMPLE = 100
 DATE_SHARE = 0.8
 MAX_CATEGORIES = 1000
+NAMED_SHARE = 0.5       # the share where the name suggests a date
 
 # Upper limits of the unsigned and signed integer types. Spark has no
 # unsigned types, so each unsigned one maps to the next wider signed type.
@@ -116,19 +117,19 @@ def find_roles(
     """Numeric by type, categorical for text and booleans, dates by type, name or content.
 
     Lists given by the caller win. Name keywords apply to text only, so a number called
-    ``lifetime`` stays a number. Content is judged over whole columns, all in one scan, unless
-    ``sample`` asks for that many values.
+    ``lifetime`` stays a number. A keyword lowers the share of values that must parse, so text
+    called ``sentiment`` stays text; only without any value does the name decide alone. Content is
+    judged over whole columns, all in one scan, unless ``sample`` asks for that many values.
     """
     if date_cols is None:
         by_type = columns_of(df, "datetime")
         text = columns_of(df, "categorical")
-        named = [c for c in text if dates.is_date_name(c)]
-        unsure = [c for c in text if c not in named and c not in set(numerical or ())]
+        unsure = [c for c in text if c not in set(numerical or ())]
         parsed = []
         if unsure:
             parsed = [r["column"] for r in date_parse_ratio(df, unsure, sample, order_by).collect()
-                      if r["sampled"] and r["ratio"] > DATE_SHARE]
-        found = [c for c in df.columns if c in by_type or c in named or c in parsed]
+                      if _is_date(r["column"], r["ratio"])]
+        found = [c for c in df.columns if c in by_type or c in parsed]
     else:
         found = [c for c in date_cols if c in df.columns]
     numbers = columns_of(df, "numeric") if numerical is None else list(numerical)
@@ -138,6 +139,12 @@ def find_roles(
     return Roles(numbers, [c for c in groups if c in df.columns and c not in taken], found)
 
 
+def _is_date(name: str, ratio: float | None) -> bool:
+    """Whether a text column of this name, of which this share parses, holds dates."""
+    named = dates.is_date_name(name)
+    return named if ratio is None else ratio > (NAMED_SHARE if named else DATE_SHARE)
+
+
 def classify_columns(df: DataFrame, numerical=None, categorical=None, dates=None,
                      order_by: str | None = None) -> DataFrame:
     """``(column, dtype, role)`` with role numerical, categorical, date or other."""
@@ -167,19 +174,24 @@ def parse_dates(
     df: DataFrame, cols: Sequence[str], formats: Mapping[str, str] | None = None,
     exact: bool = False, order_by: str | None = None,
 ) -> DataFrame:
-    """Text columns to timestamps by the given, else inferred, else default format."""
+    """Text columns to timestamps by the given format, else by the inferred and then the other known ones.
+
+    ``exact`` holds a column to its one format, and so does a format that the caller gives.
+    """
     known = dict(formats or {})
     unknown = [c for c in cols if c not in known and kind(df.schema[c].dataType) == "categorical"]
     if unknown:
         known |= {r["column"]: r["format"] for r in infer_date_format(df, unknown, order_by).collect()}
-    return df.withColumns({c: date_value(df, c, known.get(c), exact) for c in cols})
+    return df.withColumns({c: date_value(df, c, known.get(c), exact, c in (formats or {})) for c in cols})
 
 
-def date_value(df: DataFrame, name: str, fmt: str | None, exact: bool) -> Column:
+def date_value(df: DataFrame, name: str, fmt: str | None, exact: bool, given: bool = False) -> Column:
     dtype = df.schema[name].dataType
     if is_temporal(dtype):
         return col(name) if not isinstance(dtype, T.DateType) else col(name).cast("timestamp_ntz")
-    return dates.parse(col(name).cast("string"), fmt, exact)
+    text = col(name).cast("string")
+    one = dates.parse(text, fmt, exact)
+    return one if exact or given else F.coalesce(one, dates.parse_any(text))
 
 
 # ---------------------------------------------------------------- numbers
@@ -269,6 +281,7 @@ class TypeFit:
     singles: list[str]
     few: dict[str, bool]
     exact_dates: bool = False
+    given: list[str] = field(default_factory=list)      # date columns whose format the caller gave
 
 
 def fit_types(
@@ -276,9 +289,10 @@ def fit_types(
     formats: Mapping[str, str] | None = None, exact_dates: bool = False,
     single_floats: bool = False, max_cardinality: int = MAX_CATEGORIES, order_by: str | None = None,
 ) -> TypeFit:
-    """Roles from a small sample, then formats, ranges and cardinalities in one scan."""
+    """Roles from one scan of the text columns, then formats, ranges and cardinalities in another."""
     roles = find_roles(df, numerical, categorical, date_cols, order_by)
     known = {c: f for c, f in (formats or {}).items() if c in roles.dates}
+    given = list(known)
     unknown = [c for c in roles.dates if c not in known
                and kind(df.schema[c].dataType) == "categorical"]
     ranged = [c for c in roles.numerical
@@ -295,7 +309,7 @@ def fit_types(
     singles = [c for i, c in enumerate(ranged) if single_floats and not integers[c]
                and row[f"hi_{i}"] is not None and abs(row[f"hi_{i}"]) <= FLOAT_LIMIT]
     few = settle_cardinality(df, {c: row[f"few_{i}"] for i, c in enumerate(groups)}, max_cardinality)
-    return TypeFit(roles, known, {c: t for c, t in integers.items() if t}, singles, few, exact_dates)
+    return TypeFit(roles, known, {c: t for c, t in integers.items() if t}, singles, few, exact_dates, given)
 
 
 def typed_expressions(df: DataFrame, fit: TypeFit) -> dict[str, Column]:
@@ -304,7 +318,7 @@ def typed_expressions(df: DataFrame, fit: TypeFit) -> dict[str, Column]:
     for c in df.columns:
         out[c] = col(c)
         if c in fit.roles.dates:
-            out[c] = date_value(df, c, fit.formats.get(c), fit.exact_dates)
+            out[c] = date_value(df, c, fit.formats.get(c), fit.exact_dates, c in fit.given)
         elif c in fit.roles.numerical:
             out[c] = number_value(df, c)
             if c in fit.integers or c in fit.singles:
@@ -323,7 +337,8 @@ def apply_types(df: DataFrame, fit: TypeFit) -> DataFrame:
 # ---------------------------------------------------------------- reports
 
 def schema_report(df: DataFrame, fit: TypeFit | None = None, order_by: str | None = None) -> DataFrame:
-    """Per column: original and new type, role, logical bytes before, after and saved."""
+    """Per column: original and new type, role, logical bytes before, after and saved, and
+    ``values_lost``, the values that typing turns into nulls."""
     fit = fit or fit_types(df, order_by=order_by)
     typed = apply_types(df, fit)
     # both sizes from one scan: the typed columns ride along under other names
@@ -334,14 +349,15 @@ def schema_report(df: DataFrame, fit: TypeFit | None = None, order_by: str | Non
     after_size = size_expressions(both, list(after.values()))
     dtypes = dict(typed.dtypes)
     return aggregate_rows(both, df.columns, {
-        c: {"bytes_before": before_size[c], "bytes_after": after_size[after[c]]} for c in df.columns
-    }, "bytes_before bigint, bytes_after bigint").select(
+        c: {"bytes_before": before_size[c], "bytes_after": after_size[after[c]],
+            "values_lost": F.count(present(both, c)) - F.count(present(both, after[c]))} for c in df.columns
+    }, "bytes_before bigint, bytes_after bigint, values_lost bigint").select(
         "column",
         _by_name({f.name: f.dataType.simpleString() for f in df.schema}).alias("original_type"),
         _by_name(dtypes).alias("new_type"),
         _by_name({c: fit.roles.of(c) for c in df.columns}).alias("role"),
         "bytes_before", "bytes_after",
-        (F.col("bytes_before") - F.col("bytes_after")).alias("bytes_saved"),
+        (F.col("bytes_before") - F.col("bytes_after")).alias("bytes_saved"), "values_lost",
     )
 
 
