@@ -20,6 +20,13 @@ def scan_csv(spark, sf):
     return readers.read_csv(spark, path)
 
 
+def scan_csv_documents(spark, sf):
+    """Whole texts, with their line breaks and quotes, written and read back."""
+    path = scratch_path(spark, "texts") + ".csv"
+    sinks.write_csv(table(spark, sf, "documents").select("doc_id", "text", "n_chars"), path)
+    return readers.read_csv(spark, path)
+
+
 def scan_json(spark, sf):
     path = scratch_path(spark, "json") + ".json"
     table(spark, sf, "customer").write.json(path)
@@ -65,7 +72,7 @@ def sink_report(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    scan_csv, scan_json, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
+    scan_csv, scan_csv_documents, scan_json, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -95,6 +102,8 @@ NULL_REPORT = f"SELECT CAST(to_drop AS INTEGER) AS to_drop, * EXCLUDE (to_drop)
 SQL = {
     "scan_csv": f"""{DIRTY} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value,
         TRY_CAST(amount_text AS BIGINT) AS amount_text, ts_text, whole_float, CAST(constant AS BIGINT) AS constant FROM dirty""",
+    "scan_csv_documents": "SELECT doc_id, CASE WHEN text NOT IN ({}) THEN text END AS text, n_chars FROM documents".format(
+        ", ".join(f"'{t}'" for t in readers.NA_TOKENS)),
     "scan_json": "SELECT * FROM customer",
     "scan_dispatch": "SELECT format, count(*) AS rows, round(sum(s_acctbal), 2) AS total, max(s_name) AS \"last\" "
                      "FROM supplier, (VALUES ('csv'), ('json'), ('parquet')) f(format) GROUP BY format",

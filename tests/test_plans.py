@@ -149,6 +149,41 @@ def test_json_array_and_lines(spark):
 def test_unsupported(spark):
     with pytest.raises(ValueError):
         readers.load(spark, "x.xlsx")
+
+
+def folder(tmp_path, extension, *texts):
+    at = tmp_path / f"many{extension}"
+    at.mkdir()
+    for i, text in enumerate(texts):
+        (at / f"part {i}{extension}").write_bytes(text if isinstance(text, bytes) else text.encode())
+    return str(at)
+
+
+def test_csv_keeps_rows_and_fields(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "b"\nc,d'), (2, "x\r\ny"), (3, None)], "i bigint, t string")
+    sinks.write_csv(df, f"{tmp_path}/t.csv")
+    assert sorted(map(tuple, readers.read_csv(spark, f"{tmp_path}/t.csv").collect())) == sorted(map(tuple, df.collect()))
+    many = readers.read_csv(spark, folder(tmp_path, ".csv", "a,b\n1,2\n", "b,a\n2,1\n", b"a,b\n3,Zo\xeb\n", "a,b\n4,Zo\u00eb\n5\n"))
+    assert sorted(map(tuple, many.select("a", "b").collect()), key=str) == [
+        (1, "2"), (1, "2"), (3, "Zo\u00eb"), (4, "Zo\u00eb"), (5, None)]
+    for row in ("3,4,5", "3,,5"):
+        ragged = tmp_path / f"{len(row)}.csv"
+        ragged.write_text(f"a,b\n1,2\n{row}\n")
+        with pytest.raises(ValueError, match="more fields"):
+            readers.read_csv(spark, str(ragged))
+
+
+def test_json_files_are_told_apart(spark, tmp_path):
+    path = folder(tmp_path, ".json", '{"a": 1}\n{"a": 2}\n', '[\n {"a": 3},\n {"a": 4}\n]', '{\n "a": 5,\n "b": "x"\n}')
+    got = readers.read_json(spark, path)
+    assert sorted(map(tuple, got.select("a", "b").collect())) == [(1, None), (2, None), (3, None), (4, None), (5, "x")]
+    bad = tmp_path / "bad.json"
+    bad.write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        readers.read_json(spark, str(bad)).collect()
+
+
+def test_only_csv_is_read_in_pieces(spark):
     with pytest.raises(ValueError):
         readers.read_capped(spark, "x.json")
 

@@ -17,14 +17,16 @@ from winnow.sources.readers import load
 from winnow.sources.sinks import write_csv, write_report
 
 
-def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None = None) -> Run:
+def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None = None,
+              **options) -> Run:
     """Write ``output/data`` (CSV) and ``output/report`` (JSON lines).
 
     Fitting scans the table several times, so a text source is first written once as
     Parquet in the shared scratch folder; later scans read only the columns they need.
+    ``options`` go to the reader.
     """
     cfg = cfg or Config()
-    df = load(spark, source)
+    df = load(spark, source, **options)
     if not source.rstrip("/").endswith(".parquet"):
         staged = scratch_path(spark, "staged")
         df.write.parquet(staged)
@@ -41,10 +43,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--environment", default="production")
     parser.add_argument("--preset", choices=sorted(PRESETS))
+    parser.add_argument("--encoding", help="of a CSV source; told by its bytes otherwise")
+    parser.add_argument("--schema", help="of a CSV or JSON source, as column definitions; inferred otherwise")
+    parser.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=None,
+                        help="line breaks inside CSV quotes; told by the quotes otherwise")
     args = parser.parse_args(argv)
+    options = {k: v for k, v in (("encoding", args.encoding), ("schema", args.schema), ("multi_line", args.multi_line))
+               if v is not None}
     spark = SparkSession.builder.appName("winnow").getOrCreate()
     batch_job(spark, args.input, args.output,
-              preset(args.preset) if args.preset else environment(args.environment))
+              preset(args.preset) if args.preset else environment(args.environment), **options)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,7 +18,8 @@ NA_TOKENS = [
 ]
 BOOLEANS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 FALLBACK_ENCODING = "ISO-8859-1"
-REPLACEMENT = "\ufffd"
+CORRUPT = "~corrupt"
+MAX_LAYOUTS = 100       # files of one folder that differ more than this are not one table
 
 
 def normalize_na(df: DataFrame, tokens: Sequence[str] = tuple(NA_TOKENS)) -> DataFrame:
@@ -51,7 +54,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     Runs after missing-value tokens are nulled, so a column of numbers with ``NA`` in it
     is still a column of numbers. Dates stay text until types are enforced.
     """
-    return _infer(df)[0]
+    return _infer(df, columns_of(df, "categorical"))[0]
 
 
 def _first_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -63,64 +66,115 @@ def _first_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _infer(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The typed table, and whether any text holds a replacement character."""
-    names = columns_of(df, "categorical")
-    suspect = any(REPLACEMENT in c for c in df.columns)
+def _infer(df: DataFrame, names: Sequence[str], more: Sequence[Column] = ()) -> tuple[DataFrame, T.Row | None]:
+    """The typed table, and the row of the scan that settled the types, with ``more`` aggregates in it."""
     if not names:
-        return df, suspect
+        return df, None
     open_types = {c: list(TYPE_TESTS) for c in names}
-    for rows in (_first_rows(df, names), df):
+    for rows, extra in ((_first_rows(df, names), ()), (df, more)):
         tests = [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)]
         tests += [F.count(TYPE_TESTS[t](col(c))).alias(f"{t}{i}")
                   for i, c in enumerate(names) for t in open_types[c]]
-        tests += [F.max(F.contains(col(c), F.lit(REPLACEMENT))).alias(f"r{i}") for i, c in enumerate(names)]
-        row = rows.agg(*tests).first()
+        row = rows.agg(*tests, *extra).first()
         for i, c in enumerate(names):
             open_types[c] = [t for t in open_types[c] if row[f"{t}{i}"] == row[f"n{i}"]]
-    suspect = suspect or any(row[f"r{i}"] for i in range(len(names)))
     casts = {c: TYPE_TESTS[open_types[c][0]](col(c)) for i, c in enumerate(names)
              if open_types[c] and row[f"n{i}"]}
-    return (df.withColumns(casts) if casts else df), suspect
+    return (df.withColumns(casts) if casts else df), row
 
 
-def _invalid_utf8(spark: SparkSession, path: str) -> bool:
-    return spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count() > 0
+def _layouts(spark: SparkSession, path: str, line: Column, facts: dict[str, Column]) -> list[tuple[dict, str | list[str]]]:
+    """What holds for which files of a path: facts of each file's lines, and the files of equal facts.
+
+    ``line`` picks the lines that count; in ``facts``, columns of ``value`` are aggregates and ``head`` is the first
+    line of the file. One scan of the lines; usually all files agree and stay one path.
+    """
+    lines = spark.read.text(path).where(line).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"))
+    per_file = lines.groupBy("file").agg(
+        F.min_by("value", "place").alias("head"), *[f.alias(k) for k, f in facts.items() if k != "head"])
+    if "head" in facts:
+        per_file = per_file.withColumn("head", facts["head"])
+    groups = per_file.groupBy(*facts).agg(F.collect_list("file").alias("files"))
+    found = groups.limit(MAX_LAYOUTS + 1).collect()         # the driver lists the files of a path in any case
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"{path}: more than {MAX_LAYOUTS} different layouts in one folder")
+    out = [({k: g[k] for k in facts}, sorted(map(unquote, g["files"]))) for g in found]
+    return out if len(out) > 1 else [(facts, path) for facts, _ in out]
 
 
 def read_csv(
     spark: SparkSession, path: str, encoding: str | None = None, schema: T.StructType | str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """CSV with a header. Types are inferred unless ``schema`` is given.
 
-    Without ``encoding`` the file is read as UTF-8, or as Latin-1 when some line is not
-    valid UTF-8; the scan that infers types tells when that is worth a closer look. Give
-    both on large inputs. ``multi_line`` allows line breaks inside quotes, at the price of
-    files that cannot be split.
+    A scan of the lines decides for each file: Latin-1 where some line is not valid UTF-8, unless
+    ``encoding`` is given; line breaks inside quotes where some line has an odd number of quotes, unless
+    ``multi_line`` is given (such files cannot be split); and its header, so that files are put together by
+    column names. Giving both skips that scan; files must then share one header.
+
+    Short rows end in nulls. Rows with more fields than the header raise an error while types are inferred.
     """
-    def reader(charset: str):
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    facts = {"latin": F.bool_or(F.lit(False) if encoding else ~F.is_valid_utf8("value")),
+             "broken": F.bool_or(F.lit(multi_line) if multi_line is not None else quotes % 2 == 1),
+             "head": F.col("head")}
+    layouts = [({"latin": False, "broken": bool(multi_line)}, path)]
+    if encoding is None or multi_line is None:
+        layouts = _layouts(spark, path, F.lit(True), facts) or layouts
+
+    def reader(layout: dict):
+        charset = encoding or (FALLBACK_ENCODING if layout["latin"] else "UTF-8")
         return spark.read.options(
-            header=True, encoding=charset, multiLine=multi_line, quote='"', escape='"',
+            header=True, encoding=charset, multiLine=layout["broken"], quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
+    def table(layout: dict, files) -> DataFrame:
+        return (reader(layout) if schema is None else reader(layout).schema(schema)).csv(files)
+
     if schema is not None:
-        if encoding is None:
-            encoding = FALLBACK_ENCODING if _invalid_utf8(spark, path) else "UTF-8"
-        return normalize_na(reader(encoding).schema(schema).csv(path))
-    typed, suspect = _infer(normalize_na(reader(encoding or "UTF-8").csv(path)))
-    if encoding is None and suspect and _invalid_utf8(spark, path):
-        return infer_types(normalize_na(reader(FALLBACK_ENCODING).csv(path)))
-    return typed
+        return normalize_na(reduce(DataFrame.unionByName, [table(*part) for part in layouts]))
+
+    parts = [table(*part) for part in layouts]
+    names = parts[0].columns
+    if not names:
+        return parts[0]
+    checked = []
+    for (layout, files), part in zip(layouts, parts):       # the same rows, each with its line where it is ragged
+        wide = T.StructType([T.StructField(c, T.StringType()) for c in (*part.columns, CORRUPT)])
+        line = reader(layout).schema(wide).option("columnNameOfCorruptRecord", CORRUPT).csv(files)
+        width = len(part.columns)
+        one_more = ", ".join(f"c{i} string" for i in range(width + 1))
+        beyond = F.from_csv(F.col(f"`{CORRUPT}`"), one_more, {"quote": '"', "escape": '"'})[f"c{width}"]
+        checked.append(line.withColumn(CORRUPT, F.when(F.col(f"`{CORRUPT}`").isNotNull(), beyond)))
+    both = normalize_na(reduce(DataFrame.unionByName, checked))
+    typed, row = _infer(both, names, [F.count(F.col(f"`{CORRUPT}`")).alias("ragged")])
+    if row["ragged"]:
+        raise ValueError(f"{path}: {row['ragged']} rows have more fields than the header")
+    plain = normalize_na(reduce(DataFrame.unionByName, parts))
+    types = dict(typed.dtypes)
+    tests = {"bigint": _as_whole, "double": text_number, "boolean": _as_boolean}
+    casts = {c: tests[types[c]](col(c)) for c in names if types[c] in tests}
+    return plain.withColumns(casts) if casts else plain
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON records: one array per file, or one record per line."""
-    first = spark.read.text(path).filter("trim(value) <> ''").first()
-    reader = spark.read.option("multiLine", bool(first) and first["value"].lstrip().startswith("["))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return normalize_na(reader.json(path), ())
+    """JSON records: an array or one record per file, or one record per line; each file of a folder by itself.
+
+    A file holds a record per line when its first line is a whole object. Records that do not parse raise
+    an error when they are read.
+    """
+    whole = F.col("head").rlike(r"^\s*\{") & F.get_json_object("head", "$").isNotNull()
+    layouts = _layouts(spark, path, F.expr("trim(value) <> ''"), {"head": whole}) or [({"head": True}, path)]
+
+    def table(lines: bool, files) -> DataFrame:
+        reader = spark.read.options(multiLine=not lines, mode="FAILFAST")
+        return (reader if schema is None else reader.schema(schema)).json(files)
+
+    parts = [table(layout["head"], files) for layout, files in layouts]
+    return normalize_na(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), ())
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -131,16 +185,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 READERS = {".csv": read_csv, ".json": read_json, ".parquet": read_parquet}
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """Read by extension: .csv, .json or .parquet."""
+def load(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Read by extension: .csv, .json or .parquet, with the options of that reader."""
     for extension, read in READERS.items():
         if path.rstrip("/").endswith(extension):
-            return read(spark, path)
+            return read(spark, path, **options)
     raise ValueError(f"Unsupported file format: {path}")
 
 
 def read_capped(spark: SparkSession, path: str, chunk_size: int = 10_000, max_chunks: int | None = None,
-                order_by: str | None = None) -> DataFrame:
+                order_by: str | None = None, **options) -> DataFrame:
     """A CSV file up to ``chunk_size * max_chunks`` rows; whole when ``max_chunks`` is None.
 
     Splits already read in pieces, so only the row cap is left of chunked loading. With
@@ -148,7 +202,7 @@ def read_capped(spark: SparkSession, path: str, chunk_size: int = 10_000, max_ch
     """
     if not path.rstrip("/").endswith(".csv"):
         raise ValueError("Chunked reading only supports CSV files")
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, **options)
     if max_chunks is None:
         return df
     if order_by is not None:
