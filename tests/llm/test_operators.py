@@ -252,3 +252,31 @@ def test_empty_tables(empty, spark):
                    bpe.digests(empty, path, pattern)):
         assert result.count() == 0
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_language_model_counts_every_ngram(docs, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_ITEM", 40_000)            # the filter takes far more than 16 MiB, without false positives
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 20_000)
+    got = by_id(lm.score(docs))
+    train = [r for r in ROWS if r[0] is None or not got[r[0]]["held_out"]]
+    ones, twos = collections.Counter(), collections.Counter()
+
+    def split(text):
+        tokens = [b"", *(text or "").encode().lower().split(), b""]
+        return list(zip(tokens, tokens[1:]))
+
+    for r in train:
+        twos.update(split(r[1]))
+        ones.update(w for _, w in split(r[1]))
+    n, v = sum(ones.values()), len(ones)
+
+    def count(counter, key):
+        return lm._value(lm.level_of(np.array([counter[key]])))[0]
+
+    for r in ROWS[:-1]:
+        want = 0.0
+        for a, b in split(r[1]):
+            alone, before = (count(ones, b) + 1) / (n + v + 1), count(ones, a)
+            pair = min(count(twos, (a, b)) / before, 1) if before else 0
+            want += np.log10(min(lm.BIGRAM * pair + (1 - lm.BIGRAM) * alone if before else alone, 1))
+        assert abs(got[r[0]]["score"] - want) < 1e-6 * max(1, abs(want)), r[0]

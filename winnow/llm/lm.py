@@ -1,15 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting: tasks hash the words and word pairs of the training documents, fold equal ones, and send
-sorted keys with counts to buckets of the key space; a bucket merges what all tasks sent. Counts are
-quantised on a logarithmic scale. The filter holds, for an n-gram of level L, the items (n-gram, 1) to
-(n-gram, L); a count is read back by probing levels upwards until one is missing. Each bucket fills
-its own segment of the filter. The whole filter is broadcast, so its size is bounded: where all
-counts need more than FILTER_BYTES, the scale starts at the lowest level that fits, and pairs below it
-are smoothed from their words. Counts and that choice cover all training documents at every size.
+Documents are written down in chunks of bounded text. A chunk sends its distinct words and word pairs, as sorted
+keys with their counts in training, to buckets of the key space. A bucket adds up what all chunks sent, quantises
+counts on a logarithmic scale, and fills its segment of the filter: for an n-gram of level L the items (n-gram, 1)
+to (n-gram, L); a count is read back by probing levels upwards until one is missing. The bucket probes the
+segment once per distinct key and answers every chunk with the levels of the keys it sent, a byte each. The number
+of buckets grows with the text and a segment with its items, so all counts are held at every size, and no
+task or broadcast holds the whole filter. A common n-gram is one key per chunk.
 
 Scoring: P(w | v) = BIGRAM * c(v w) / c(v) + (1 - BIGRAM) * P(w), P(w) = (c(w) + 1) / (N + V + 1), with counts
-read from the filter; where v is unknown P(w) alone. A text starts and stops at the end token.
+read from the filter; where v is unknown P(w) alone. A text starts and stops at the end token. A chunk meets
+its answers by its number and finds its keys again in sorted order.
 
 The base score needs exact counts. The commonest words, at most HEAVY of bounded length, are
 broadcast with their counts and summed where the text is read; the rest are joined by word, and since
@@ -27,19 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.llm.common import Scratch
 from winnow.llm.hashing import constants, mixed, word_hashes, words
 
-FILTER_BYTES = 16 << 20
 PROBES = 5                  # bits per item; a missing item is taken for present once in 32
 BITS_PER_ITEM = PROBES / math.log(2)
 BIGRAM = 0.6
 HEAVY, HEAVY_BYTES = 60_000, 48
 BUCKET_BYTES = 16 << 20     # text per bucket of the key space
-HELD_KEYS = 2_000_000       # keys a task folds at a time
+CHUNK_BYTES = 12 << 20      # text whose keys are folded together; a longer document is a chunk of its own
 END = b""                   # no word is empty
+_PACKED = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 _SALT = constants("lm", 4)
 # Smallest count of each level: factors of about 1.4, whole numbers.
 _SCALE = np.unique(np.round(2 ** (np.arange(0, 96) / 2)).astype(np.int64))
@@ -58,7 +62,11 @@ def _value(levels: np.ndarray) -> np.ndarray:
 
 def keys_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the words of a text with its end, and of the pairs that end in each of them."""
-    hashed = word_hashes([END, *words(text), END])
+    return _keys([*words(text), END])
+
+
+def _keys(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    hashed = word_hashes([END, *tokens])
     return mixed(hashed[1:] * _SALT[0]), mixed(mixed(hashed[:-1] * _SALT[1]) + hashed[1:] * _SALT[2])
 
 
@@ -66,47 +74,60 @@ def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def _fold(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[starts], np.add.reduceat(counts, starts)
+def _unpacked(rows: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(rows).read_next_batch()
 
 
-def _partial(bits: int):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their steps, byte by byte of all: high bytes of small steps are alike."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
 
-        def flush():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            buckets = _bucket(keys, bits)
-            edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
-            return pd.DataFrame({
-                "bucket": buckets[edges[:-1]],
-                "keys": [keys[a:b].tobytes() for a, b in zip(edges, edges[1:])],
-                "counts": [counts[a:b].astype(np.uint32).tobytes() for a, b in zip(edges, edges[1:])]})
 
-        for batch in batches:
-            for text in batch["text"]:
-                held += keys_of(text)
-                size += 2 * len(held[-1])
-                if size >= HELD_KEYS:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
+def _unpack_keys(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
-    return count
 
-
-def _merge(parts: pd.DataFrame) -> pd.DataFrame:
-    """All partial counts of a bucket to levels."""
-    keys, counts = _fold(np.concatenate([np.frombuffer(k, np.uint64) for k in parts["keys"]]),
-                         np.concatenate([np.frombuffer(c, np.uint32) for c in parts["counts"]]).astype(np.int64))
-    levels = level_of(counts)
-    return pd.DataFrame({"bucket": [parts["bucket"].iat[0]], "keys": [keys.tobytes()],
-                         "levels": [levels.astype(np.uint8).tobytes()],
-                         "histogram": [np.bincount(levels, minlength=len(_SCALE) + 1).tolist()]})
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, text) to a row per chunk."""
+    number = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place = np.cumsum(sizes) // CHUNK_BYTES
+        edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])) if len(place) else []
+        for a, b in zip(edges, edges[1:]):
+            packed = pa.BufferOutputStream()
+            with pa.ipc.new_stream(packed, batch.schema, options=_PACKED) as writer:
+                writer.write_batch(batch.slice(a, b - a))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([int(sizes[a:b].sum())]), pa.array([packed.getvalue().to_pybytes()], pa.binary())],
+                ["chunk", "bytes", "rows"])
+            number += 1
+
+
+def _requests(bits: int):
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, rows in zip(batch.column("chunk").to_pylist(), batch.column("rows")):
+                rows = _unpacked(rows.as_py())
+                out = pc.fill_null(rows.column("held_out"), True).to_numpy(zero_copy_only=False)
+                parts = [np.concatenate(keys_of(text.as_py())) for text in rows.column("text")]
+                keys = np.unique(np.concatenate(parts))
+                trained = [part for part, held in zip(parts, out) if not held]
+                counts = np.zeros(len(keys), np.uint32)
+                if trained:
+                    own, n = np.unique(np.concatenate(trained), return_counts=True)
+                    counts[np.searchsorted(keys, own)] = n
+                buckets = _bucket(keys, bits)
+                edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(buckets[edges[:-1]]), pa.array([chunk] * (len(edges) - 1), pa.int64()),
+                    pa.array([_pack_keys(keys[a:b]) for a, b in zip(edges, edges[1:])], pa.binary()),
+                    pa.array([counts[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
+                    ["bucket", "chunk", "keys", "counts"])
+
+    return request
 
 
 def _places(keys: np.ndarray, level: np.ndarray | int, segment: int) -> np.ndarray:
@@ -116,69 +137,58 @@ def _places(keys: np.ndarray, level: np.ndarray | int, segment: int) -> np.ndarr
     return np.stack([((one + np.uint64(j) * two) % np.uint64(segment)).astype(np.int64) for j in range(PROBES)])
 
 
-def _filled(segment: int, lowest: int):
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for keys, levels in zip(batch["keys"], batch["levels"]):
-                keys, levels = np.frombuffer(keys, np.uint64), np.frombuffer(levels, np.uint8)
-                bits = np.zeros(segment, np.uint8)
-                for level in range(lowest, int(levels.max(initial=0)) + 1):
-                    bits[_places(keys[levels >= level], level, segment)] = 1
-                out.append(np.packbits(bits, bitorder="little").tobytes())
-            yield pd.DataFrame({"bucket": batch["bucket"], "bits": out})
-
-    return fill
-
-
-class Filter:
-    """The whole filter in a worker."""
-
-    def __init__(self, raw: bytes, bits: int, segment: int, lowest: int):
-        self.raw, self.bits, self.segment, self.lowest = np.frombuffer(raw, np.uint8), bits, segment, lowest
-
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of keys as their levels tell, found by probing level after level."""
-        levels = np.zeros(len(keys), np.int64)
-        if not len(self.raw):
-            return _value(levels)
-        live, level = np.arange(len(keys)), self.lowest
-        offset = _bucket(keys, self.bits) * self.segment
+class Segment:
+    """A bucket's segment of the filter, filled from distinct keys and their levels.
+
+    Given ``most``, bits it may take, it leaves out the lowest levels until the others fit.
+    """
+
+    def __init__(self, keys: np.ndarray, levels: np.ndarray, bits_per_item: float, most: int | None = None):
+        at_least = np.bincount(levels, minlength=len(_SCALE) + 1)[::-1].cumsum()[::-1]  # items of each level
+        self.lowest = 1
+        while most is not None and self.lowest < len(_SCALE) and at_least[self.lowest:].sum() * bits_per_item > most:
+            self.lowest += 1
+        self.size = max(64, math.ceil(at_least[self.lowest:].sum() * bits_per_item))
+        self.bits = np.zeros(self.size, bool)
+        for level in range(self.lowest, int(levels.max(initial=0)) + 1):
+            self.bits[_places(keys[levels >= level], level, self.size)] = True
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of keys, found by probing level after level."""
+        levels, live, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), self.lowest
         while len(live) and level <= len(_SCALE):
-            places = _places(keys[live], level, self.segment) + offset[live]
-            hit = ((self.raw[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=0)
-            live = live[hit]
+            live = live[self.bits[_places(keys[live], level, self.size)].all(axis=0)]
             levels[live] = level
             level += 1
-        return _value(levels)
+        return levels
 
 
-def build_filter(training: DataFrame, scratch: Scratch, filter_bytes: int = FILTER_BYTES):
-    """(bytes, bits, segment, lowest level) of the filter over the column ``text`` of all rows."""
-    size = training.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+def _answers(bits_per_item: float, most: int | None):
+    def answer(parts: pd.DataFrame) -> pd.DataFrame:
+        """Adds up all counts of a bucket, and tells every chunk the levels of its keys."""
+        n = [np.frombuffer(c, np.uint32) for c in parts["counts"]]
+        sent = [_unpack_keys(k, len(c)) for k, c in zip(parts["keys"], n)]
+        keys, back = np.unique(np.concatenate(sent), return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, back, np.concatenate(n).astype(np.int64))
+        known = counts > 0
+        found = Segment(keys[known], level_of(counts[known]), bits_per_item, most).levels(keys)[back]
+        ends = np.cumsum([len(x) for x in sent])
+        return pd.DataFrame({"bucket": parts["bucket"], "chunk": parts["chunk"],
+                             "levels": [found[b - len(x):b].tobytes() for x, b in zip(sent, ends)]})
+
+    return answer
+
+
+def answered(chunks: DataFrame, filter_bytes: int | None = None) -> DataFrame:
+    """Levels of the distinct keys of every chunk, a row per bucket: (bucket, chunk, levels)."""
+    size = chunks.agg(F.sum("bytes")).head()[0] or 0
     bits = min(24, max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES)))))
-    merged = scratch.write(
-        training.select("text").mapInPandas(_partial(bits), "bucket long, keys binary, counts binary")
-        .groupBy("bucket").applyInPandas(_merge, "bucket long, keys binary, levels binary, histogram array<long>"), "levels")
-    sums = merged.select(F.posexplode("histogram").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n"))
-    per_level = np.zeros(len(_SCALE) + 1, np.int64)
-    for row in sums.collect():                  # a row per level, at most 96
-        per_level[row["level"]] = row["n"]
-    at_least = per_level[::-1].cumsum()[::-1]   # n-grams of a level or more: the items of that level
-    lowest = 1
-    while lowest < len(_SCALE) and at_least[lowest:].sum() * BITS_PER_ITEM > filter_bytes * 8:
-        lowest += 1
-    items = at_least[lowest:].sum()
-    if not items:
-        return b"", bits, 64, lowest
-    segment = max(64, math.ceil(items * BITS_PER_ITEM / (1 << bits) / 64) * 64)
-    parts = merged.select("bucket", "keys", "levels").mapInPandas(_filled(segment, lowest), "bucket long, bits binary")
-    raw = bytearray((segment // 8) << bits)     # bounded by filter_bytes
-    for row in parts.toLocalIterator():
-        start = row["bucket"] * (segment // 8)
-        raw[start:start + segment // 8] = row["bits"]
-    scratch.drop("levels")
-    return bytes(raw), bits, segment, lowest
+    sent = chunks.select("chunk", "rows").mapInArrow(
+        _requests(bits), "bucket long, chunk long, keys binary, counts binary")
+    most = None if filter_bytes is None else (filter_bytes * 8) >> bits
+    return sent.groupBy("bucket").applyInPandas(
+        _answers(BITS_PER_ITEM, most), "bucket long, chunk long, levels binary")
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,17 +228,9 @@ def _heavy(vocab: DataFrame) -> tuple[dict[bytes, int], int]:
     return {bytes(r["token"]): r["c"] for r in rows}, threshold
 
 
-_FILTERS: dict[str, Filter] = {}
-
-
-def _log_probabilities(filter_: Filter, ones: list[np.ndarray], twos: list[np.ndarray], n: int, v: int) -> np.ndarray:
-    """log10 probability of each text, from the keys of its words and pairs; equal keys are probed once."""
-    def counts(parts: list[np.ndarray]) -> np.ndarray:
-        distinct, back = np.unique(np.concatenate(parts), return_inverse=True)
-        return filter_.counts(distinct)[back]
-
-    single, pairs = counts(ones), counts(twos)
-    ends = np.cumsum([len(x) for x in ones])
+def _log_probabilities(single: np.ndarray, pairs: np.ndarray, lengths: list[int], n: int, v: int) -> np.ndarray:
+    """log10 probability of each text, from the counts of its words and pairs."""
+    ends = np.cumsum(lengths)
     starts = np.concatenate([[0], ends[:-1]])
     before = np.concatenate([[0.0], single[:-1]])
     before[starts] = single[ends - 1]           # what precedes a text is the end token
@@ -239,44 +241,39 @@ def _log_probabilities(filter_: Filter, ones: list[np.ndarray], twos: list[np.nd
     return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
 
 
-def _scored(label, shared, shape, heavy, n: int, v: int):
-    columns = ["doc_id", "held_out", "n_tokens", "exact", "found", "rare", "rare_n"]
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if label not in _FILTERS:
-            _FILTERS.clear()
-            _FILTERS[label] = Filter(shared.value, *shape)
-        filter_, known = _FILTERS[label], heavy.value
-
-        def frame(rows, ones, twos):
-            out = pd.DataFrame(rows, columns=columns)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            return out.assign(score=_log_probabilities(filter_, ones, twos, n, v))
-
-        for batch in batches:
-            rows, ones, twos, size = [], [], [], 0
-            for key, held_out, text in zip(batch["doc_id"], batch["held_out"], batch["text"]):
-                counts = Counter(words(text))
-                counts[END] += 1
-                exact, found, rare, rare_n = 0.0, 0, [], []
-                for token, times in counts.items():
-                    c = known.get(token)
-                    if c is None:
-                        rare.append(token)
-                        rare_n.append(times)
-                    else:
-                        exact += times * math.log10(c + 1)
-                        found += times
-                one, two = keys_of(text)
-                rows.append((key, held_out, len(one), exact, found, rare, rare_n))
-                ones.append(one)
-                twos.append(two)
-                size += len(one)
-                if size >= 100_000:
-                    yield frame(rows, ones, twos)
-                    rows, ones, twos, size = [], [], [], 0
-            if rows:
-                yield frame(rows, ones, twos)
+def _scored(heavy, n: int, v: int):
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        known = heavy.value
+        rows = _unpacked(chunk.column("rows")[0].as_py())
+        keys, lengths, exact, found, rare, rare_n = [], [], [], [], [], []
+        for text in rows.column("text"):
+            tokens = [*words(text.as_py()), END]
+            keys.append(_keys(tokens))
+            lengths.append(len(tokens))
+            counts = Counter(tokens)
+            total, seen, others = 0.0, 0, {}
+            for token, times in counts.items():
+                c = known.get(token)
+                if c is None:
+                    others[token] = times
+                else:
+                    total += times * math.log10(c + 1)
+                    seen += times
+            exact.append(total)
+            found.append(seen)
+            rare.append(list(others))
+            rare_n.append(list(others.values()))
+        # Buckets are ranges of keys: answers in their order are the levels of the sorted keys.
+        order = np.argsort(answers.column("bucket").to_numpy())
+        payloads = answers.column("levels").to_pylist()
+        levels = np.frombuffer(b"".join(payloads[i] for i in order), np.uint8)
+        _, back = np.unique(np.concatenate([k for part in zip(*keys) for k in part]), return_inverse=True)
+        counts = _value(levels)[back]
+        single, pairs = np.split(counts, 2)
+        return pa.table({
+            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(lengths, pa.int64()), "exact": pa.array(exact, pa.float64()),
+            "found": pa.array(found, pa.int64()), "rare": pa.array(rare, pa.list_(pa.binary())),
+            "rare_n": pa.array(rare_n, pa.list_(pa.int64())), "score": _log_probabilities(single, pairs, lengths, n, v)})
 
     return score
 
@@ -287,26 +284,29 @@ def held_out(id_col: str) -> Column:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", out: Column | None = None,
-          filter_bytes: int = FILTER_BYTES) -> DataFrame:
+          filter_bytes: int | None = None) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``out`` tells the rows kept out of training, by default ``held_out(id_col)``.
+    ``filter_bytes`` bounds the filter at the price of its lowest levels; without it every n-gram is counted.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        (held_out(id_col) if out is None else out).alias("held_out"))
+    chunks = scratch.write(rows.select("doc_id", "held_out", "text").mapInArrow(
+        _chunked, "chunk long, bytes long, rows binary"), "chunks")
     training = rows.where("NOT held_out")
-    raw, *shape = build_filter(training, scratch, filter_bytes)
     vocab = vocabulary(training, scratch)
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
     heavy, threshold = _heavy(vocab)
-    shared, known = spark.sparkContext.broadcast(raw), spark.sparkContext.broadcast(heavy)
-    scored = rows.mapInPandas(
-        _scored(scratch.root, shared, shape, known, n, v),
+    known = spark.sparkContext.broadcast(heavy)
+    scored = chunks.groupBy("chunk").cogroup(answered(chunks, filter_bytes).groupBy("chunk")).applyInArrow(
+        _scored(known, n, v),
         "doc_id long, held_out boolean, n_tokens long, exact double, found long, rare array<binary>, rare_n array<long>, "
         "score double")
     scored = scratch.write(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
+    scratch.drop("chunks")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("t")).select(
         "row", F.col("t.rare").alias("token"), F.col("t.rare_n").alias("times"))
     counts = vocab.where((F.octet_length("token") > HEAVY_BYTES) | (F.col("c") < threshold))
