@@ -3,9 +3,11 @@
 Spans of the base kinds come from one pattern each. Positions need no UDF: the pieces between the
 matches (a split on the same pattern) and the matches themselves add up to the offsets. Further
 candidates are long tokens of mixed letters and digits outside the base spans. Every candidate value
-is hashed and its distinct repositories and owners are counted over the whole corpus: values that many
-owners hold are published examples or shared boilerplate, values of one owner look live. Live-looking
-candidates are added to the base spans; base spans always stay.
+is hashed and its distinct repositories and owners are counted over the whole corpus. A value is copied, a
+published example or shared boilerplate, where COMMON_OWNERS owners hold it, or where its owners hold it in
+COMMON_REPOSITORIES repositories each on average: a key of one owner is found in a few places of theirs, an example
+in many, also within one hot source. All other values look live. Live-looking candidates are added to the
+base spans; base spans always stay.
 
 Counting goes in steps that fold map-side, (value, owner, repository), then (value, owner), then
 value, so a value copied into a third of all documents never meets in one task. Texts are read once
@@ -31,6 +33,7 @@ KINDS = {
 KIND_ORDER = list(KINDS) + ["generic"]
 GENERIC = "[A-Za-z0-9_-]{20,}"         # further candidates; shape tests follow
 COMMON_OWNERS = 3                       # a value that so many owners hold is an example
+COMMON_REPOSITORIES = 10                # and so is one in so many repositories per owner
 SPAN = "array<struct<kind:string,rank:int,start:int,end:int,value:string>>"
 
 
@@ -107,7 +110,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner:
     scanned = scan(docs, id_col, text, owner, repository)
     scratch = Scratch(docs.sparkSession, "secrets")
     counted = scratch.write(ownership(scanned), "ownership")
-    live = F.col("owners") < COMMON_OWNERS
+    live = (F.col("owners") < COMMON_OWNERS) & (F.col("repositories") < COMMON_REPOSITORIES * F.col("owners"))
     is_base = F.col("span.kind") != "generic"
     per_row = (_candidates(scanned).join(counted, "value_hash").groupBy("row").agg(
         F.collect_list(F.when(~is_base & live, F.col("span"))).alias("added"),
