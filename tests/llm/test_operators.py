@@ -190,6 +190,24 @@ def test_mixing_targets_and_limits(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in queued)
 
 
+def test_mixing_cut_agrees_with_sorted_copies(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a", "b", "b", "b", "c", "d", "d", None])) for i in range(600)]
+    queued = mixing.queue(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    copies = sorted(((k * r["source_size"] + r["before"] + r["size"]) / r["target"], str(r["source"]), r["doc_id"], r["size"])
+                    for r in queued if r["size"] for k in range(mixing.MAX_REPEATS))
+    left, cut, taken = sum({r["source"]: r["target"] for r in queued}.values()), collections.Counter(), collections.Counter()
+    for _, source, _, size in copies:           # by virtual finish time, up to the total budget
+        if size > left:
+            break
+        left -= size
+        cut[source] += size
+    for r in queued:
+        taken[str(r["source"])] += r["copies"] * r["size"]
+    print(cut, taken)
+    assert set(cut) == set(taken) and all(abs(cut[s] - taken[s]) <= 40 for s in taken)      # the longest document
+
+
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 PEER = tiktoken.Encoding("peer", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
