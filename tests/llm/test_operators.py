@@ -255,6 +255,22 @@ def test_bpe_appends_and_edits():
         assert whole.tokens() == v.merged(piece[:cut] + b"ing")
 
 
+def test_bpe_edits_stop_where_tokens_agree(monkeypatch):
+    v = bpe.Vocabulary({t: i for t, i in RANKS.items() if len(t) <= 8})
+    rng = random.Random(5)
+    for _ in range(40):
+        piece = bytes(rng.choice(b"aeinrst12") for _ in range(400))
+        start = rng.randint(0, 60)
+        end, new = start + rng.randint(0, 5), bytes(rng.choice(b"aeinrst") for _ in range(rng.randint(0, 5)))
+        encoder, read = bpe.PieceEncoder(v, piece), []
+        with monkeypatch.context() as m:
+            m.setattr(bpe.PieceEncoder, "append", lambda self, more, f=bpe.PieceEncoder.append: (read.append(len(more)), f(self, more))[1])
+            encoder.edit(start, end, new)
+        edited = piece[:start] + new + piece[end:]
+        assert encoder.piece == edited and encoder.last == bpe.PieceEncoder(v, edited).last
+        assert encoder.tokens() == v.merged(edited) and sum(read) < 200     # of up to 400 bytes after the edit
+
+
 def test_warc_round_trip(spark):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     html = ["a", "b", None, "", "a", "é" * 1000, inner, inner * 3, "x" + inner, "WARC/1.1\r\n", "z" * 100_000]

@@ -52,6 +52,7 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.longest = max(self.sizes.values(), default=0)
         # Every ending of a token, with its rank, or NO_TOKEN if it is none itself. Longer ones need no look-up.
         self.endings = {t[i:]: ranks.get(t[i:], NO_TOKEN) for t in ranks for i in range(len(t))}
         self.pairs: dict[int, bool] = {}
@@ -157,10 +158,22 @@ class PieceEncoder:
                     break
 
     def edit(self, start: int, end: int, new: bytes) -> None:
-        """Replace bytes start to end; prefixes before ``start`` are kept."""
-        tail = new + self.piece[end:]
+        """Replace bytes start to end; prefixes before ``start`` are kept.
+
+        A last token follows from those of the prefixes up to the longest token before it: once so many
+        in a row are as they were, all further ones are.
+        """
+        old, tail, longest = self.last[end:], self.piece[end:], self.vocabulary.longest
         self.piece, self.last = self.piece[:start], self.last[:start]
-        self.append(tail)
+        self.append(new)
+        done = 0
+        while done < len(tail):
+            self.append(tail[done:done + longest])
+            done = min(done + longest, len(tail))
+            if done >= longest and self.last[-longest:] == old[done - longest:done]:
+                self.piece += tail[done:]
+                self.last += old[done:]
+                break
 
     def ids(self) -> list[int]:
         out, end, size = [], len(self.piece), self.vocabulary.sizes
