@@ -5,9 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.llm import bpe, exact_dedup, langid, lm, mixing, near_dedup, pii, quality, secrets, warc
+from winnow.llm import (
+    bpe, conversations, exact_dedup, langid, lm, mixing, near_dedup, periodic, piece_counts, pii, quality, secrets, warc)
+from winnow.llm.common import text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +62,23 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN).select("doc_id", "bpe.*")
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic.digest(periodic.periodic_runs(docs.select("doc_id", periodic.planted(text_of("text"), h).alias("text"))))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.audit(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_token_counts(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", text_of("text").alias("text"))
+    counted = piece_counts.token_counts(docs, public_tokenizers.path(PIECES))
+    return counted.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens",
+                          (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -69,6 +90,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_counts": op13_token_counts,
 }
 
 SQL = {
