@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from winnow.functions.columns import FLOATING, col, columns_of, present
 from winnow.functions.numbers import text_number
+from winnow.sources import ranges
 
 # Text that stands for a missing value.
 NA_TOKENS = [
@@ -112,8 +113,12 @@ def read_csv(
 
     A scan of the lines decides for each file: Latin-1 where some line is not valid UTF-8, unless
     ``encoding`` is given; line breaks inside quotes where some line has an odd number of quotes, unless
-    ``multi_line`` is given (such files cannot be split); and its header, so that files are put together by
-    column names. Giving both skips that scan; files must then share one header.
+    ``multi_line`` is given; and its header, so that files are put together by column names. Giving both skips
+    that scan; files must then share one header.
+
+    Files with line breaks inside quotes are read by all their splits: their records are written to the shared
+    scratch folder first (see ``ranges``). Only where a character has more than one byte for a line break or a
+    quote (UTF-16, UTF-32) is such a file read by one task.
 
     Short rows end in nulls. Rows with more fields than the header raise an error while types are inferred.
     """
@@ -125,26 +130,40 @@ def read_csv(
     if encoding is None or multi_line is None:
         layouts = _layouts(spark, path, F.lit(True), facts) or layouts
 
-    def reader(layout: dict):
-        charset = encoding or (FALLBACK_ENCODING if layout["latin"] else "UTF-8")
-        return spark.read.options(
-            header=True, encoding=charset, multiLine=layout["broken"], quote='"', escape='"',
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    plain_options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
-    def table(layout: dict, files) -> DataFrame:
-        return (reader(layout) if schema is None else reader(layout).schema(schema)).csv(files)
+    def charset(layout: dict) -> str:
+        return (encoding or (FALLBACK_ENCODING if layout["latin"] else "UTF-8")).upper().replace("LATIN-1", FALLBACK_ENCODING)
+
+    def reader(layout: dict):
+        return spark.read.options(header=True, encoding=charset(layout), multiLine=layout["broken"], **plain_options)
+
+    staged = {}
+
+    def rows(i: int, wanted: T.StructType | str | None) -> DataFrame:
+        """The rows of a layout as ``wanted``; None: the columns of the header as text."""
+        layout, files = layouts[i]
+        if not layout["broken"] or charset(layout) not in ranges.SPLITTABLE:
+            return (reader(layout) if wanted is None else reader(layout).schema(wanted)).csv(files)
+        if i not in staged:
+            staged[i] = ranges.csv_records(spark, files, charset(layout))
+        if wanted is None:
+            wanted = T.StructType([T.StructField(c, T.StringType()) for c in reader(layout).csv(files).columns])
+        shape = wanted if isinstance(wanted, str) else ", ".join(
+            f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in wanted)
+        parsed = F.from_csv("record", shape, plain_options | {"multiLine": "true", "columnNameOfCorruptRecord": CORRUPT})
+        return staged[i].select(parsed.alias("row")).select("row.*")
 
     if schema is not None:
-        return normalize_na(reduce(DataFrame.unionByName, [table(*part) for part in layouts]))
+        return normalize_na(reduce(DataFrame.unionByName, [rows(i, schema) for i in range(len(layouts))]))
 
-    parts = [table(*part) for part in layouts]
+    parts = [rows(i, None) for i in range(len(layouts))]
     names = parts[0].columns
     if not names:
         return parts[0]
     checked = []
-    for (layout, files), part in zip(layouts, parts):       # the same rows, each with its line where it is ragged
-        wide = T.StructType([T.StructField(c, T.StringType()) for c in (*part.columns, CORRUPT)])
-        line = reader(layout).schema(wide).option("columnNameOfCorruptRecord", CORRUPT).csv(files)
+    for i, part in enumerate(parts):       # the same rows, each with its line where it is ragged
+        line = rows(i, T.StructType([T.StructField(c, T.StringType()) for c in (*part.columns, CORRUPT)]))
         width = len(part.columns)
         one_more = ", ".join(f"c{i} string" for i in range(width + 1))
         beyond = F.from_csv(F.col(f"`{CORRUPT}`"), one_more, {"quote": '"', "escape": '"'})[f"c{width}"]
@@ -163,14 +182,21 @@ def read_csv(
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON records: an array or one record per file, or one record per line; each file of a folder by itself.
 
-    A file holds a record per line when its first line is a whole object. Records that do not parse raise
-    an error when they are read.
+    A file holds a record per line when its first line is a whole object. Other files are cut into their
+    objects by all their splits, and the objects written to the shared scratch folder, a line each (see
+    ``ranges``); only files in UTF-16 or UTF-32 are read by one task. Records that do not parse raise an error
+    when they are read, and text between objects that is no comma when the file is cut.
     """
-    whole = F.col("head").rlike(r"^\s*\{") & F.get_json_object("head", "$").isNotNull()
-    layouts = _layouts(spark, path, F.expr("trim(value) <> ''"), {"head": whole}) or [({"head": True}, path)]
-
-    def table(lines: bool, files) -> DataFrame:
-        reader = spark.read.options(multiLine=not lines, mode="FAILFAST")
+    head = F.regexp_replace("head", "^\ufeff", "")
+    kind = (F.when(head.rlike(r"^\s*\{") & F.get_json_object(head, "$").isNotNull(), "lines")
+            .when(~F.is_valid_utf8("head") | F.contains("head", F.lit("\x00")), "wide")
+            .when(head.rlike(r"^\s*\["), "array").otherwise("object"))
+    layouts = _layouts(spark, path, F.expr("trim(value) <> ''"), {"head": kind}) or [({"head": "lines"}, path)]
+
+    def table(kind: str, files) -> DataFrame:
+        if kind in ("array", "object"):
+            files = ranges.json_lines(spark, files, kind == "array")
+        reader = spark.read.options(multiLine=kind == "wide", mode="FAILFAST")
         return (reader if schema is None else reader.schema(schema)).json(files)
 
     parts = [table(layout["head"], files) for layout, files in layouts]
