@@ -30,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 MAX_VOCABULARY = 300_000
-CACHED_PIECES = 500_000
+CACHED_PIECES = 150_000
 CACHED_BYTES = 64           # longer pieces are not cached
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 300_000
 NO_TOKEN = -1
 
 
@@ -99,8 +99,9 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether BPE leaves two tokens, given by rank, side by side; answers are kept in ``pairs``."""
-        if len(self.pairs) >= CACHED_PAIRS:
-            self.pairs.clear()
+        if len(self.pairs) >= CACHED_PAIRS:             # the older half goes
+            for key in list(islice(self.pairs, CACHED_PAIRS // 2)):
+                del self.pairs[key]
         first, second = self.bytes[left], self.bytes[right]
         known = self.pairs[left << 32 | right] = (
             self.reachable(first) and self.reachable(second) and self._stay_apart(first, second))
