@@ -1,22 +1,25 @@
-"""Streams over the given tables, cut into files first."""
+"""Streams over the given tables, written as files that arrive."""
 
 from __future__ import annotations
 
-from registry.common import dirty, rounded
+from pyspark.sql import functions as F
+
+from registry.common import DIRTY, dirty, rounded
 from registry.plans import CFG, clean_sql
 from winnow.plans import cleaning
 from winnow.session import scratch_path
-from winnow.streaming import clean
+from winnow.streaming import clean, totals
 
-CHUNKS = 4
+ROWS_PER_FILE = 100_000
+BYTES_PER_TRIGGER = 1 << 30
 
 
 def _arriving(spark, sf):
-    """The raw rows as several files, read as a stream, one file a trigger."""
+    """The raw rows in the files their partitions give, read as a stream."""
     path = scratch_path(spark, "arriving")
     raw = dirty(spark, sf)
-    raw.repartition(CHUNKS, "event_id").write.parquet(path)
-    return clean.read_stream(spark, path, raw.schema, files_per_trigger=1)
+    raw.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    return clean.read_stream(spark, path, raw.schema, bytes_per_trigger=BYTES_PER_TRIGGER)
 
 
 def stream_clean(spark, sf):
@@ -28,10 +31,16 @@ def stream_clean(spark, sf):
 
 
 def stream_progress(spark, sf):
+    """Rows and bytes of text of each event type, added up chunk by chunk."""
     out = scratch_path(spark, "progress")
-    clean.record_chunks(_arriving(spark, sf), out, scratch_path(spark, "offsets")).awaitTermination()
-    return clean.chunk_progress(spark, out)
+    counted = totals.running_totals(_arriving(spark, sf), F.col("event_type"), F.octet_length("ts_text"))
+    totals.record_totals(counted, out, scratch_path(spark, "offsets")).awaitTermination()
+    return totals.latest(spark, out).drop("chunks")
 
 
 QUERIES = {f.__name__: f for f in (stream_clean, stream_progress)}
-SQL = {"stream_clean": clean_sql(1.5, "median")}
+SQL = {
+    "stream_clean": clean_sql(1.5, "median"),
+    "stream_progress": f"""{DIRTY} SELECT coalesce(event_type, 'missing') AS key, count(*) AS rows, count(*) AS total_rows,
+        CAST(coalesce(sum(strlen(ts_text)), 0) AS BIGINT) AS total_bytes FROM dirty GROUP BY 1""",
+}

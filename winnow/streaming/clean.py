@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -12,10 +12,14 @@ def apply_stream(stream: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(stream)
 
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None,
+                bytes_per_trigger: int | None = None) -> DataFrame:
+    """Arriving Parquet files; a chunk is what one trigger takes, bounded by files or by bytes."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(path)
 
 
@@ -26,25 +30,3 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
-
-
-def record_chunks(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each chunk's row count under its number; a replayed chunk overwrites its own."""
-    def count(batch: DataFrame, number: int) -> None:
-        batch.agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/chunk={number}")
-
-    return (
-        stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def chunk_progress(spark: SparkSession, path: str) -> DataFrame:
-    """``(chunk, rows, total_rows)``: rows of each chunk and the running total.
-
-    The window runs over one row per chunk, not over data.
-    """
-    in_order = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-    return spark.read.parquet(path).select(
-        F.col("chunk").cast("bigint").alias("chunk"), "rows",
-        F.sum("rows").over(in_order).alias("total_rows"))
