@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import struct
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -274,14 +274,15 @@ def needs_median(strategy: str, compat: bool) -> bool:
 def fit_nulls(
     df: DataFrame, threshold: float = 0.5, strategy: str = "median",
     categorical: str = "mode", compat: bool = False, measured: Measured | None = None,
-    exact: bool = True,
+    exact: bool = True, modes: Callable[[Sequence[str]], dict[str, object]] | None = None,
 ) -> NullFit:
     """Columns to drop and fills for the rest.
 
     One scan counts the nulls of every column and sketches what a median may need; later
     scans touch only columns that have nulls and stay. ``compat`` keeps the older rule
     that anything but ``mean`` fills numbers with the median. ``measured`` (with a median)
-    replaces the first scans. ``exact=False`` fills with estimated medians.
+    replaces the first scans, and ``modes`` the scan for the modes of the columns it is given.
+    ``exact=False`` fills with estimated medians.
     """
     if strategy not in NUMERIC_STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {NUMERIC_STRATEGIES}")
@@ -307,7 +308,7 @@ def fit_nulls(
                and (categorical == "mode" or strategy == "most_frequent")]
     if numeric_rule == "most_frequent":
         by_mode += [c for c in todo if c in numeric]
-    modes_found = mode_fills(df, by_mode)
+    modes_found = mode_fills(df, by_mode) if modes is None else modes(by_mode)
     for c in todo:
         if c in modes_found:
             fills[c] = modes_found[c]
