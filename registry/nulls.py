@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from registry.common import (
     DIRTY, DIRTY_COLUMNS, DIRTY_NUMERIC, DIRTY_TYPES, dirty, median_time, mode_of, pct, per_column,
-    quantile, r, rounded,
+    quantile, r, rounded, table,
 )
-from winnow.operators import nulls
+from winnow.operators import increments, nulls
 from winnow.plans.stages import NullHandler
+from winnow.session import scratch_path
 
 COLS = list(DIRTY_COLUMNS)
 
@@ -37,6 +40,31 @@ def impute_mode(spark, sf):
     return nulls.impute_mode(df, ["event_type", "user_id"])
 
 
+def impute_mode_texts(spark, sf):
+    """Whole texts, each gap filled with the commonest text of the table."""
+    docs = table(spark, sf, "documents").selectExpr(
+        "doc_id", "CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS text", "CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END AS source")
+    return nulls.impute_mode(docs, ["text", "source"])
+
+
+def incremental_fit(spark, sf):
+    """Days of events kept as mergeable state, merged, and compared with the rows where they are estimates."""
+    df, path = dirty(spark, sf), scratch_path(spark, "states")
+    increments.add_chunks(df, path, F.substring(F.col("ts").cast("string"), 1, 10))
+    state = increments.merged(spark, path)
+    medians = {c: state.columns[c].stats.grid[increments.GRID // 2] for c in DIRTY_NUMERIC}
+    ranks = df.agg(*[f for c, m in medians.items() for f in (
+        F.count_if(F.col(c) < m).alias(f"below_{c}"), F.count_if(F.col(c) <= m).alias(f"upto_{c}"))]).first()
+
+    def within(c: str) -> bool:
+        n = state.columns[c].stats.count
+        slack = increments.RANK_ERROR * n + 1
+        return ranks[f"below_{c}"] - slack <= n / 2 <= ranks[f"upto_{c}"] + slack
+
+    checked = spark.createDataFrame([(c, within(c)) for c in DIRTY_NUMERIC], "column string, median_within boolean")
+    return rounded(increments.state_table(spark, state).drop("distinct_estimate").join(F.broadcast(checked), "column"))
+
+
 def impute_constant(spark, sf):
     return nulls.impute_constant(dirty(spark, sf).select("event_id", "event_type", "ts_text"))
 
@@ -73,7 +101,7 @@ def null_reduction(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     null_profile, null_distribution, drop_sparse_columns, impute_mean, impute_median, impute_mode,
-    impute_constant, impute_datetime_median, impute_datetime_latest, null_handler, null_report,
+    impute_mode_texts, incremental_fit, impute_constant, impute_datetime_median, impute_datetime_latest, null_handler, null_report,
     drop_what_if, top_missing, null_reduction)}
 
 # ---------------------------------------------------------------- checking SQL
@@ -118,6 +146,12 @@ SQL = {
         SELECT event_id, {r('coalesce(value, v)')} AS value, whole_float FROM dirty, f""",
     "impute_mode": f"""{DIRTY} SELECT event_id, coalesce(event_type, {mode_of('event_type', 'dirty')}) AS event_type,
         coalesce(user_id, {mode_of('user_id', 'dirty')}) AS user_id FROM dirty""",
+    "impute_mode_texts": f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS text,
+        CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END AS source FROM documents)
+        SELECT doc_id, coalesce(text, {mode_of('text', 'd')}) AS text, coalesce(source, {mode_of('source', 'd')}) AS source FROM d""",
+    "incremental_fit": f"{DIRTY} " + per_column(DIRTY_NUMERIC, lambda c: f"""
+        SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, {r(f'avg({c})')} AS mean,
+               {r(f'stddev_samp({c})')} AS std, {r(f'min({c})')} AS min, {r(f'max({c})')} AS max, true AS median_within FROM dirty"""),
     "impute_constant": f"{DIRTY} SELECT event_id, coalesce(event_type, 'Unknown') AS event_type, "
                        "coalesce(ts_text, 'Unknown') AS ts_text FROM dirty",
     "impute_datetime_median": f"{DIRTY}, f AS (SELECT {median_time('ts')} AS m FROM dirty) "

@@ -43,6 +43,15 @@ def winsorize(spark, sf):
     return rounded(outliers.winsorize(df, outliers.fit_bounds(df, ["quality", "toxic"])))
 
 
+BOTH_ENDS = "CASE WHEN event_id % 89 = 0 THEN -50 * value WHEN event_id % 97 = 0 THEN 50 * value ELSE value END AS value"
+
+
+def winsorize_both_ends(spark, sf):
+    """Values far beyond both bounds."""
+    df = table(spark, sf, "events").selectExpr("event_id", BOTH_ENDS)
+    return rounded(outliers.winsorize(df, outliers.fit_bounds(df, ["value"])))
+
+
 def outlier_handler(spark, sf):
     df = table(spark, sf, "documents").select("doc_id", "n_chars")
     return rounded(OutlierHandler(factor=1.5, method="iqr").fit(df).transform(df))
@@ -62,8 +71,8 @@ def range_change(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    iqr_bounds, std_bounds, constant_bounds, remove_outliers, clip_outliers, winsorize, outlier_handler,
-    outlier_report, outlier_summary, range_change)}
+    iqr_bounds, std_bounds, constant_bounds, remove_outliers, clip_outliers, winsorize, winsorize_both_ends,
+    outlier_handler, outlier_report, outlier_summary, range_change)}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -113,6 +122,8 @@ SQL = {
     "winsorize": f"""WITH q AS ({bounds_sql(['quality'], 'labels')}), t AS ({bounds_sql(['toxic'], 'labels')})
         SELECT doc_id, CAST({clamp('quality', 'q')} AS INTEGER) AS quality, CAST({clamp('toxic', 't')} AS INTEGER) AS toxic
         FROM labels, q, t""",    # no flag lies beyond its bounds, so the columns stay integers
+    "winsorize_both_ends": f"""WITH e AS (SELECT event_id, {BOTH_ENDS} FROM events), b AS ({bounds_sql(['value'], 'e')})
+        SELECT event_id, {r(clamp('value', 'b'))} AS value FROM e, b""",
     "outlier_handler": f"""WITH b AS ({bounds_sql(['n_chars'], 'documents')})
         SELECT doc_id, {r(clamp('n_chars', 'b'))} AS n_chars FROM documents, b""",
     "outlier_report": f"{DIRTY} SELECT * REPLACE ({', '.join(f'{r(c)} AS {c}' for c in REPORT_DOUBLES)}) "

@@ -14,6 +14,9 @@ from winnow.session import scratch_path
 from winnow.sources import readers, sample, sinks
 
 
+CONVERSATIONS_PER_ARRAY = 500
+
+
 def scan_csv(spark, sf):
     path = scratch_path(spark, "csv") + ".csv"
     sinks.write_csv(dirty(spark, sf), path)
@@ -27,6 +30,26 @@ def scan_csv_documents(spark, sf):
     return readers.read_csv(spark, path)
 
 
+def scan_csv_multiline(spark, sf):
+    """Raw pages, whose quotes and line breaks lie inside quoted fields, read by all splits."""
+    path = scratch_path(spark, "pages") + ".csv"
+    sinks.write_csv(table(spark, sf, "pages"), path)
+    return readers.read_csv(spark, path, encoding="UTF-8", multi_line=True)
+
+
+def scan_json_array(spark, sf):
+    """Conversations as files that each hold one array of objects, on one line or on many."""
+    path = scratch_path(spark, "arrays") + ".json"
+    turns = table(spark, sf, "conversations")
+    group, gap = F.floor(F.col("conv_id") / CONVERSATIONS_PER_ARRAY), F.when(F.col("part") % 2 == 0, ",").otherwise(",\n  ")
+    arrays = turns.select(group.alias("part"), F.to_json(F.struct(*turns.columns)).alias("row")).groupBy("part").agg(
+        F.collect_list("row").alias("rows"))
+    (arrays.select("part", F.concat(F.lit("["), F.array_join("rows", "\u0000"), F.lit("]")).alias("joined"))
+     .select("part", F.replace(F.col("joined"), F.lit("\u0000"), gap).alias("value"))
+     .write.partitionBy("part").text(path))
+    return readers.read_json(spark, path, schema=turns.schema)
+
+
 def scan_json(spark, sf):
     path = scratch_path(spark, "json") + ".json"
     table(spark, sf, "customer").write.json(path)
@@ -72,7 +95,7 @@ def sink_report(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    scan_csv, scan_csv_documents, scan_json, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
+    scan_csv, scan_csv_documents, scan_csv_multiline, scan_json, scan_json_array, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -99,7 +122,11 @@ def _poisson() -> str:
 
 PLANTED = "(floor(id * 20 / n) <> floor((id - 1) * 20 / n))"
 NULL_REPORT = f"SELECT CAST(to_drop AS INTEGER) AS to_drop, * EXCLUDE (to_drop) FROM ({null_report_sql(0.7)})"
+MISSING = "({})".format(", ".join(f"'{t}'" for t in readers.NA_TOKENS))
 SQL = {
+    "scan_csv_multiline": f"SELECT page_id, CASE WHEN url NOT IN {MISSING} THEN url END AS url, "
+                          f"CASE WHEN html NOT IN {MISSING} THEN html END AS html FROM pages",
+    "scan_json_array": "SELECT * FROM conversations",
     "scan_csv": f"""{DIRTY} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value,
         TRY_CAST(amount_text AS BIGINT) AS amount_text, ts_text, whole_float, CAST(constant AS BIGINT) AS constant FROM dirty""",
     "scan_csv_documents": "SELECT doc_id, CASE WHEN text NOT IN ({}) THEN text END AS text, n_chars FROM documents".format(
