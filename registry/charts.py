@@ -32,6 +32,31 @@ def scatter_points(spark, sf):
     return charts.scatter_points(dirty(spark, sf), "value", "whole_float", "event_id", "event_type", 500)
 
 
+def scatter_even(spark, sf):
+    return charts.scatter_even(dirty(spark, sf), "value", "whole_float", "event_id", "event_type", 50)
+
+
+def ecdf_curve(spark, sf):
+    return rounded(charts.ecdf_curve(table(spark, sf, "lineitem"), "l_extendedprice", 150), 8)
+
+
+def density_by(spark, sf):
+    return rounded(charts.density_by(dirty(spark, sf), "value", "event_type", POINTS, BINS), 8)
+
+
+WILD = ("CASE WHEN event_id % 101 = 0 THEN CAST('infinity' AS DOUBLE) WHEN event_id % 103 = 0 THEN CAST('-infinity' AS DOUBLE) "
+        "ELSE value END AS value")
+
+
+def histogram_finite(spark, sf):
+    """Infinite values among the finite ones."""
+    return rounded(charts.histogram(table(spark, sf, "events").selectExpr(WILD), "value", 25))
+
+
+def infinite_counts(spark, sf):
+    return charts.infinite_counts(table(spark, sf, "events").selectExpr(WILD), ["value"])
+
+
 def scatter_grid(spark, sf):
     return charts.scatter_grid(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", 20, 20)
 
@@ -51,7 +76,8 @@ def preview(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    histogram, box_stats, box_stats_by, ecdf, density, scatter_points, scatter_grid, sorted_series, preview)}
+    histogram, box_stats, box_stats_by, ecdf, density, scatter_points, scatter_even, scatter_grid,
+    sorted_series, ecdf_curve, density_by, histogram_finite, infinite_counts, preview)}
 QUERIES |= {f"time_component_{u}": _component(u) for u in charts.TIME_UNITS}
 
 # ---------------------------------------------------------------- checking SQL
@@ -95,6 +121,29 @@ SQL = {
         FROM g, c GROUP BY i""",
     "scatter_points": f"""{DIRTY} SELECT event_id AS key, value AS x, whole_float AS y, event_type AS color FROM dirty
         WHERE value IS NOT NULL ORDER BY md5(CAST(event_id AS VARCHAR)), CAST(event_id AS VARCHAR) LIMIT 500""",
+    "scatter_even": f"""{DIRTY} SELECT key, x, y, color FROM (SELECT event_id AS key, value AS x, whole_float AS y,
+        event_type AS color, row_number() OVER (PARTITION BY event_type ORDER BY md5(CAST(event_id AS VARCHAR)),
+        CAST(event_id AS VARCHAR)) AS k FROM dirty WHERE value IS NOT NULL) WHERE k <= 50""",
+    "ecdf_curve": f"""WITH v AS (SELECT l_extendedprice AS value, count(*) AS n, CAST(sum(count(*)) OVER (ORDER BY l_extendedprice) AS BIGINT) AS upto,
+          CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM lineitem GROUP BY 1),
+        k AS (SELECT *, upto - n AS below FROM v WHERE (upto * 150) // total > ((upto - n) * 150) // total)
+        SELECT {r('value', 8)} AS value, {r('upto / total', 8)} AS share,
+          {r('(coalesce(lead(below) OVER (ORDER BY value), upto) - upto) / total', 8)} AS deviation FROM k""",
+    "density_by": f"""{DIRTY}, s AS (SELECT event_type, {SPAN[7:]} FROM dirty WHERE event_type IS NOT NULL GROUP BY event_type),
+        p AS (SELECT *, (hi - lo) / {BINS} AS w, 1.06::DOUBLE * std * pow(n, -0.2::DOUBLE) AS band FROM s WHERE hi > lo),
+        c AS (SELECT event_type, least(greatest(floor((value - lo) / w), 0), {BINS - 1}) AS bin, count(*) AS k
+              FROM dirty JOIN p USING (event_type) WHERE value IS NOT NULL GROUP BY 1, 2),
+        g AS (SELECT event_type, i, lo + i * (hi - lo) / {POINTS - 1} AS x, lo, w, band, n FROM p, range(0, {POINTS}) t(i))
+        SELECT event_type, {r('any_value(x)', 8)} AS x,
+          {r("sum(k * exp(-0.5::DOUBLE * pow((x - (lo + (bin + 0.5::DOUBLE) * w)) / band, 2))) / any_value(n * band * sqrt(2 * pi()))", 8)} AS density
+        FROM g JOIN c USING (event_type) GROUP BY event_type, i""",
+    "histogram_finite": f"""WITH e AS (SELECT value FROM (SELECT {WILD} FROM events) WHERE abs(value) < CAST('infinity' AS DOUBLE)),
+        s AS ({SPAN}, {quantile('value', .5)} AS median FROM e), w AS (SELECT *, (hi - lo) / 25 AS w FROM s),
+        c AS (SELECT least(greatest(CAST(floor((value - lo) / w) AS BIGINT), 0), 24) AS bin, count(*) AS k FROM e, w GROUP BY 1)
+        SELECT i AS bin, {r('lo + i * w')} AS lower, {r('lo + (i + 1) * w')} AS upper, {r('mean')} AS mean,
+               {r('median')} AS median, coalesce(k, 0) AS "count" FROM w, range(0, 25) t(i) LEFT JOIN c ON c.bin = i""",
+    "infinite_counts": f"""SELECT 'value' AS "column", count(*) FILTER (WHERE value = CAST('-infinity' AS DOUBLE)) AS negative,
+        count(*) FILTER (WHERE value = CAST('infinity' AS DOUBLE)) AS positive FROM (SELECT {WILD} FROM events)""",
     "scatter_grid": """WITH s AS (SELECT min(l_quantity) AS x0, (max(l_quantity) - min(l_quantity)) / 20 AS wx,
           min(l_extendedprice) AS y0, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS wy FROM lineitem)
         SELECT CAST(least(greatest(floor((l_quantity - x0) / wx), 0), 19) AS BIGINT) AS bx,

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from winnow.functions.columns import col, has_value, present
+from winnow.functions.columns import FLOATING, col, has_value, present
+from winnow.operators.frequency import distinct_estimates
 from winnow.operators.quantiles import (
-    FEW_GROUPS, group_estimate, grouped_quantiles, running_counts, summarize, value_splits,
+    FEW_GROUPS, SLOTS, group_estimate, grouped_quantiles, running_counts, summarize, value_splits,
 )
 
 # Histogram bins, whisker length, chart row limits.
@@ -24,14 +25,29 @@ def _number(df: DataFrame, name: str) -> Column:
     return present(df, name).cast("double")
 
 
+def finite(df: DataFrame, *names: str) -> DataFrame:
+    """The table with infinite values of some columns as nulls: bins and kernels have no place for them.
+
+    ``infinite_counts`` tells how many there were.
+    """
+    return df.withColumns({c: F.when(F.abs(col(c)) < math.inf, col(c)) for c in names
+                           if isinstance(df.schema[c].dataType, FLOATING)})
+
+
+def infinite_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(column, negative, positive)``: infinite values that histograms, densities and grids leave out."""
+    cells = [F.struct(F.lit(c).alias("column"), F.count_if(_number(df, c) == -math.inf).alias("negative"),
+                      F.count_if(_number(df, c) == math.inf).alias("positive")) for c in names]
+    return df.agg(F.array(*cells).alias("x")).select(F.inline("x"))
+
+
 def _distinct_up_to(df: DataFrame, name: str, seen: int, limit: int) -> int:
     """min(limit, distinct values). ``seen`` values settle most columns without a scan, an
     estimate settles the other wide ones, and only narrow columns are counted."""
     if seen >= limit:
         return limit
     x = _number(df, name)
-    estimate = df.agg(F.approx_count_distinct(x, 0.05).alias("d")).first()["d"]
-    if estimate > 2 * limit:
+    if distinct_estimates(df.select(x.alias("x")), ["x"])["x"] > 2 * limit:
         return limit
     return min(limit, df.filter(has_value(df, name)).select(x.alias("x")).distinct().count())
 
@@ -40,9 +56,9 @@ def histogram(df: DataFrame, name: str, bins: int | None = None) -> DataFrame:
     """Equal-width counts ``(bin, lower, upper, count)`` with the column's mean and median.
 
     Bins default to min(30, distinct values). The last bin includes the maximum. Empty
-    bins are kept.
+    bins are kept. Infinite values are left out, of the mean and median too.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, finite(df, name)
     s = summarize(df, {name: present(df, name)}, (0.5,))[0][name]
     schema = "bin bigint, lower double, upper double, mean double, median double"
     if s.count == 0:
@@ -126,6 +142,23 @@ def ecdf(df: DataFrame, name: str) -> DataFrame:
         "value", F.col("n").alias("count"), (F.col("upto") / F.col("total")).alias("share"))
 
 
+def ecdf_curve(df: DataFrame, name: str, points: int = 200) -> DataFrame:
+    """``(value, share, deviation)``: at most ``points`` steps of the ECDF, none further off than 1 / points.
+
+    A value is a step where the rows up to it pass a multiple of 1 / points of all. Held until the next step, the
+    curve is below the exact one by at most ``deviation``, measured here; values before the first step belong
+    to a step of share 0.
+    """
+    splits = value_splits(df, _number(df, name))
+    counted = running_counts(_value_table(df, name), splits)
+    below = F.col("upto") - F.col("n")
+    passed = F.floor(F.col("upto") * points / F.col("total")) > F.floor(below * points / F.col("total"))
+    in_order = Window.orderBy("value")       # at most ``points`` rows
+    before_next = F.coalesce(F.lead(below).over(in_order), F.col("upto"))
+    return counted.where(passed).select("value", (F.col("upto") / F.col("total")).alias("share"),
+                                        ((before_next - F.col("upto")) / F.col("total")).alias("deviation"))
+
+
 def sorted_series(df: DataFrame, name: str, points: int = 1000) -> DataFrame:
     """``(position, rank, value)``: the sorted column at ``points`` evenly spaced ranks.
 
@@ -155,8 +188,9 @@ def density(df: DataFrame, name: str, points: int = 64, bins: int = 512) -> Data
     """``(x, density)``: Gaussian kernel density on an even grid.
 
     Rows are folded into ``bins`` fine bins, each standing at its centre, and the kernel is
-    summed over bins rather than rows. Bandwidth is 1.06 * std * n^(-1/5).
+    summed over bins rather than rows. Bandwidth is 1.06 * std * n^(-1/5). Infinite values are left out.
     """
+    df = finite(df, name)
     s = summarize(df, {name: present(df, name)})[0][name]
     spark = df.sparkSession
     if s.count == 0 or not s.std:
@@ -176,6 +210,31 @@ def density(df: DataFrame, name: str, points: int = 64, bins: int = 512) -> Data
         (F.sum(F.col("n") * F.exp(-0.5 * gap * gap)) * F.lit(scale)).alias("density"))
 
 
+def density_by(df: DataFrame, name: str, by: str, points: int = 64, bins: int = 512) -> DataFrame:
+    """``(by, x, density)``: the density of each category on a grid over its own range, as a violin's body.
+
+    As ``density``, with bins, grid and bandwidth from each category's own statistics; categories without two
+    different values have no density. Rows fold to at most ``bins`` counts a category before they are shuffled.
+    """
+    df = finite(df, name)
+    few = group_estimate(df, by) <= FEW_GROUPS
+    rows = df.filter(has_value(df, name) & col(by).isNotNull()).select(col(by).alias(by), _number(df, name).alias("~v"))
+    own = rows.groupBy(by).agg(F.count("~v").alias("~n"), F.stddev_samp("~v").alias("~std"), F.min("~v").alias("~lo"),
+                               F.max("~v").alias("~hi")).where("`~hi` > `~lo` AND `~std` > 0")
+    own = own.withColumns({"~w": (F.col("~hi") - F.col("~lo")) / bins,
+                           "~band": 1.06 * F.col("~std") * F.pow(F.col("~n"), F.lit(-0.2))})
+    joined = rows.join(F.broadcast(own) if few else own, by)
+    at = F.floor((F.col("~v") - F.col("~lo")) / F.col("~w"))
+    binned = joined.groupBy(by, "~n", "~lo", "~hi", "~w", "~band",
+                            F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)).alias("~bin")).agg(F.count(F.lit(1)).alias("~k"))
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    x = F.col("~lo") + F.col("~i") * (F.col("~hi") - F.col("~lo")) / (points - 1)
+    gap = (F.col("x") - (F.col("~lo") + (F.col("~bin") + 0.5) * F.col("~w"))) / F.col("~band")
+    scale = F.first(F.col("~n") * F.col("~band") * math.sqrt(2 * math.pi))
+    return binned.withColumn("~i", grid).withColumn("x", x).groupBy(by, "x").agg(
+        (F.sum(F.col("~k") * F.exp(-0.5 * gap * gap)) / scale).alias("density"))
+
+
 def scatter_points(df: DataFrame, x: str, y: str, key: str, color: str | None = None,
                    n: int | None = None, hover: Sequence[str] = ()) -> DataFrame:
     """Point pairs, with colour and hover columns; ``n`` draws an even sample.
@@ -191,8 +250,28 @@ def scatter_points(df: DataFrame, x: str, y: str, key: str, color: str | None =
     return points.select(col(key).alias("key"), col(x).alias("x"), col(y).alias("y"), *extra)
 
 
+def scatter_even(df: DataFrame, x: str, y: str, key: str, color: str, k: int = 500,
+                 hover: Sequence[str] = ()) -> DataFrame:
+    """Point pairs with as many points of every colour: the ``k`` smallest digests of ``key`` in each.
+
+    The same rows on any partitioning. Each task keeps k rows a colour before the shuffle (Spark limits ranked
+    rows there for k up to 1000), and they meet over slots first, so a colour with a third of the rows is
+    never sorted as a whole. Rows without a colour are a colour of their own.
+    """
+    text = col(key).cast("string")
+    points = df.filter(has_value(df, x) & has_value(df, y)).select(
+        col(key).alias("key"), col(x).alias("x"), col(y).alias("y"), col(color).alias("color"),
+        *[col(h) for h in hover], F.md5(text).alias("~h"), text.alias("~t"),
+        (F.spark_partition_id() % F.lit(SLOTS)).alias("~slot"))
+    for group in (["color", "~slot"], ["color"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("~h", "~t"))
+        points = points.withColumn("~rank", rank).where(F.col("~rank") <= k).drop("~rank")
+    return points.drop("~h", "~t", "~slot")
+
+
 def scatter_grid(df: DataFrame, x: str, y: str, nx: int = 50, ny: int = 50) -> DataFrame:
-    """``(bx, by, count)``: points counted on an even grid over both ranges."""
+    """``(bx, by, count)``: points counted on an even grid over both ranges; infinite points are left out."""
+    df = finite(df, x, y)
     both = df.filter(has_value(df, x) & has_value(df, y))
     vx, vy = _number(df, x), _number(df, y)
     r = both.agg(F.min(vx).alias("x0"), F.max(vx).alias("x1"), F.min(vy).alias("y0"), F.max(vy).alias("y1")).first()

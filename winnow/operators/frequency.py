@@ -273,10 +273,21 @@ def within_cardinality(df: DataFrame, cols: Sequence[str], cap: int) -> dict[str
     """
     if not cols:
         return {}
-    row = df.agg(*[
-        F.approx_count_distinct(col(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)
-    ]).first()
-    return settle_cardinality(df, {c: row[f"d{i}"] for i, c in enumerate(cols)}, cap)
+    return settle_cardinality(df, distinct_estimates(df, cols), cap)
+
+
+def distinct_estimates(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """About how many distinct values each column has (1.6 % error); sketches meet over slots first."""
+    if not cols:
+        return {}
+    slot = (F.spark_partition_id() % F.lit(SLOTS)).alias("slot")
+    values = [F.xxhash64(as_text(df, c)).alias(f"v{i}") for i, c in enumerate(cols)]
+    known = [as_text(df, c).isNotNull().alias(f"k{i}") for i, c in enumerate(cols)]
+    n = range(len(cols))
+    row = (df.select(slot, *values, *known).groupBy("slot")
+           .agg(*[F.expr(f"hll_sketch_agg(v{i}, 12) FILTER (WHERE k{i}) s{i}") for i in n])
+           .agg(*[F.expr(f"hll_sketch_estimate(hll_union_agg(s{i})) d{i}") for i in n])).first()
+    return {c: row[f"d{i}"] or 0 for i, c in enumerate(cols)}
 
 
 def settle_cardinality(df: DataFrame, estimates: dict[str, int], cap: int) -> dict[str, bool]:

@@ -18,6 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.columns import col, double_literal, has_value
+from winnow.operators.frequency import distinct_estimates
 
 SLOTS = 64            # groups for the first merge of partial results
 SKETCH_K = 2000       # KLL size: rank error about 0.2 %, 50 kB a column
@@ -349,7 +350,7 @@ def running_counts(counted: DataFrame, splits: Sequence[float]) -> DataFrame:
 
 def group_estimate(df: DataFrame, by: str) -> int:
     """About how many groups there are (2 % error), to choose how to join on them."""
-    return df.agg(F.approx_count_distinct(col(by), 0.02)).first()[0]
+    return distinct_estimates(df, [by])[by]
 
 
 def grouped_quantiles(
