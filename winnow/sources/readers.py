@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from winnow.functions.columns import FLOATING, col, columns_of, present
 from winnow.functions.numbers import text_number
+from winnow.operators.cut import first_rows
 from winnow.sources import ranges
 
 # Text that stands for a missing value.
@@ -224,13 +225,12 @@ def read_capped(spark: SparkSession, path: str, chunk_size: int = 10_000, max_ch
     """A CSV file up to ``chunk_size * max_chunks`` rows; whole when ``max_chunks`` is None.
 
     Splits already read in pieces, so only the row cap is left of chunked loading. With
-    ``order_by`` the capped rows are the first in that order.
+    ``order_by`` the capped rows are the first in that order, ties by a digest of the row; without it
+    they are those with the smallest digests, the same rows on every run.
     """
     if not path.rstrip("/").endswith(".csv"):
         raise ValueError("Chunked reading only supports CSV files")
     df = read_csv(spark, path, **options)
     if max_chunks is None:
         return df
-    if order_by is not None:
-        df = df.orderBy(col(order_by))
-    return df.limit(chunk_size * max_chunks)
+    return first_rows(df, chunk_size * max_chunks, order_by)
