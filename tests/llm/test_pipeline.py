@@ -1,5 +1,7 @@
 """The pipeline's stages keep what they should, with the columns of documents."""
 
+import pytest
+
 import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, connect
@@ -18,6 +20,6 @@ def test_stages_follow_each_other(spark):
     assert last.count() == before.count()
 
 
-def test_exact_dedup_matches_sql(spark):
-    name = "op9_exact_dedup"
+@pytest.mark.parametrize("name", list(queries.SQL))
+def test_query_matches_sql(spark, name):
     assert compare(queries.QUERIES[name](spark, SF_SMALL), connect(SF_SMALL), queries.SQL[name]) is None
