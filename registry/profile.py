@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from registry.common import (
     DIRTY, DIRTY_COLUMNS, DIRTY_NUMERIC, DIRTY_TYPES, dirty, half_even, mode_of, pct, per_column,
     quantile, r, rounded, table,
@@ -9,6 +11,8 @@ from registry.common import (
 from registry.nulls import COUNTS
 from registry.types import SCHEMA_REPORT, _size
 from winnow.operators import frequency, nulls, profile, types
+from winnow.operators.duplicates import DuplicateIndex
+from winnow.session import scratch_path
 
 COLS = list(DIRTY_COLUMNS)
 LINEITEM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey"]
@@ -55,6 +59,23 @@ def quality_scores(spark, sf):
     return rounded(profile.quality_scores(dirty(spark, sf).drop("event_id", "ts", "ts_text", "amount_text")))
 
 
+def duplicate_count_whole(spark, sf):
+    return profile.duplicate_count(dirty(spark, sf))
+
+
+def quality_scores_whole(spark, sf):
+    return rounded(profile.quality_scores(dirty(spark, sf)))
+
+
+def incremental_duplicates(spark, sf):
+    """Texts arriving language by language: how many of each chunk were there before, by the digest index."""
+    docs = table(spark, sf, "documents")
+    index = DuplicateIndex(spark, scratch_path(spark, "digests"), 16)
+    for row in docs.select("lang").distinct().orderBy("lang").collect():        # a row per language
+        index.add(docs.where(F.col("lang").eqNullSafe(F.lit(row["lang"]))).select("text"), str(row["lang"]))
+    return index.chunks()
+
+
 def datetime_profile(spark, sf):
     return profile.datetime_profile(dirty(spark, sf))
 
@@ -78,8 +99,8 @@ def compare(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     frequency_table, value_counts, describe, column_profile, column_statistics_numeric,
-    column_statistics_categorical, size_profile, dtype_distribution, duplicate_count, quality_scores,
-    datetime_profile, correlation, dataset_summary, numeric_overview, compare)}
+    column_statistics_categorical, size_profile, dtype_distribution, duplicate_count, duplicate_count_whole,
+    quality_scores, quality_scores_whole, incremental_duplicates, datetime_profile, correlation, dataset_summary, numeric_overview, compare)}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -161,6 +182,13 @@ SQL = {
         SELECT {r(f"100 - (SELECT {' + '.join(f'(count(*) - count({c}))' for c in FEW)} FROM t) * 100.0::DOUBLE / ({len(FEW)} * (SELECT count(*) FROM t))")} AS completeness,
         {r("(SELECT count(*) FROM (SELECT DISTINCT * FROM t)) * 100.0::DOUBLE / (SELECT count(*) FROM t)")} AS uniqueness,
         {r(f"(SELECT {' + '.join(f'CAST(count(DISTINCT {c}) > 1 AS INTEGER)' for c in FEW)} FROM t) * 100.0::DOUBLE / {len(FEW)}")} AS variability""",
+    "quality_scores_whole": f"""{DIRTY}, t AS (SELECT {", ".join(COLS)} FROM dirty)
+        SELECT {r(f"100 - (SELECT {' + '.join(f'(count(*) - count({c}))' for c in COLS)} FROM t) * 100.0::DOUBLE / ({len(COLS)} * (SELECT count(*) FROM t))")} AS completeness,
+        {r("(SELECT count(*) FROM (SELECT DISTINCT * FROM t)) * 100.0::DOUBLE / (SELECT count(*) FROM t)")} AS uniqueness,
+        {r(f"(SELECT {' + '.join(f'CAST(count(DISTINCT {c}) > 1 AS INTEGER)' for c in COLS)} FROM t) * 100.0::DOUBLE / {len(COLS)}")} AS variability""",
+    "duplicate_count_whole": f"{DIRTY} SELECT count(*) AS total_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS duplicate_rows FROM dirty",
+    "incremental_duplicates": """WITH n AS (SELECT text, lang, row_number() OVER (PARTITION BY text ORDER BY lang NULLS FIRST) AS k FROM documents)
+        SELECT coalesce(lang, 'None') AS chunk, count(*) AS rows, count(*) FILTER (WHERE k > 1) AS duplicates FROM n GROUP BY lang""",
     "datetime_profile": f"""{DIRTY} SELECT 'ts' AS "column", min(ts) AS earliest, max(ts) AS latest,
         (epoch_us(max(ts)) - epoch_us(min(ts))) // 86400000000 AS range_days, count(ts) AS non_null,
         count(*) - count(ts) AS null_count, {pct('count(*) - count(ts)', 'count(*)')} AS null_pct FROM dirty""",

@@ -198,15 +198,20 @@ def dtype_distribution(df: DataFrame) -> DataFrame:
     return facts.groupBy("dtype", "role").agg(F.count(F.lit(1)).alias("columns"))
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A 256-bit digest of all values of a row."""
+    texts = [_key(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)]
+    whole = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}) if texts else F.lit("")
+    return F.unhex(F.sha2(F.encode(whole, "UTF-8"), 256))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """``(total_rows, duplicate_rows)``: rows equal to another one, beyond the first.
 
     Rows are told by a 256-bit digest of all their values, counted in one shuffle of 32 bytes a row.
     Equal rows fold map-side, so one that fills a third of the table is one row per task.
     """
-    texts = [_key(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)]
-    whole = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}) if texts else F.lit("")
-    per_row = df.groupBy(F.unhex(F.sha2(F.encode(whole, "UTF-8"), 256)).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    per_row = df.groupBy(row_digest(df).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
     total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
     return per_row.agg(total.alias("total_rows"), (total - F.count(F.lit(1))).alias("duplicate_rows"))
 
