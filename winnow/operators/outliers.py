@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from winnow.functions.columns import col, double_literal, is_integral, numeric_columns, present, present_sql
 from winnow.functions.numbers import half_even, share_pct
-from winnow.functions.reshape import aggregate_rows
+from winnow.functions.reshape import Pending, aggregate_rows, pending_rows
 from winnow.operators.projection import between_all
 from winnow.operators.quantiles import Stats, summarize
 
@@ -130,8 +130,10 @@ def outlier_report(df: DataFrame, bounds: Mapping[str, Mapping] | None = None,
 
     All columns in one pass; the bounds are literals in the plan.
     """
-    if bounds is None:
-        bounds = fit_bounds(df, None, factor)
+    return pending_report(df, fit_bounds(df, None, factor) if bounds is None else bounds).of(df)
+
+
+def pending_report(df: DataFrame, bounds: Mapping[str, Mapping]) -> Pending:
     names = [c for c in numeric_columns(df) if c in bounds]
     metrics = {}
     for c in names:
@@ -143,14 +145,17 @@ def outlier_report(df: DataFrame, bounds: Mapping[str, Mapping] | None = None,
             for group, values in (("outlier", odd), ("normal", usual))
             for name, f in (("count", "count"), ("min", "min"), ("max", "max"), ("mean", "avg"), ("std", "stddev_samp"))
         }
-    measured = aggregate_rows(df, names, metrics, REPORT_SCHEMA).filter(
-        "outlier_count + normal_count > 0"
-    ).withColumn("outlier_pct", half_even(share_pct(
-        F.col("outlier_count"), F.col("outlier_count") + F.col("normal_count"))))
+    rows = pending_rows(df.sparkSession, names, metrics, REPORT_SCHEMA)
     fitted = bounds_table(df.sparkSession, bounds).select(
         "column", "lower", "upper", "q1", "q3", "iqr", "method",
         F.col("min").alias("original_min"), F.col("max").alias("original_max"))
-    return measured.join(F.broadcast(fitted), "column")    # one row per column
+
+    def finish(row: DataFrame) -> DataFrame:
+        measured = rows.finish(row).filter("outlier_count + normal_count > 0").withColumn("outlier_pct", half_even(
+            share_pct(F.col("outlier_count"), F.col("outlier_count") + F.col("normal_count"))))
+        return measured.join(F.broadcast(fitted), "column")    # one row per column
+
+    return Pending(rows.aggs or [F.count(F.lit(1)).alias("outlier_rows")], finish)
 
 
 def outlier_summary(df: DataFrame, bounds: Mapping[str, Mapping] | None = None,

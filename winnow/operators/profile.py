@@ -13,7 +13,7 @@ from winnow.functions.columns import (
     FIXED_WIDTH, as_text, col, columns_of, is_numeric, kind, micros, numeric_columns, present,
 )
 from winnow.functions.numbers import half_even, share_pct
-from winnow.functions.reshape import aggregate_rows
+from winnow.functions.reshape import Pending, aggregate_rows
 from winnow.operators.frequency import distinct_counts, mode_values
 from winnow.operators.nulls import null_counts
 from winnow.operators.quantiles import Stats, summarize
@@ -327,28 +327,33 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def table_facts(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, nulls and bytes, in one scan."""
+def pending_facts(df: DataFrame) -> Pending:
+    """One row: rows, columns, nulls and bytes."""
     sizes = size_expressions(df, df.columns)
     rows = F.count(F.lit(1))
-    return df.agg(
-        rows.alias("rows"),
-        F.array(*[rows - F.count(present(df, c)) for c in df.columns]).alias("nulls"),
-        F.array(*sizes.values()).alias("sizes"),
-    ).select(
-        "rows", F.lit(len(df.columns)).alias("columns"),
-        _array_sum("nulls").alias("nulls"),
-        _array_sum("sizes").alias("bytes"),
-    )
+    aggs = [rows.alias("rows"), F.array(*[rows - F.count(present(df, c)) for c in df.columns]).alias("nulls"),
+            F.array(*sizes.values()).alias("sizes")]
+    return Pending(aggs, lambda row: row.select(
+        "rows", F.lit(len(df.columns)).alias("columns"), _array_sum("nulls").alias("nulls"),
+        _array_sum("sizes").alias("bytes")))
 
 
-def compare(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: shape, nulls and size of both tables, and the columns that went."""
+def table_facts(df: DataFrame) -> DataFrame:
+    """One row: rows, columns, nulls and bytes, in one scan."""
+    return pending_facts(df).of(df)
+
+
+def compare(before: DataFrame, after: DataFrame, facts_before: DataFrame | None = None,
+            facts_after: DataFrame | None = None) -> DataFrame:
+    """One row: shape, nulls and size of both tables, and the columns that went.
+
+    ``facts_before`` and ``facts_after`` replace the scans of the tables.
+    """
     removed = sorted(set(before.columns) - set(after.columns))
 
     facts = ("rows", "columns", "nulls", "bytes")
-    stages = table_facts(before).withColumn("stage", F.lit("before")).unionByName(
-        table_facts(after).withColumn("stage", F.lit("after")))
+    stages = (facts_before or table_facts(before)).withColumn("stage", F.lit("before")).unionByName(
+        (facts_after or table_facts(after)).withColumn("stage", F.lit("after")))
     return stages.agg(*[
         F.max(F.when(F.col("stage") == stage, F.col(c))).alias(f"{c}_{stage}")
         for stage in ("before", "after") for c in facts]).select(

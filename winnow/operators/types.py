@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from winnow.functions import dates
 from winnow.functions.columns import FLOATING, col, columns_of, is_temporal, kind, present
 from winnow.functions.numbers import text_number
-from winnow.functions.reshape import aggregate_rows
+from winnow.functions.reshape import Pending, aggregate_rows, pending_rows
 from winnow.operators.frequency import settle_cardinality, within_cardinality
 from winnow.operators.profile import size_expressions
 
@@ -339,26 +339,34 @@ def apply_types(df: DataFrame, fit: TypeFit) -> DataFrame:
 def schema_report(df: DataFrame, fit: TypeFit | None = None, order_by: str | None = None) -> DataFrame:
     """Per column: original and new type, role, logical bytes before, after and saved, and
     ``values_lost``, the values that typing turns into nulls."""
-    fit = fit or fit_types(df, order_by=order_by)
+    both, pending = pending_schema(df, fit or fit_types(df, order_by=order_by))
+    return pending.of(both)
+
+
+def pending_schema(df: DataFrame, fit: TypeFit) -> tuple[DataFrame, Pending]:
+    """The table with its typed columns beside it under other names, and the report of both."""
     typed = apply_types(df, fit)
-    # both sizes from one scan: the typed columns ride along under other names
     after = {c: f"{i}~after" for i, c in enumerate(df.columns)}
     both = df.select(*[col(c) for c in df.columns], *[
         e.alias(after[c]) for c, e in typed_expressions(df, fit).items()])
     before_size = size_expressions(both, df.columns)
     after_size = size_expressions(both, list(after.values()))
     dtypes = dict(typed.dtypes)
-    return aggregate_rows(both, df.columns, {
+    rows = pending_rows(df.sparkSession, df.columns, {
         c: {"bytes_before": before_size[c], "bytes_after": after_size[after[c]],
             "values_lost": F.count(present(both, c)) - F.count(present(both, after[c]))} for c in df.columns
-    }, "bytes_before bigint, bytes_after bigint, values_lost bigint").select(
-        "column",
-        _by_name({f.name: f.dataType.simpleString() for f in df.schema}).alias("original_type"),
-        _by_name(dtypes).alias("new_type"),
-        _by_name({c: fit.roles.of(c) for c in df.columns}).alias("role"),
-        "bytes_before", "bytes_after",
-        (F.col("bytes_before") - F.col("bytes_after")).alias("bytes_saved"), "values_lost",
-    )
+    }, "bytes_before bigint, bytes_after bigint, values_lost bigint")
+
+    def finish(row: DataFrame) -> DataFrame:
+        return rows.finish(row).select(
+            "column",
+            _by_name({f.name: f.dataType.simpleString() for f in df.schema}).alias("original_type"),
+            _by_name(dtypes).alias("new_type"),
+            _by_name({c: fit.roles.of(c) for c in df.columns}).alias("role"),
+            "bytes_before", "bytes_after",
+            (F.col("bytes_before") - F.col("bytes_after")).alias("bytes_saved"), "values_lost")
+
+    return both, Pending(rows.aggs, finish)
 
 
 def _by_name(values: Mapping[str, str]) -> Column:

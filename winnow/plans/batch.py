@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from winnow.plans.cleaning import Run, run_full
+from winnow.plans.cleaning import Run, run_observed
 from winnow.plans.config import Config, PRESETS, environment, preset
 from winnow.plans.reports import report_table
 from winnow.session import scratch_path
@@ -23,6 +23,7 @@ def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None
 
     Fitting scans the table several times, so a text source is first written once as
     Parquet in the shared scratch folder; later scans read only the columns they need.
+    Reports come from what is observed while the cleaned rows are written.
     ``options`` go to the reader.
     """
     cfg = cfg or Config()
@@ -31,8 +32,7 @@ def batch_job(spark: SparkSession, source: str, output: str, cfg: Config | None
         staged = scratch_path(spark, "staged")
         df.write.parquet(staged)
         df = spark.read.parquet(staged)
-    run = run_full(df, cfg)
-    write_csv(run.cleaned, f"{output}/data")
+    run = run_observed(df, lambda cleaned: write_csv(cleaned, f"{output}/data"), cfg)
     write_report(report_table(run.reports), f"{output}/report")
     return run
 

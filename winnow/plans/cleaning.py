@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from winnow.functions.columns import numeric_columns, present
+from winnow.functions.columns import col, numeric_columns, present
 from winnow.functions.numbers import half_even, share_pct
+from winnow.functions.reshape import observed
 from winnow.operators import nulls, outliers, profile, quantiles, types
 from winnow.plans.config import Config
 from winnow.plans.stages import (
@@ -75,9 +77,10 @@ def quality_reports(df: DataFrame, cfg: Config, stage: str, fit: types.TypeFit |
     }
 
 
-def final_report(before: DataFrame, after: DataFrame, cfg: Config) -> DataFrame:
+def final_report(before: DataFrame, after: DataFrame, cfg: Config, facts_before: DataFrame | None = None,
+                 facts_after: DataFrame | None = None) -> DataFrame:
     """One row: shapes, columns removed, sizes, nulls, steps and settings."""
-    return profile.compare(before, after).select(
+    return profile.compare(before, after, facts_before, facts_after).select(
         F.lit("final").alias("stage"), "*",
         F.coalesce(half_even(share_pct(F.col("nulls_before") - F.col("nulls_after"), F.col("nulls_before"))),
                    F.lit(100.0)).alias("null_reduction_pct"),
@@ -132,6 +135,32 @@ def run_full(df: DataFrame, cfg: Config | None = None) -> Run:
     return Run(cleaned, model, cfg, reports)
 
 
+def run_observed(df: DataFrame, write: Callable[[DataFrame], None], cfg: Config | None = None) -> Run:
+    """What ``run_full`` gives, with the cleaned table handed to ``write`` and no scan after that.
+
+    Sizes, nulls, lost values and outliers are observed while the cleaned rows pass on their way to the sink, before
+    and after cleaning; ``write`` must run the table once, in one action.
+    """
+    cfg = cfg or Config()
+    model = fit_cleaning(df, cfg)
+    fit = model.stages[0].fit_result
+    measured = nulls.measure(df, (0.25, 0.5, 0.75), exact=cfg.exact)
+    bounds = outliers.bounds_from({c: s for c, s in measured.stats.items() if c in numeric_columns(df)}, cfg.outlier_factor)
+    missing = nulls.null_report(df, cfg.drop_threshold, measured=measured)
+
+    both, schema = types.pending_schema(df, fit)
+    passing, raw_reports = observed(both, [schema, outliers.pending_report(df, bounds), profile.pending_facts(df)])
+    plain = model.transform(passing.select(*[col(c) for c in df.columns]))
+    cleaned, clean_reports = observed(plain, [profile.pending_facts(plain)])
+    write(cleaned)
+    schema_rows, outlier_rows, before = raw_reports()
+    after, = clean_reports()
+    label = F.lit("raw").alias("stage")
+    return Run(model.transform(df), model, cfg, {
+        "final": final_report(df, plain, cfg, before, after), "schema": schema_rows.select(label, "*"),
+        "missing_values": missing.select(label, "*"), "outliers": outlier_rows.select(label, "*")})
+
+
 def run_steps(df: DataFrame, cfg: Config | None = None) -> Run:
     """The same three steps one at a time, with reports on the cleaned table."""
     cfg = cfg or Config()

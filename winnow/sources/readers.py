@@ -131,7 +131,8 @@ def read_csv(
     if encoding is None or multi_line is None:
         layouts = _layouts(spark, path, F.lit(True), facts) or layouts
 
-    plain_options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    plain_options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                     "columnNameOfCorruptRecord": CORRUPT}
 
     def charset(layout: dict) -> str:
         return (encoding or (FALLBACK_ENCODING if layout["latin"] else "UTF-8")).upper().replace("LATIN-1", FALLBACK_ENCODING)
@@ -152,7 +153,7 @@ def read_csv(
             wanted = T.StructType([T.StructField(c, T.StringType()) for c in reader(layout).csv(files).columns])
         shape = wanted if isinstance(wanted, str) else ", ".join(
             f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in wanted)
-        parsed = F.from_csv("record", shape, plain_options | {"multiLine": "true", "columnNameOfCorruptRecord": CORRUPT})
+        parsed = F.from_csv("record", shape, plain_options | {"multiLine": "true"})
         return staged[i].select(parsed.alias("row")).select("row.*")
 
     if schema is not None:
