@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from registry.common import DIRTY, dirty, long_rows, r, rounded, table
+from registry.common import DIRTY, dirty, long_rows, per_column, r, rounded, table
 from registry.nulls import null_report_sql
 from winnow.operators import nulls
 from winnow.plans.reports import report_table
 from winnow.session import scratch_path
-from winnow.sources import readers, sample, sinks
+from winnow.sources import footers, readers, sample, sinks
 
 
 CONVERSATIONS_PER_ARRAY = 500
@@ -56,6 +56,11 @@ def scan_json(spark, sf):
     return readers.read_json(spark, path)
 
 
+def footer_profile(spark, sf):
+    """Rows, nulls and extremes of a table's files, from their footers where those settle them."""
+    return rounded(footers.footer_profile(spark, f"{sf}/orders.parquet"))
+
+
 def scan_dispatch(spark, sf):
     """The same table by each extension: rows and a total of each."""
     df, base = table(spark, sf, "supplier"), scratch_path(spark, "dispatch")
@@ -95,7 +100,7 @@ def sink_report(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    scan_csv, scan_csv_documents, scan_csv_multiline, scan_json, scan_json_array, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
+    scan_csv, scan_csv_documents, scan_csv_multiline, scan_json, scan_json_array, footer_profile, scan_dispatch, scan_capped, sample_table, sink_csv, sink_report)}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -122,10 +127,14 @@ def _poisson() -> str:
 
 PLANTED = "(floor(id * 20 / n) <> floor((id - 1) * 20 / n))"
 NULL_REPORT = f"SELECT CAST(to_drop AS INTEGER) AS to_drop, * EXCLUDE (to_drop) FROM ({null_report_sql(0.7)})"
+NUMBERS = ("o_orderkey", "o_custkey", "o_totalprice")
 MISSING = "({})".format(", ".join(f"'{t}'" for t in readers.NA_TOKENS))
 SQL = {
     "scan_csv_multiline": f"SELECT page_id, CASE WHEN url NOT IN {MISSING} THEN url END AS url, "
                           f"CASE WHEN html NOT IN {MISSING} THEN html END AS html FROM pages",
+    "footer_profile": per_column(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], lambda c: f"""
+        SELECT '{c}' AS "column", count(*) AS total_rows, count(*) - count({c}) AS null_count,
+        {r(f'min({c})') if c in NUMBERS else 'CAST(NULL AS DOUBLE)'} AS low, {r(f'max({c})') if c in NUMBERS else 'CAST(NULL AS DOUBLE)'} AS high FROM orders"""),
     "scan_json_array": "SELECT * FROM conversations",
     "scan_csv": f"""{DIRTY} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value,
         TRY_CAST(amount_text AS BIGINT) AS amount_text, ts_text, whole_float, CAST(constant AS BIGINT) AS constant FROM dirty""",
