@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from winnow.functions import dates
 from winnow.functions.columns import FLOATING, col, columns_of, is_temporal, kind, present
 from winnow.functions.numbers import text_number
 from winnow.functions.reshape import Pending, aggregate_rows, pending_rows
-from winnow.operators.frequency import settle_cardinality, within_cardinality
+from winnow.operators.frequency import SLOTS, settle_cardinality, within_cardinality
 from winnow.operators.profile import size_expressions
 
 # Date sample size, share of it that must parse (strictly above), and the
@@ -49,8 +48,7 @@ def date_parse_ratio(
 ) -> DataFrame:
     """``(column, sampled, parsed, ratio)`` over the first ``n`` non-null values of each column.
 
-    "First" is by ``order_by``: each branch then reads one column and keeps ``n`` rows per
-    task. Without it any ``n`` values serve, and a few splits are read. ``n=None`` measures
+    "First" is by ``order_by``: one scan, of which each task keeps ``n`` values a column. Without it any ``n`` values serve, and a few splits are read. ``n=None`` measures
     whole columns in one pass.
     """
     names = columns_of(df, "categorical") if cols is None else list(cols)
@@ -72,16 +70,27 @@ def date_parse_ratio(
     return counted.withColumn("ratio", F.try_divide(F.col("parsed"), F.col("sampled")))
 
 
+def _short(c: str) -> Column:
+    """No date is longer than 64 characters; longer text stands as empty."""
+    return F.when(F.length(col(c)) <= 64, col(c)).when(col(c).isNotNull(), F.lit(""))
+
+
 def _first_values(df: DataFrame, names: Sequence[str], n: int, order_by: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
-        df.filter(col(c).isNotNull()).orderBy(col(order_by)).limit(n)
-        .select(F.lit(c).alias("column"), col(c).alias("value")) for c in names])
+    """The first ``n`` values of all columns in one scan: each task keeps ``n`` a column (Spark limits ranked rows
+    before the shuffle), and they meet over slots first."""
+    cells = [F.struct(F.lit(c).alias("column"), col(order_by).alias("place"), _short(c).alias("value")) for c in names]
+    values = df.select(F.explode(F.array(*cells)).alias("x"), (F.spark_partition_id() % SLOTS).alias("slot")).select(
+        "x.*", "slot").where("value IS NOT NULL")
+    for group in (["column", "slot"], ["column"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("place").asc_nulls_first(), "value"))
+        values = values.withColumn("rank", rank).where(F.col("rank") <= n)
+    return values.select("column", "value")
 
 
 def _any_values(df: DataFrame, names: Sequence[str], n: int) -> DataFrame:
     """At most ``n`` values of each column, fetched as a limit does: splits are read until
-    there are enough. No date is longer than 64 characters; longer text stands as empty."""
-    short = {c: F.when(F.length(col(c)) <= 64, col(c)).when(col(c).isNotNull(), F.lit("")) for c in names}
+    there are enough."""
+    short = {c: _short(c) for c in names}
     taken = {c: [] for c in names}
     rows = df.select(*[short[c].alias(f"v{i}") for i, c in enumerate(names)]).limit(n).collect()
     for row in rows:
