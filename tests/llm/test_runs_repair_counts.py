@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from winnow.llm import conversations, periodic, piece_counts, queries
+from winnow.llm import conversations, periodic, piece_counts, queries, warc
 from winnow.llm.common import Scratch
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -283,3 +283,29 @@ def test_models_of_other_kinds_are_refused(tmp_path):
     (tmp_path / "other.model").write_bytes(model.SerializeToString())
     with pytest.raises(ValueError):
         piece_counts.Pieces(str(tmp_path / "other.model"))
+
+
+# Damaged and foreign archives
+
+def test_complete_records_of_a_damaged_archive_are_read(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i} WARC/1.1\r\n</p>") for i in range(5)],
+                                  "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, f"{tmp_path}/whole")
+    part, = (tmp_path / "whole").glob("part-*")
+    raw = part.read_bytes()
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "crawl-0001.warc").write_bytes(raw[:-40])          # the last record is truncated
+    found = warc.read(spark, f"{tmp_path}/cut")
+    assert sorted(r["page_id"] for r in found.collect()) == [0, 1, 2, 3]
+    tail, = warc.broken_tails(found).collect()
+    assert tail["size"] == len(raw) - 40 and tail["end"] < tail["size"]
+    assert warc.broken_tails(warc.read(spark, f"{tmp_path}/whole")).count() == 0
+
+
+def test_archives_are_rolled_by_the_largest_payload(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    pages = spark.createDataFrame([(i, None, "x" * 1000 + str(i)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, f"{tmp_path}/a")
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) == 14 and max(f.stat().st_size for f in files) < 20_000
+    assert warc.read(spark, f"{tmp_path}/a").count() == 40

@@ -2,12 +2,14 @@
 
 Writing: a record per page. Of pages with equal payloads the smallest id is a response, the others
 are revisits that refer to it. The archive is Spark's text sink with the record terminator as line
-separator, so it goes to any store Spark writes to, whole records per file, rolled by record count.
+separator, so it goes to any store Spark writes to, whole records per file. The largest payload bounds how many
+records an archive takes, so that none outgrows ARCHIVE_BYTES but by a single record.
 
 Reading: a payload may hold anything, also the magic of a record. Tasks take every magic of an archive
 as a candidate and emit its offset and the offset of its successor, as its Content-Length says. Pointer
 jumping from the start of the archive, doubling the distance in each round, marks the candidates that
-the chain reaches; the others lie inside payloads and are dropped. An archive of n candidates takes
+the chain reaches; the others lie inside payloads and are dropped. A complete record that the chain reaches is
+kept whatever follows it; ``broken_tails`` tells where a chain ends before its archive does. An archive of n candidates takes
 log2(n) rounds over its offsets; an archive is the unit of a task (Spark's binary reader holds at most
 2 GB), and archives are many.
 
@@ -35,6 +37,8 @@ from winnow.llm.common import Scratch, same, small, text_of
 
 END = "\r\n\r\n"
 RECORDS_PER_ARCHIVE = 20_000
+ARCHIVE_BYTES = 512 << 20
+HEADER_BYTES = 4096                     # allowed for what stands before a payload
 DATE = "1970-01-01T00:00:00Z"           # pages carry no date; a caller who knows one passes it
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
@@ -94,8 +98,10 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url"
     rows = pages.select(F.col(id_col).cast("long").alias("__id"), F.col(url).cast("string").alias("__url"),
                         text_of(html).alias("__html"))
     scratch = Scratch(pages.sparkSession, "warc")
-    (_records(rows, scratch, least_bytes, date).write.option("lineSep", END)
-     .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
+    records = _records(rows, scratch, least_bytes, date)
+    largest = pages.sparkSession.read.parquet(scratch.path("keys")).agg(F.max("size")).head()[0] or 0
+    per_archive = max(1, min(RECORDS_PER_ARCHIVE, ARCHIVE_BYTES // (max(largest, least_bytes) + HEADER_BYTES)))
+    records.write.option("lineSep", END).option("maxRecordsPerFile", per_archive).text(path)
     scratch.drop("keys", "firsts", "revisits")
 
 
@@ -148,9 +154,6 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if record:
                     found[magic.start()] = record
             for at, record in found.items():
-                # A successor that no record starts at, nor the archive ends at, breaks the chain.
-                if record["next"] != len(content) and record["next"] not in found:
-                    continue
                 f, (size, digest) = record["fields"], _payload(content, record)
                 rows.append((path, at, record["next"], len(content), f.get(b"warc-type", b"").decode("utf-8", "replace"),
                              _number(f.get(b"warc-record-id")), f.get(b"warc-target-uri", b"").decode("utf-8", "replace"),
@@ -191,10 +194,14 @@ def _chain(candidates: pd.DataFrame) -> pd.DataFrame:
     return candidates[keep]
 
 
+def broken_tails(records: DataFrame) -> DataFrame:
+    """(archive, end, size): archives whose last record ends before they do; what follows could not be read."""
+    return records.groupBy("archive").agg(F.max("next").alias("end"), F.first("size").alias("size")).where("end < size")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``."""
-    archives = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
-                .select("path", "content"))
+    """One row per record of the archives under ``path``, whatever their names."""
+    archives = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
     return archives.mapInPandas(_candidates, RECORD).groupBy("archive").applyInPandas(_chain, RECORD)
 
 
