@@ -156,8 +156,8 @@ def test_language_model(docs):
         want = sum(np.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
         assert got[r[0]]["train_tokens"] == n and abs(got[r[0]]["base_score"] - want) < 1e-6 * abs(want)
         assert got[r[0]]["n_known"] == sum(counts[t] > 0 for t in tokens) and got[r[0]]["score"] <= 0
-    small = by_id(lm.score(docs, filter_bytes=256))            # a filter that holds the upper levels only
-    assert all(small[i]["base_score"] == got[i]["base_score"] for i in small)
+    joined = by_id(lm.score(docs, broadcast_bytes=0))           # segments that answer chunks of texts
+    assert joined == got
 
 
 def test_language_ids(spark):
@@ -302,6 +302,7 @@ def test_language_model_counts_every_ngram(docs, monkeypatch):
     monkeypatch.setattr(lm, "BITS_PER_ITEM", 40_000)            # the filter takes far more than 16 MiB, without false positives
     monkeypatch.setattr(lm, "BUCKET_BYTES", 20_000)
     got = by_id(lm.score(docs))
+    assert by_id(lm.score(docs, broadcast_bytes=0)) == got
     train = [r for r in ROWS if r[0] is None or not got[r[0]]["held_out"]]
     ones, twos = collections.Counter(), collections.Counter()
 

@@ -1,16 +1,17 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Documents are written down in chunks of bounded text. A chunk sends its distinct words and word pairs, as sorted
-keys with their counts in training, to buckets of the key space. A bucket adds up what all chunks sent, quantises
-counts on a logarithmic scale, and fills its segment of the filter: for an n-gram of level L the items (n-gram, 1)
-to (n-gram, L); a count is read back by probing levels upwards until one is missing. The bucket probes the
-segment once per distinct key and answers every chunk with the levels of the keys it sent, a byte each. The number
-of buckets grows with the text and a segment with its items, so all counts are held at every size, and no
-task or broadcast holds the whole filter. A common n-gram is one key per chunk.
+Training: every task folds the words and word pairs of its texts to distinct 64-bit keys with counts, and sends them
+to buckets of the key space. A bucket adds up, quantises counts on a logarithmic scale, and fills its segment of the
+filter: for an n-gram of level L the items (n-gram, 1) to (n-gram, L). The segments are a table in the shared
+folder. Their number grows with the text and a segment with its items, so all counts are held at every size.
+
+A count is read back by probing levels upwards until one is missing. While the counted bytes of all segments stay
+under ``broadcast_bytes``, the whole filter is broadcast and texts are scored in one pass. Beyond that, chunks of
+texts send their distinct keys to the segments, which answer with levels, a byte a key; a chunk meets its answers by
+its number and finds its keys again in sorted order. Both ways read the same segments, so results are equal.
 
 Scoring: P(w | v) = BIGRAM * c(v w) / c(v) + (1 - BIGRAM) * P(w), P(w) = (c(w) + 1) / (N + V + 1), with counts
-read from the filter; where v is unknown P(w) alone. A text starts and stops at the end token. A chunk meets
-its answers by its number and finds its keys again in sorted order.
+read from the filter; where v is unknown P(w) alone. A text starts and stops at the end token.
 
 The base score needs exact counts. The commonest words, at most HEAVY of bounded length, are
 broadcast with their counts and summed where the text is read; the rest are joined by word, and since
@@ -24,24 +25,28 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.llm.common import Scratch
-from winnow.llm.hashing import constants, mixed, word_hashes, words
+from winnow.llm.hashing import constants, mixed, words
 
 PROBES = 5                  # bits per item; a missing item is taken for present once in 32
 BITS_PER_ITEM = PROBES / math.log(2)
 BIGRAM = 0.6
 HEAVY, HEAVY_BYTES = 60_000, 48
-BUCKET_BYTES = 16 << 20     # text per bucket of the key space
-CHUNK_BYTES = 12 << 20      # text whose keys are folded together; a longer document is a chunk of its own
+BUCKET_BYTES = 8 << 20      # text per bucket of the key space
+PART_BYTES = 2 << 20        # text handled at once; a longer document is a part of its own
+CHUNK_BYTES = 8 << 20       # text whose keys are sent together where the filter is not broadcast
+FOLDED_KEYS = 1_000_000     # distinct keys a task holds before it sends them
+FILTER_BYTES = 128 << 20    # a filter up to this is broadcast whole
 END = b""                   # no word is empty
 _PACKED = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 _SALT = constants("lm", 4)
@@ -60,14 +65,37 @@ def _value(levels: np.ndarray) -> np.ndarray:
     return middle[levels]
 
 
-def keys_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the words of a text with its end, and of the pairs that end in each of them."""
-    return _keys([*words(text), END])
+class Tokens:
+    """The tokens of some texts: distinct ones with their keys, and the sequence as numbers of those."""
+
+    def __init__(self, texts: list):
+        sequence, self.lengths = [], []
+        for text in texts:
+            tokens = words(text)
+            sequence += tokens
+            sequence.append(END)
+            self.lengths.append(len(tokens) + 1)
+        self.distinct = list(dict.fromkeys(sequence))
+        index = dict(zip(self.distinct, range(len(self.distinct))))
+        self.sequence = np.fromiter(map(index.__getitem__, sequence), np.int64, len(sequence))
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.distinct), np.uint64, len(self.distinct))
+        self.end = self.hashes[index[END]] if index else np.uint64(0)
+        self.words = mixed(self.hashes * _SALT[0])
+
+    def pairs(self) -> np.ndarray:
+        """Keys of the pairs that end in each token; a text's first follows the end token."""
+        own = self.hashes[self.sequence]
+        before = np.concatenate([[self.end], own[:-1]])        # each text ends in the end token
+        return mixed(mixed(before * _SALT[1]) + own * _SALT[2])
 
 
-def _keys(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    hashed = word_hashes([END, *tokens])
-    return mixed(hashed[1:] * _SALT[0]), mixed(mixed(hashed[:-1] * _SALT[1]) + hashed[1:] * _SALT[2])
+def _parts(batch: pa.RecordBatch, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of bounded text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = np.cumsum(sizes) // limit
+    edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])) if len(place) else []
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
 
 
 def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -89,106 +117,176 @@ def _unpack_keys(packed: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")     # runs that are in order merge fast
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _trained(bits: int):
+    """Rows (bucket, keys, counts) of the n-grams of training texts, folded while they fit."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, waiting, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+        def fold():
+            return _summed(np.concatenate([keys, *[k for k, _ in waiting]]), np.concatenate([counts, *[c for _, c in waiting]]))
+
+        def send():
+            buckets = _bucket(keys, bits)
+            edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]])) if len(keys) else []
+            return pa.RecordBatch.from_arrays([
+                pa.array([int(buckets[a]) for a in edges[:-1]], pa.int64()),
+                pa.array([_pack_keys(keys[a:b]) for a, b in zip(edges, edges[1:])], pa.binary()),
+                pa.array([pa.compress(counts[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(edges, edges[1:])], pa.binary()),
+                pa.array([int(b - a) for a, b in zip(edges, edges[1:])], pa.int64())], ["bucket", "keys", "counts", "n"])
+
+        for batch in batches:
+            for part in _parts(batch):
+                tokens = Tokens(part.column("text").to_pylist())
+                pairs, times = np.unique(tokens.pairs(), return_counts=True)
+                waiting += [(tokens.words, np.bincount(tokens.sequence, minlength=len(tokens.words))), (pairs, times)]
+                size += len(tokens.words) + len(pairs)
+                if size >= FOLDED_KEYS // 3:
+                    (keys, counts), waiting, size = fold(), [], 0
+                    if len(keys) >= FOLDED_KEYS:
+                        yield send()
+                        keys, counts = keys[:0], counts[:0]
+        keys, counts = fold()
+        yield send()
+
+    return count
+
+
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, held_out, text) to a row per chunk."""
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        place = np.cumsum(sizes) // CHUNK_BYTES
-        edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])) if len(place) else []
-        for a, b in zip(edges, edges[1:]):
+        for part in _parts(batch, CHUNK_BYTES):
             packed = pa.BufferOutputStream()
             with pa.ipc.new_stream(packed, batch.schema, options=_PACKED) as writer:
-                writer.write_batch(batch.slice(a, b - a))
+                writer.write_batch(part)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([int(sizes[a:b].sum())]), pa.array([packed.getvalue().to_pybytes()], pa.binary())],
-                ["chunk", "bytes", "rows"])
+                [pa.array([number]), pa.array([packed.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
             number += 1
 
 
+def _distinct(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of words and pairs in order, and where each distinct word and each pair has its key."""
+    keys, back = np.unique(np.concatenate([tokens.words, tokens.pairs()]), return_inverse=True)
+    return keys, back[:len(tokens.words)], back[len(tokens.words):]
+
+
 def _requests(bits: int):
+    """Rows (bucket, chunk, keys) of the distinct keys of each chunk."""
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, rows in zip(batch.column("chunk").to_pylist(), batch.column("rows")):
-                rows = _unpacked(rows.as_py())
-                out = pc.fill_null(rows.column("held_out"), True).to_numpy(zero_copy_only=False)
-                parts = [np.concatenate(keys_of(text.as_py())) for text in rows.column("text")]
-                keys = np.unique(np.concatenate(parts))
-                trained = [part for part, held in zip(parts, out) if not held]
-                counts = np.zeros(len(keys), np.uint32)
-                if trained:
-                    own, n = np.unique(np.concatenate(trained), return_counts=True)
-                    counts[np.searchsorted(keys, own)] = n
+                keys, _, _ = _distinct(Tokens(_unpacked(rows.as_py()).column("text").to_pylist()))
                 buckets = _bucket(keys, bits)
                 edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(buckets[edges[:-1]]), pa.array([chunk] * (len(edges) - 1), pa.int64()),
                     pa.array([_pack_keys(keys[a:b]) for a, b in zip(edges, edges[1:])], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-                    ["bucket", "chunk", "keys", "counts"])
+                    pa.array([int(b - a) for a, b in zip(edges, edges[1:])], pa.int64())], ["bucket", "chunk", "keys", "n"])
 
     return request
 
 
-def _places(keys: np.ndarray, level: np.ndarray | int, segment: int) -> np.ndarray:
-    """The bits of items (key, level) within a segment, a row per probe."""
+def _places(keys: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> Iterator[np.ndarray]:
+    """The bits of items (key, level) within segments of ``size`` bits, probe by probe."""
     one = mixed(keys + np.asarray(level).astype(np.uint64) * _SALT[3])
     two = mixed(one) | np.uint64(1)
-    return np.stack([((one + np.uint64(j) * two) % np.uint64(segment)).astype(np.int64) for j in range(PROBES)])
-
-
-class Segment:
-    """A bucket's segment of the filter, filled from distinct keys and their levels.
-
-    Given ``most``, bits it may take, it leaves out the lowest levels until the others fit.
-    """
-
-    def __init__(self, keys: np.ndarray, levels: np.ndarray, bits_per_item: float, most: int | None = None):
-        at_least = np.bincount(levels, minlength=len(_SCALE) + 1)[::-1].cumsum()[::-1]  # items of each level
-        self.lowest = 1
-        while most is not None and self.lowest < len(_SCALE) and at_least[self.lowest:].sum() * bits_per_item > most:
-            self.lowest += 1
-        self.size = max(64, math.ceil(at_least[self.lowest:].sum() * bits_per_item))
-        self.bits = np.zeros(self.size, bool)
-        for level in range(self.lowest, int(levels.max(initial=0)) + 1):
-            self.bits[_places(keys[levels >= level], level, self.size)] = True
+    for _ in range(PROBES):
+        yield (one % np.asarray(size).astype(np.uint64)).astype(np.int64)
+        one = one + two
+
+
+def filled(keys: np.ndarray, levels: np.ndarray, bits_per_item: float = BITS_PER_ITEM) -> tuple[int, bytes]:
+    """A segment that holds distinct keys up to their levels: its bits, eight a byte, and their number."""
+    size = max(64, math.ceil(int(levels.sum()) * bits_per_item))
+    bits = np.zeros(size, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        for at in _places(keys[levels >= level], level, size):
+            bits[at] = True
+    return size, np.packbits(bits, bitorder="little").tobytes()
+
+
+class Filter:
+    """Segments of the filter: all of them, or the one of a bucket."""
+
+    def __init__(self, bits: int, segments: Iterable[tuple[int, int, bytes]], total: int, only: int | None = None):
+        """``segments``: bucket, number of bits, and the bits of each; ``total`` bytes in all."""
+        self.bits, self.only = bits, only
+        n = 1 if only is not None else 1 << bits
+        self.sizes = np.full(n, 8, np.int64)        # a bucket without a segment holds nothing
+        self.starts = np.zeros(n, np.int64)
+        self.data = np.zeros(total + 1, np.uint8)
+        at = 1
+        for bucket, size, packed in segments:
+            i = 0 if only is not None else bucket
+            self.sizes[i], self.starts[i] = size, at
+            self.data[at:at + len(packed)] = np.frombuffer(packed, np.uint8)
+            at += len(packed)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels of keys, found by probing level after level."""
-        levels, live, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), self.lowest
+        levels, live, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 1
+        own = np.zeros(len(keys), np.int64) if self.only is not None else _bucket(keys, self.bits)
         while len(live) and level <= len(_SCALE):
-            live = live[self.bits[_places(keys[live], level, self.size)].all(axis=0)]
+            there, starts = np.arange(len(live)), self.starts[own[live]]
+            for at in _places(keys[live], level, self.sizes[own[live]]):
+                at = at[there]
+                held = (self.data[starts[there] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1
+                there = there[held == 1]
+            live = live[there]
             levels[live] = level
             level += 1
         return levels
 
 
-def _answers(bits_per_item: float, most: int | None):
-    def answer(parts: pd.DataFrame) -> pd.DataFrame:
-        """Adds up all counts of a bucket, and tells every chunk the levels of its keys."""
-        n = [np.frombuffer(c, np.uint32) for c in parts["counts"]]
-        sent = [_unpack_keys(k, len(c)) for k, c in zip(parts["keys"], n)]
-        keys, back = np.unique(np.concatenate(sent), return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, back, np.concatenate(n).astype(np.int64))
-        known = counts > 0
-        found = Segment(keys[known], level_of(counts[known]), bits_per_item, most).levels(keys)[back]
-        ends = np.cumsum([len(x) for x in sent])
-        return pd.DataFrame({"bucket": parts["bucket"], "chunk": parts["chunk"],
-                             "levels": [found[b - len(x):b].tobytes() for x, b in zip(sent, ends)]})
+def _filling(bits_per_item: float):
+    def fill(parts: pd.DataFrame) -> pd.DataFrame:
+        """Adds up all counts of a bucket and fills its segment."""
+        keys = np.concatenate([_unpack_keys(k, n) for k, n in zip(parts["keys"], parts["n"])])
+        counts = np.concatenate([np.frombuffer(pa.decompress(c, 8 * n, "zstd", asbytes=True), np.int64)
+                                 for c, n in zip(parts["counts"], parts["n"])])
+        keys, counts = _summed(keys, counts)
+        size, packed = filled(keys, level_of(counts), bits_per_item)
+        return pd.DataFrame({"bucket": parts["bucket"][:1], "size": [size], "packed": [packed]})
 
-    return answer
+    return fill
+
+
+def bucket_bits(texts: DataFrame) -> int:
+    """Bits of the number of buckets, from the bytes of the texts."""
+    size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return min(24, max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES)))))
 
 
-def answered(chunks: DataFrame, filter_bytes: int | None = None) -> DataFrame:
-    """Levels of the distinct keys of every chunk, a row per bucket: (bucket, chunk, levels)."""
-    size = chunks.agg(F.sum("bytes")).head()[0] or 0
-    bits = min(24, max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES)))))
-    sent = chunks.select("chunk", "rows").mapInArrow(
-        _requests(bits), "bucket long, chunk long, keys binary, counts binary")
-    most = None if filter_bytes is None else (filter_bytes * 8) >> bits
-    return sent.groupBy("bucket").applyInPandas(
-        _answers(BITS_PER_ITEM, most), "bucket long, chunk long, levels binary")
+def segments(training: DataFrame, bits: int) -> DataFrame:
+    """(bucket, size, packed): the segments of the filter of some texts."""
+    sent = training.select("text").mapInArrow(_trained(bits), "bucket long, keys binary, counts binary, n long")
+    return sent.groupBy("bucket").applyInPandas(_filling(BITS_PER_ITEM), "bucket long, size long, packed binary")
+
+
+def _answers(bits: int):
+    def answer(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
+        """Tells every chunk the levels of its keys in this bucket."""
+        rows = held.to_pylist()
+        own = Filter(bits, [(r["bucket"], r["size"], r["packed"]) for r in rows], sum(len(r["packed"]) for r in rows),
+                     only=key[0].as_py())
+        sent = [_unpack_keys(k, n) for k, n in zip(asked.column("keys").to_pylist(), asked.column("n").to_pylist())]
+        keys, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *sent]), return_inverse=True)
+        found = own.levels(keys)[back]
+        ends = np.cumsum([len(x) for x in sent])
+        levels = [found[b - len(x):b].tobytes() for x, b in zip(sent, ends)]
+        return pa.table({"bucket": asked.column("bucket"), "chunk": asked.column("chunk"), "levels": pa.array(levels, pa.binary())})
+
+    return answer
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,41 +339,62 @@ def _log_probabilities(single: np.ndarray, pairs: np.ndarray, lengths: list[int]
     return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
 
 
-def _scored(heavy, n: int, v: int):
+SCORED = ("doc_id long, held_out boolean, n_tokens long, exact double, found long, rare array<binary>, "
+          "rare_n array<long>, score double")
+
+
+def _score_rows(rows: pa.RecordBatch, known: dict[bytes, float], n: int, v: int,
+                lookup: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
+    """Scores of some rows; ``lookup`` gives the levels of distinct keys in order. ``known`` has log10(c + 1)."""
+    tokens = Tokens(rows.column("text").to_pylist())
+    keys, word_at, pair_at = _distinct(tokens)
+    counts = _value(lookup(keys))
+    single, pairs = counts[word_at][tokens.sequence], counts[pair_at]
+    logs = np.array([known.get(w, np.nan) for w in tokens.distinct])
+    rare = np.isnan(logs)
+    ends = np.cumsum(tokens.lengths)
+    starts = np.concatenate([[0], ends[:-1]])
+    is_rare = rare[tokens.sequence]
+    exact = np.add.reduceat(np.where(rare, 0.0, logs)[tokens.sequence], starts)
+    found = np.add.reduceat(~is_rare, starts, dtype=np.int64)
+    others, times = [], []
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        own = Counter(tokens.sequence[a:b][is_rare[a:b]].tolist())
+        others.append([tokens.distinct[i] for i in own])
+        times.append(list(own.values()))
+    return pa.RecordBatch.from_arrays([
+        rows.column("doc_id"), rows.column("held_out"), pa.array(tokens.lengths, pa.int64()), pa.array(exact),
+        pa.array(found), pa.array(others, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64())),
+        pa.array(_log_probabilities(single, pairs, tokens.lengths, n, v))],
+        ["doc_id", "held_out", "n_tokens", "exact", "found", "rare", "rare_n", "score"])
+
+
+def _score_by_broadcast(rows: DataFrame, whole: Filter, known, n: int, v: int) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(whole)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                yield _score_rows(part, known.value, n, v, shared.value.levels)
+
+    return rows.select("doc_id", "held_out", "text").mapInArrow(score, SCORED)
+
+
+def _score_by_join(rows: DataFrame, held: DataFrame, bits: int, known, n: int, v: int, scratch: Scratch) -> DataFrame:
+    chunks = scratch.write(rows.select("doc_id", "held_out", "text").mapInArrow(_chunked, "chunk long, rows binary"), "chunks")
+    sent = chunks.mapInArrow(_requests(bits), "bucket long, chunk long, keys binary, n long")
+    answered = sent.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(
+        _answers(bits), "bucket long, chunk long, levels binary")
+
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        known = heavy.value
-        rows = _unpacked(chunk.column("rows")[0].as_py())
-        keys, lengths, exact, found, rare, rare_n = [], [], [], [], [], []
-        for text in rows.column("text"):
-            tokens = [*words(text.as_py()), END]
-            keys.append(_keys(tokens))
-            lengths.append(len(tokens))
-            counts = Counter(tokens)
-            total, seen, others = 0.0, 0, {}
-            for token, times in counts.items():
-                c = known.get(token)
-                if c is None:
-                    others[token] = times
-                else:
-                    total += times * math.log10(c + 1)
-                    seen += times
-            exact.append(total)
-            found.append(seen)
-            rare.append(list(others))
-            rare_n.append(list(others.values()))
         # Buckets are ranges of keys: answers in their order are the levels of the sorted keys.
         order = np.argsort(answers.column("bucket").to_numpy())
         payloads = answers.column("levels").to_pylist()
         levels = np.frombuffer(b"".join(payloads[i] for i in order), np.uint8)
-        _, back = np.unique(np.concatenate([k for part in zip(*keys) for k in part]), return_inverse=True)
-        counts = _value(levels)[back]
-        single, pairs = np.split(counts, 2)
-        return pa.table({
-            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(lengths, pa.int64()), "exact": pa.array(exact, pa.float64()),
-            "found": pa.array(found, pa.int64()), "rare": pa.array(rare, pa.list_(pa.binary())),
-            "rare_n": pa.array(rare_n, pa.list_(pa.int64())), "score": _log_probabilities(single, pairs, lengths, n, v)})
+        rows = _unpacked(chunk.column("rows")[0].as_py())
+        return pa.Table.from_batches([_score_rows(rows, known.value, n, v, lambda keys: levels)])
 
-    return score
+    return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, SCORED)
 
 
 def held_out(id_col: str) -> Column:
@@ -284,29 +403,31 @@ def held_out(id_col: str) -> Column:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", out: Column | None = None,
-          filter_bytes: int | None = None) -> DataFrame:
+          broadcast_bytes: int = FILTER_BYTES) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``out`` tells the rows kept out of training, by default ``held_out(id_col)``.
-    ``filter_bytes`` bounds the filter at the price of its lowest levels; without it every n-gram is counted.
+    ``out`` tells the rows kept out of training, by default ``held_out(id_col)``. A filter of more than
+    ``broadcast_bytes`` is probed segment by segment instead of being broadcast; results are the same.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        (held_out(id_col) if out is None else out).alias("held_out"))
-    chunks = scratch.write(rows.select("doc_id", "held_out", "text").mapInArrow(
-        _chunked, "chunk long, bytes long, rows binary"), "chunks")
     training = rows.where("NOT held_out")
     vocab = vocabulary(training, scratch)
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
     heavy, threshold = _heavy(vocab)
-    known = spark.sparkContext.broadcast(heavy)
-    scored = chunks.groupBy("chunk").cogroup(answered(chunks, filter_bytes).groupBy("chunk")).applyInArrow(
-        _scored(known, n, v),
-        "doc_id long, held_out boolean, n_tokens long, exact double, found long, rare array<binary>, rare_n array<long>, "
-        "score double")
+    known = spark.sparkContext.broadcast({w: math.log10(c + 1) for w, c in heavy.items()})
+    bits = bucket_bits(training)
+    held = scratch.write(segments(training, bits), "filter")
+    size = held.agg(F.sum(F.octet_length("packed"))).head()[0] or 0
+    if size <= broadcast_bytes:
+        whole = Filter(bits, ((r["bucket"], r["size"], r["packed"]) for r in held.toLocalIterator()), size)
+        scored = _score_by_broadcast(rows, whole, known, n, v)
+    else:
+        scored = _score_by_join(rows, held, bits, known, n, v, scratch)
     scored = scratch.write(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
-    scratch.drop("chunks")
+    scratch.drop("filter", "chunks")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("t")).select(
         "row", F.col("t.rare").alias("token"), F.col("t.rare_n").alias("times"))
     counts = vocab.where((F.octet_length("token") > HEAVY_BYTES) | (F.col("c") < threshold))
