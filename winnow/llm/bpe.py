@@ -30,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 MAX_VOCABULARY = 300_000
-CACHED_PIECES = 350_000
+CACHED_PIECES = 250_000
 CACHED_BYTES = 64           # longer pieces are not cached
-CACHED_PAIRS = 500_000
+CACHED_PAIRS = 400_000
 NO_TOKEN = -1
 
 
