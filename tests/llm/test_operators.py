@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -325,3 +326,34 @@ def test_language_model_counts_every_ngram(docs, monkeypatch):
             pair = min(count(twos, (a, b)) / before, 1) if before else 0
             want += np.log10(min(lm.BIGRAM * pair + (1 - lm.BIGRAM) * alone if before else alone, 1))
         assert abs(got[r[0]]["score"] - want) < 1e-6 * max(1, abs(want)), r[0]
+
+
+def test_words_of_odd_texts():
+    texts = [None, "", " \t", "a  B\x0bc\x0cd\r\na", "\x1cx \x85y z Ä É\x00 ", "  lead", "x" * 70_000, "ABCÄ İ 𝒳y"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["cut", *texts, "cut"], kind).slice(1, len(texts))
+        tokens = lm.Tokens(column)
+        want = [[*(t or "").encode().lower().split(), b""] for t in texts]
+        distinct = tokens.distinct.to_pylist()
+        assert tokens.lengths.tolist() == [len(w) for w in want] and len(set(distinct)) == len(distinct)
+        assert [distinct[i] for i in tokens.sequence] == sum(want, [])
+
+
+def test_filter_remembers_common_keys(monkeypatch):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 64, 6000, np.uint64))
+    held, counts = keys[::2], rng.zipf(1.3, len(keys[::2])).clip(1, 10**6)
+    parts = [(b, *lm.filled(held[at], lm.level_of(counts[at]))) for b in range(4) for at in [lm._bucket(held, 2) == b]]
+    whole = lm.Filter(2, parts, sum(len(p) for _, _, p in parts))
+    levels = whole.levels(keys)
+    assert (levels[::2] >= lm.level_of(counts)).all()
+    probed = []
+    probe = whole.levels
+    monkeypatch.setattr(whole, "levels", lambda asked: probed.append(len(asked)) or probe(asked))
+    for limit in (10_000, 100, 0):                              # what is forgotten is probed again
+        monkeypatch.setattr(lm, "RECALLED", limit)
+        for some in (keys, keys[1000:4000], keys[:0], keys[::7], keys):
+            assert (whole.recalled(some) == levels[np.isin(keys, some)]).all()
+        if limit == 10_000:
+            assert probed[0] == len(keys) and probed[-1] == (levels < 2).sum()
+        whole.kept_levels, whole.kept = whole.kept_levels[:0], whole.kept[:0]

@@ -6,7 +6,8 @@ filter: for an n-gram of level L the items (n-gram, 1) to (n-gram, L). The segme
 folder. Their number grows with the text and a segment with its items, so all counts are held at every size.
 
 A count is read back by probing levels upwards until one is missing. While the counted bytes of all segments stay
-under ``broadcast_bytes``, the whole filter is broadcast and texts are scored in one pass. Beyond that, chunks of
+under ``broadcast_bytes``, the whole filter is broadcast and texts are scored in one pass; a worker remembers the
+levels read for its commonest keys, which are probed over many levels. Beyond that, chunks of
 texts send their distinct keys to the segments, which answer with levels, a byte a key; a chunk meets its answers by
 its number and finds its keys again in sorted order. Both ways read the same segments, so results are equal.
 
@@ -24,7 +25,6 @@ and score each on their own; an empty training set scores every word alike; othe
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.llm.common import Scratch
-from winnow.llm.hashing import constants, mixed, words
+from winnow.llm.hashing import constants, mixed
 
 PROBES = 5                  # bits per item; a missing item is taken for present once in 32
 BITS_PER_ITEM = PROBES / math.log(2)
@@ -46,6 +46,8 @@ BUCKET_BYTES = 8 << 20      # text per bucket of the key space
 PART_BYTES = 2 << 20        # text handled at once; a longer document is a part of its own
 CHUNK_BYTES = 8 << 20       # text whose keys are sent together where the filter is not broadcast
 FOLDED_KEYS = 1_000_000     # distinct keys a task holds before it sends them
+FOLDED_WORDS = 200_000      # distinct words a task holds before it sends them
+RECALLED = 500_000          # keys whose levels a worker remembers
 FILTER_BYTES = 128 << 20    # a filter up to this is broadcast whole
 END = b""                   # no word is empty
 _PACKED = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
@@ -65,21 +67,36 @@ def _value(levels: np.ndarray) -> np.ndarray:
     return middle[levels]
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of texts, the words as numbers of those, and how many each text has.
+
+    Words lie between blanks and \\x09-\\x0D, with A-Z in lower case. ``END`` is one of the distinct ones.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    pieces = lists.flatten()
+    full = pc.binary_length(pieces).to_numpy(zero_copy_only=False) > 0         # blanks at the ends leave empty pieces
+    counts = np.bincount(pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)[full], minlength=len(texts))
+    encoded = pieces.dictionary_encode()
+    distinct = encoded.dictionary.cast(pa.binary())
+    if pc.index(distinct, END).as_py() < 0:
+        distinct = pa.concat_arrays([distinct, pa.array([END], pa.binary())])
+    return distinct, encoded.indices.to_numpy(zero_copy_only=False)[full].astype(np.int64), counts
+
+
 class Tokens:
     """The tokens of some texts: distinct ones with their keys, and the sequence as numbers of those."""
 
-    def __init__(self, texts: list):
-        sequence, self.lengths = [], []
-        for text in texts:
-            tokens = words(text)
-            sequence += tokens
-            sequence.append(END)
-            self.lengths.append(len(tokens) + 1)
-        self.distinct = list(dict.fromkeys(sequence))
-        index = dict(zip(self.distinct, range(len(self.distinct))))
-        self.sequence = np.fromiter(map(index.__getitem__, sequence), np.int64, len(sequence))
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.distinct), np.uint64, len(self.distinct))
-        self.end = self.hashes[index[END]] if index else np.uint64(0)
+    def __init__(self, texts: pa.Array):
+        self.distinct, numbers, counts = _words(texts)
+        end = pc.index(self.distinct, END).as_py()
+        self.lengths = counts + 1
+        is_word = np.ones(int(self.lengths.sum()), bool)
+        is_word[np.cumsum(self.lengths) - 1] = False
+        self.sequence = np.full(len(is_word), end, np.int64)
+        self.sequence[is_word] = numbers
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.distinct.to_numpy(zero_copy_only=False)),
+                                  np.uint64, len(self.distinct))
+        self.end = self.hashes[end]
         self.words = mixed(self.hashes * _SALT[0])
 
     def pairs(self) -> np.ndarray:
@@ -146,7 +163,7 @@ def _trained(bits: int):
 
         for batch in batches:
             for part in _parts(batch):
-                tokens = Tokens(part.column("text").to_pylist())
+                tokens = Tokens(part.column("text"))
                 pairs, times = np.unique(tokens.pairs(), return_counts=True)
                 waiting += [(tokens.words, np.bincount(tokens.sequence, minlength=len(tokens.words))), (pairs, times)]
                 size += len(tokens.words) + len(pairs)
@@ -185,7 +202,7 @@ def _requests(bits: int):
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, rows in zip(batch.column("chunk").to_pylist(), batch.column("rows")):
-                keys, _, _ = _distinct(Tokens(_unpacked(rows.as_py()).column("text").to_pylist()))
+                keys, _, _ = _distinct(Tokens(_unpacked(rows.as_py()).column("text")))
                 buckets = _bucket(keys, bits)
                 edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
                 yield pa.RecordBatch.from_arrays([
@@ -200,8 +217,9 @@ def _places(keys: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -
     """The bits of items (key, level) within segments of ``size`` bits, probe by probe."""
     one = mixed(keys + np.asarray(level).astype(np.uint64) * _SALT[3])
     two = mixed(one) | np.uint64(1)
+    size = np.asarray(size).astype(np.uint64)
     for _ in range(PROBES):
-        yield (one % np.asarray(size).astype(np.uint64)).astype(np.int64)
+        yield (one % size).view(np.int64)
         one = one + two
 
 
@@ -231,22 +249,44 @@ class Filter:
             self.sizes[i], self.starts[i] = size, at
             self.data[at:at + len(packed)] = np.frombuffer(packed, np.uint8)
             at += len(packed)
+        self.kept, self.kept_levels, self.kept_from = np.zeros(0, np.uint64), np.zeros(0, np.uint8), 2
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels of keys, found by probing level after level."""
         levels, live, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 1
         own = np.zeros(len(keys), np.int64) if self.only is not None else _bucket(keys, self.bits)
+        sizes, starts = self.sizes[own].view(np.uint64), self.starts[own] << 3
         while len(live) and level <= len(_SCALE):
-            there, starts = np.arange(len(live)), self.starts[own[live]]
-            for at in _places(keys[live], level, self.sizes[own[live]]):
-                at = at[there]
-                held = (self.data[starts[there] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1
-                there = there[held == 1]
-            live = live[there]
+            there = None
+            for at in _places(keys, level, sizes):
+                at = starts + at if there is None else starts[there] + at[there]
+                held = np.flatnonzero((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+                there = held if there is None else there[held]
+            live, keys, sizes, starts = live[there], keys[there], sizes[there], starts[there]
             levels[live] = level
             level += 1
         return levels
 
+    def recalled(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of distinct keys in order; at most ``RECALLED`` keys of high levels are probed only once."""
+        at = np.searchsorted(self.kept, keys)
+        at[at == len(self.kept)] = 0
+        old = self.kept[at] == keys if len(self.kept) else np.zeros(len(keys), bool)
+        levels = np.zeros(len(keys), np.uint8)
+        levels[old] = self.kept_levels[at[old]]
+        new = np.flatnonzero(~old)
+        levels[new] = self.levels(keys[new])
+        new = new[levels[new] >= self.kept_from]
+        if len(new):
+            kept, kept_levels = np.concatenate([self.kept, keys[new]]), np.concatenate([self.kept_levels, levels[new]])
+            while len(kept) > RECALLED:         # the lowest levels go, and stay out
+                self.kept_from += 1
+                high = kept_levels >= self.kept_from
+                kept, kept_levels = kept[high], kept_levels[high]
+            order = np.argsort(kept, kind="stable")
+            self.kept, self.kept_levels = kept[order], kept_levels[order]
+        return levels
+
 
 def _filling(bits_per_item: float):
     def fill(parts: pd.DataFrame) -> pd.DataFrame:
@@ -289,23 +329,33 @@ def _answers(bits: int):
     return answer
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Word counts, folded while they fit."""
-    held: Counter = Counter()
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Token counts, folded while they fit."""
+    held, size = [], 0
+
+    def fold() -> pa.Table:
+        summed = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")])
+        return summed.select(["token", "n_sum"]).rename_columns(["token", "n"])
+
     for batch in batches:
-        for text in batch["text"]:
-            held.update(words(text))
-            held[END] += 1
-            if len(held) > 200_000:
-                yield pd.DataFrame({"token": list(held), "n": list(held.values())})
-                held = Counter()
+        for part in _parts(batch):
+            distinct, numbers, counts = _words(part.column("text"))
+            times = np.bincount(numbers, minlength=len(distinct))
+            times[pc.index(distinct, END).as_py()] = len(counts)
+            held.append(pa.table({"token": distinct, "n": pa.array(times, pa.int64())}))
+            size += len(distinct)
+            if size >= FOLDED_WORDS:
+                held, size = [fold()], 0
+                if len(held[0]) > FOLDED_WORDS:
+                    yield from held[0].to_batches()
+                    held = []
     if held:
-        yield pd.DataFrame({"token": list(held), "n": list(held.values())})
+        yield from fold().to_batches()
 
 
 def vocabulary(training: DataFrame, scratch: Scratch) -> DataFrame:
     """Exact counts of all words and the end token: (token, c)."""
-    return scratch.write(training.select("text").mapInPandas(_counted, "token binary, n long")
+    return scratch.write(training.select("text").mapInArrow(_counted, "token binary, n long")
                          .groupBy("token").agg(F.sum("n").alias("c")), "vocabulary")
 
 
@@ -326,7 +376,7 @@ def _heavy(vocab: DataFrame) -> tuple[dict[bytes, int], int]:
     return {bytes(r["token"]): r["c"] for r in rows}, threshold
 
 
-def _log_probabilities(single: np.ndarray, pairs: np.ndarray, lengths: list[int], n: int, v: int) -> np.ndarray:
+def _log_probabilities(single: np.ndarray, pairs: np.ndarray, lengths: np.ndarray, n: int, v: int) -> np.ndarray:
     """log10 probability of each text, from the counts of its words and pairs."""
     ends = np.cumsum(lengths)
     starts = np.concatenate([[0], ends[:-1]])
@@ -343,28 +393,28 @@ SCORED = ("doc_id long, held_out boolean, n_tokens long, exact double, found lon
           "rare_n array<long>, score double")
 
 
-def _score_rows(rows: pa.RecordBatch, known: dict[bytes, float], n: int, v: int,
+def _score_rows(rows: pa.RecordBatch, known: tuple[pa.Array, np.ndarray], n: int, v: int,
                 lookup: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
-    """Scores of some rows; ``lookup`` gives the levels of distinct keys in order. ``known`` has log10(c + 1)."""
-    tokens = Tokens(rows.column("text").to_pylist())
+    """Scores of some rows; ``lookup`` gives the levels of distinct keys in order. ``known`` has words and log10(c + 1)."""
+    tokens = Tokens(rows.column("text"))
     keys, word_at, pair_at = _distinct(tokens)
     counts = _value(lookup(keys))
     single, pairs = counts[word_at][tokens.sequence], counts[pair_at]
-    logs = np.array([known.get(w, np.nan) for w in tokens.distinct])
-    rare = np.isnan(logs)
+    heavy = pc.fill_null(pc.index_in(tokens.distinct, value_set=known[0]), -1).to_numpy(zero_copy_only=False)
+    logs = np.append(known[1], 0.0)[heavy]
+    is_rare = (heavy < 0)[tokens.sequence]
     ends = np.cumsum(tokens.lengths)
     starts = np.concatenate([[0], ends[:-1]])
-    is_rare = rare[tokens.sequence]
-    exact = np.add.reduceat(np.where(rare, 0.0, logs)[tokens.sequence], starts)
+    exact = np.add.reduceat(logs[tokens.sequence], starts)
     found = np.add.reduceat(~is_rare, starts, dtype=np.int64)
-    others, times = [], []
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        own = Counter(tokens.sequence[a:b][is_rare[a:b]].tolist())
-        others.append([tokens.distinct[i] for i in own])
-        times.append(list(own.values()))
+    row = np.repeat(np.arange(len(starts)), tokens.lengths)[is_rare]
+    own, times = np.unique(row * len(tokens.distinct) + tokens.sequence[is_rare], return_counts=True)
+    row, word = np.divmod(own, len(tokens.distinct))
+    edges = pa.array(np.searchsorted(row, np.arange(len(starts) + 1)), pa.int32())
     return pa.RecordBatch.from_arrays([
         rows.column("doc_id"), rows.column("held_out"), pa.array(tokens.lengths, pa.int64()), pa.array(exact),
-        pa.array(found), pa.array(others, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64())),
+        pa.array(found), pa.ListArray.from_arrays(edges, tokens.distinct.take(pa.array(word))),
+        pa.ListArray.from_arrays(edges, pa.array(times, pa.int64())),
         pa.array(_log_probabilities(single, pairs, tokens.lengths, n, v))],
         ["doc_id", "held_out", "n_tokens", "exact", "found", "rare", "rare_n", "score"])
 
@@ -375,7 +425,7 @@ def _score_by_broadcast(rows: DataFrame, whole: Filter, known, n: int, v: int) -
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
-                yield _score_rows(part, known.value, n, v, shared.value.levels)
+                yield _score_rows(part, known.value, n, v, shared.value.recalled)
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(score, SCORED)
 
@@ -417,7 +467,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", out: Colu
     vocab = vocabulary(training, scratch)
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
     heavy, threshold = _heavy(vocab)
-    known = spark.sparkContext.broadcast({w: math.log10(c + 1) for w, c in heavy.items()})
+    known = spark.sparkContext.broadcast((pa.array(list(heavy), pa.binary()), np.array([math.log10(c + 1) for c in heavy.values()])))
     bits = bucket_bits(training)
     held = scratch.write(segments(training, bits), "filter")
     size = held.agg(F.sum(F.octet_length("packed"))).head()[0] or 0
