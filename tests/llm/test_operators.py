@@ -10,8 +10,9 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from winnow.llm import bpe, exact_dedup, langid, lm, mixing, near_dedup, pii, quality, secrets, warc
+from winnow.llm import bpe, common, exact_dedup, langid, lm, mixing, near_dedup, pii, quality, secrets, warc
 from winnow.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, `size` string, hash int"
@@ -328,6 +329,22 @@ def test_language_model_counts_every_ngram(docs, monkeypatch):
         assert abs(got[r[0]]["score"] - want) < 1e-6 * max(1, abs(want)), r[0]
 
 
+def test_language_model_takes_texts_in_small_batches(spark, monkeypatch):
+    words = F.transform(F.sequence(F.lit(1), F.lit(900)), lambda i: F.concat(F.lit("long_words_"), F.hash("id", i) % 500))
+    rows = spark.range(0, 700, numPartitions=1).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    parts, before = lm._parts, spark.conf.get(common.ARROW_BYTES)
+
+    def watched(batch, limit=lm.PART_BYTES):
+        assert batch.nbytes < 1.5 * max(limit, lm.BATCH_BYTES), batch.nbytes
+        return parts(batch, limit)
+
+    monkeypatch.setattr(lm, "_parts", watched)      # goes to the workers with the functions that split pairs and score
+    got = by_id(lm.score(rows))
+    assert len(got) == 700 and all(r["n_tokens"] == 901 for r in got.values())
+    assert by_id(lm.score(rows, broadcast_bytes=0)) == got
+    assert spark.conf.get(common.ARROW_BYTES) == before
+
+
 def test_words_of_odd_texts():
     texts = [None, "", " \t", "a  B\x0bc\x0cd\r\na", "\x1cx \x85y z Ä É\x00 ", "  lead", "x" * 70_000, "ABCÄ İ 𝒳y"]
     for kind in (pa.string(), pa.large_string()):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,8 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 # A side is broadcast only when this many rows, of a bounded width, were counted in it.
 BROADCAST_ROWS = 500_000
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def text_of(column: str) -> Column:
     """The text, a null counted as empty."""
@@ -55,6 +58,17 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is written here hands rows to Python in batches of about ``size`` bytes, or of one larger row."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_BYTES) if before is None else spark.conf.set(ARROW_BYTES, before)
+
+
 def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the counted rows are few; otherwise leave the join to shuffles."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df

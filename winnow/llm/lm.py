@@ -35,7 +35,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.llm.common import Scratch
+from winnow.llm.common import Scratch, batches_of
 from winnow.llm.hashing import constants, mixed
 
 PROBES = 5                  # bits per item; a missing item is taken for present once in 32
@@ -43,7 +43,8 @@ BITS_PER_ITEM = PROBES / math.log(2)
 BIGRAM = 0.6
 HEAVY, HEAVY_BYTES = 60_000, 48
 BUCKET_BYTES = 8 << 20      # text per bucket of the key space
-PART_BYTES = 2 << 20        # text handled at once; a longer document is a part of its own
+BATCH_BYTES = 4 << 20       # rows that Spark hands to a worker at once
+PART_BYTES = 1 << 20        # text handled at once; a longer document is a part of its own
 CHUNK_BYTES = 8 << 20       # text whose keys are sent together where the filter is not broadcast
 FOLDED_KEYS = 1_000_000     # distinct keys a task holds before it sends them
 FOLDED_WORDS = 200_000      # distinct words a task holds before it sends them
@@ -464,19 +465,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", out: Colu
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        (held_out(id_col) if out is None else out).alias("held_out"))
     training = rows.where("NOT held_out")
-    vocab = vocabulary(training, scratch)
+    with batches_of(spark, BATCH_BYTES):
+        vocab = vocabulary(training, scratch)
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
     heavy, threshold = _heavy(vocab)
     known = spark.sparkContext.broadcast((pa.array(list(heavy), pa.binary()), np.array([math.log10(c + 1) for c in heavy.values()])))
     bits = bucket_bits(training)
-    held = scratch.write(segments(training, bits), "filter")
+    with batches_of(spark, BATCH_BYTES):
+        held = scratch.write(segments(training, bits), "filter")
     size = held.agg(F.sum(F.octet_length("packed"))).head()[0] or 0
     if size <= broadcast_bytes:
         whole = Filter(bits, ((r["bucket"], r["size"], r["packed"]) for r in held.toLocalIterator()), size)
         scored = _score_by_broadcast(rows, whole, known, n, v)
     else:
-        scored = _score_by_join(rows, held, bits, known, n, v, scratch)
-    scored = scratch.write(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
+        with batches_of(spark, CHUNK_BYTES):        # a chunk is cut from one batch
+            scored = _score_by_join(rows, held, bits, known, n, v, scratch)
+    with batches_of(spark, BATCH_BYTES):
+        scored = scratch.write(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
     scratch.drop("filter", "chunks")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("t")).select(
         "row", F.col("t.rare").alias("token"), F.col("t.rare_n").alias("times"))
