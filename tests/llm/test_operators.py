@@ -273,6 +273,42 @@ def test_bpe_edits_stop_where_tokens_agree(monkeypatch):
         assert encoder.tokens() == v.merged(edited) and sum(read) < 200     # of up to 400 bytes after the edit
 
 
+def test_bpe_pieces_in_step_equal_one_by_one():
+    rng = random.Random(8)
+    small = {t: i for i, t in enumerate(sorted(RANKS, key=RANKS.get)) if len(t) < 4 or i % 3}     # some are out of reach
+    for ranks in (RANKS, small):
+        v = bpe.Vocabulary(ranks)
+        pieces = [bytes(rng.choice(b"aeinrst\xc3\xa9XY12 ") for _ in range(rng.choice((1, 2, 5, 9, 30)))) for _ in range(900)]
+        pieces += [b"", b"a" * 400, "é".encode() * 90, *rng.sample(sorted(ranks), 200), pieces[3]]
+        ids, counts = bpe.PiecesInStep(v).encode(pieces)
+        got = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == [[ranks[p]] if p in ranks else [ranks[t] for t in v.merged(p)] for p in pieces]
+    bare = bpe.PiecesInStep(bpe.Vocabulary({b"a": 0, b"b": 1, b"ab": 2}))
+    with pytest.raises(ValueError, match="no token ends at byte 99"):
+        bare.encode([b"abab"] * bpe.IN_STEP + [b"abac"] * bpe.IN_STEP)
+
+
+def test_bpe_new_pieces_share_their_steps(monkeypatch):
+    rng, alone = random.Random(9), []
+    texts = [" ".join("".join(rng.choices("aeinrsté1.", k=rng.randint(1, 14))) for _ in range(300)) for _ in range(30)]
+    texts += ["", "x" * 5000, " \n\n  a", "日本" * 40]
+    append = bpe.PieceEncoder.append
+    monkeypatch.setattr(bpe.PieceEncoder, "append", lambda self, more: (alone.append(more), append(self, more))[1])
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [PEER.encode_ordinary(t) for t in texts]
+    assert len(alone) < bpe.IN_STEP         # of some 9000 distinct pieces
+
+    for name, value in (("CACHED_PIECES", 50), ("FRESH_PIECES", 20), ("SLICE_CHARS", 3000), ("PAIR_BITS", 4)):
+        monkeypatch.setattr(bpe, name, value)
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [PEER.encode_ordinary(t) for t in texts]
+
+    encoder = bpe.Encoder({b"a": 0, b"b": 1, b"ab": 2}, r"\S+")
+    with pytest.raises(ValueError):
+        list(encoder.encode(["ab abc"]))
+    assert [ids.tolist() for ids in encoder.encode(["ab aab"])] == [[2, 0, 2]]
+
+
 def test_warc_round_trip(spark):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     html = ["a", "b", None, "", "a", "é" * 1000, inner, inner * 3, "x" + inner, "WARC/1.1\r\n", "z" * 100_000]

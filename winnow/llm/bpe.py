@@ -4,11 +4,12 @@ For every byte prefix of a piece the encoding is unique, so storing its last tok
 last token of a longer prefix is the one token t for which the shorter prefix's last token u and
 t may stand side by side, that is, BPE leaves ``u + t`` as exactly these two. Walking the stored
 tokens back from the end gives the encoding. ``PieceEncoder`` keeps the table, so bytes are
-appended exactly, and an edit re-encodes from the changed byte on.
+appended exactly, and an edit re-encodes from the changed byte on. ``PiecesInStep`` fills the tables
+of many pieces at once: a byte of each at a time, with arrays for what they look up.
 
 Texts are cut by the vocabulary's pattern first. A piece that is itself a token is that token, as
 in the reference library of the vocabulary. Each distinct piece is encoded once per worker while
-it stays in a bounded cache; text is read once, row by row in Arrow batches, without a shuffle.
+it stays in a bounded cache; text is read once, in Arrow batches, without a shuffle.
 
 The vocabulary (a bounded file, MAX_VOCABULARY entries) is broadcast as bytes by its rank.
 
@@ -21,7 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -29,10 +31,16 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from winnow.llm.hashing import SPREAD, Lookup
+
 MAX_VOCABULARY = 300_000
 CACHED_PIECES = 250_000
-CACHED_BYTES = 64           # longer pieces are not cached
+CACHED_CHARS = 8 << 20      # characters of the cached pieces
 CACHED_PAIRS = 400_000
+PAIR_BITS = 20              # a worker's answers for arrays of pairs: 2 ** PAIR_BITS numbers
+IN_STEP = 64                # fewer pieces of a length are not worth arrays
+FRESH_PIECES = 20_000       # new pieces encoded at once
+SLICE_CHARS = 1 << 20       # characters of the texts that wait for them
 NO_TOKEN = -1
 
 
@@ -102,11 +110,14 @@ class Vocabulary:
         if len(self.pairs) >= CACHED_PAIRS:             # the older half goes
             for key in list(islice(self.pairs, CACHED_PAIRS // 2)):
                 del self.pairs[key]
-        first, second = self.bytes[left], self.bytes[right]
-        known = self.pairs[left << 32 | right] = (
-            self.reachable(first) and self.reachable(second) and self._stay_apart(first, second))
+        known = self.pairs[left << 32 | right] = self.fits(left, right)
         return known
 
+    def fits(self, left: int, right: int) -> bool:
+        """The answer of ``compatible``, not kept."""
+        first, second = self.bytes[left], self.bytes[right]
+        return self.reachable(first) and self.reachable(second) and self._stay_apart(first, second)
+
     def _stay_apart(self, left: bytes, right: bytes) -> bool:
         """Merges go by rank, so two neighbours at the boundary stay neighbours until the lower of the ranks that
         extend them; they are merged if their own rank comes first (at equal ranks the left pair does)."""
@@ -187,29 +198,153 @@ class PieceEncoder:
         return [self.vocabulary.bytes[i] for i in self.ids()]
 
 
+class PiecesInStep:
+    """The last token of every prefix of many pieces: the steps of ``PieceEncoder``, each taken by all at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        v = self.vocabulary = vocabulary
+        # A trie of the endings, from their last byte back; node 0 is the empty one.
+        nodes = {ending: i for i, ending in enumerate(v.endings, 1)} | {b"": 0}
+        self.children = Lookup(np.array([nodes[e[1:]] << 8 | e[0] for e in v.endings], np.int64))
+        self.token = np.array([NO_TOKEN, *v.endings.values()], np.int64)
+        self.start = max(v.bytes, default=-1) + 1           # in place of a token: the start of a piece
+        self.sizes = np.zeros(self.start, np.int64)
+        self.sizes[list(v.sizes)] = list(v.sizes.values())
+        self.pairs = np.full(1 << PAIR_BITS, -1, np.int64)  # pair and answer, each at one place; the newest stays
+
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * SPREAD) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+    def _fits(self, pair: int) -> bool:
+        left, right = divmod(pair, self.start + 1)
+        v = self.vocabulary
+        return v.reachable(v.bytes[right]) if left == self.start else v.fits(left, right)
+
+    def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether BPE leaves the tokens of each pair side by side."""
+        pairs = left * (self.start + 1) + right
+        held = self.pairs[self._place(pairs)]
+        known = (held & 1).astype(bool)
+        new = np.flatnonzero(held >> 1 != pairs)
+        if len(new):
+            distinct, of = np.unique(pairs[new], return_inverse=True)
+            fits = np.fromiter(map(self._fits, distinct.tolist()), bool, len(distinct))
+            known[new] = fits[of]
+            self.pairs[self._place(distinct)] = distinct << 1 | fits
+        return known
+
+    def _fill(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Last token of each prefix, at its last byte; the pieces come longest first."""
+        last = np.full(len(data), NO_TOKEN, np.int64)
+        for k in range(lengths[0] if len(lengths) else 0):
+            ends = starts[:np.searchsorted(-lengths, -k)] + k
+            node = np.zeros(len(ends), np.int64)
+            for back in range(k + 1):
+                child, known = self.children.find(node << 8 | data[ends - back])
+                if not known.all():
+                    raise ValueError(f"no token ends at byte {data[ends[~known][0]]}")
+                node = child + 1
+                token = self.token[node]
+                tried = np.flatnonzero(token != NO_TOKEN)
+                left = last[ends[tried] - back - 1] if back < k else np.full(len(tried), self.start)
+                found = tried[self.compatible(left, token[tried])]
+                last[ends[found]] = token[found]
+                rest = np.ones(len(ends), bool)
+                rest[found] = False
+                ends, node = ends[rest], node[rest]
+                if not len(ends):
+                    break
+            else:
+                raise ValueError(f"no token ends at byte {data[ends[0]]}")
+        return last
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one piece after another, and the number of each."""
+        ranks, counts, alone = self.vocabulary.ranks, np.zeros(len(pieces), np.int64), {}
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        whole = np.fromiter((p in ranks for p in pieces), bool, len(pieces))
+        order = np.flatnonzero(~whole)
+        order = order[np.argsort(-lengths[order], kind="stable")]
+        shared = lengths[order[IN_STEP - 1]] if len(order) >= IN_STEP else 0
+        for i in order[lengths[order] > shared].tolist():
+            alone[i] = PieceEncoder(self.vocabulary, pieces[i]).ids()
+            counts[i] = len(alone[i])
+        order = order[lengths[order] <= shared]
+
+        data = np.frombuffer(b"".join([pieces[i] for i in order.tolist()]), np.uint8)
+        ends = np.cumsum(lengths[order])
+        starts = ends - lengths[order]
+        last = self._fill(data, starts, lengths[order])
+        steps = []
+        at = np.flatnonzero(ends > starts)
+        ends = ends[at]
+        while len(at):          # the tokens of all pieces, from their ends back
+            token = last[ends - 1]
+            steps.append((order[at], token))
+            ends = ends - self.sizes[token]
+            more = ends > starts[at]
+            at, ends = at[more], ends[more]
+        for of, _ in steps:
+            counts[of] += 1
+        counts[whole] = 1
+
+        until = np.cumsum(counts)
+        ids = np.zeros(until[-1] if len(until) else 0, np.int32)
+        for i, (of, token) in enumerate(steps):
+            ids[until[of] - 1 - i] = token
+        for i, tokens in alone.items():
+            ids[until[i] - counts[i]:until[i]] = tokens
+        ids[until[whole] - 1] = [ranks[pieces[i]] for i in np.flatnonzero(whole).tolist()]
+        return ids, counts
+
+
 class Encoder:
     """Texts to ids and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary, self.pattern = Vocabulary(ranks), regex.compile(pattern)
-        self._cache: dict[str, tuple[int, ...]] = {}
-
-    def piece(self, text: str) -> tuple[int, ...]:
-        raw = text.encode()
-        whole = self.vocabulary.ranks.get(raw)
-        ids = (whole,) if whole is not None else tuple(PieceEncoder(self.vocabulary, raw).ids())
-        if len(raw) <= CACHED_BYTES:
-            if len(self._cache) >= CACHED_PIECES:       # the older half goes
-                self._cache = dict(islice(self._cache.items(), CACHED_PIECES // 2, None))
-            self._cache[text] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.pattern.findall(text):
-            ids = self._cache.get(piece)
-            out += self.piece(piece) if ids is None else ids
-        return out
+        self.in_step = PiecesInStep(self.vocabulary)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers: dict[str, int] = defaultdict()       # of the cached pieces; a new one gets the next
+        self._numbers.default_factory = self._numbers.__len__
+        self._ids, self._ends, self._chars = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+
+    def _settle(self, waiting: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """Encode the new pieces, then put together the texts that wait, given by the numbers of their pieces."""
+        fresh = list(islice(self._numbers, len(self._ends) - 1, None))
+        if fresh:
+            try:
+                ids, counts = self.in_step.encode([p.encode() for p in fresh])
+            except ValueError:
+                self._forget()
+                raise
+            self._ids = np.concatenate([self._ids, ids])
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(counts)])
+            self._chars += sum(map(len, fresh))
+        pieces = np.concatenate(waiting)
+        first = self._ends[pieces]
+        counts = self._ends[pieces + 1] - first
+        until = np.concatenate([[0], np.cumsum(counts)])
+        ids = self._ids[np.repeat(first - until[:-1], counts) + np.arange(until[-1])]
+        cuts = until[np.cumsum([len(w) for w in waiting])]
+        yield from np.split(ids, cuts[:-1])
+        if len(self._numbers) >= CACHED_PIECES or self._chars >= CACHED_CHARS:
+            self._forget()
+
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Token ids of each text, in turn; one call at a time, as calls share the cache."""
+        waiting, chars = [], 0
+        for text in texts:
+            found = self.pattern.findall(text)
+            waiting.append(np.fromiter(map(self._numbers.__getitem__, found), np.int64, len(found)))
+            chars += len(text)
+            if chars >= SLICE_CHARS or len(self._numbers) - len(self._ends) >= FRESH_PIECES:
+                yield from self._settle(waiting)
+                waiting, chars = [], 0
+        if waiting:
+            yield from self._settle(waiting)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
@@ -240,7 +375,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: s
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         e = _encoder(key, ranks, pattern)
         for texts in batches:
-            yield pd.Series([e.encode(t or "") for t in texts], dtype=object)
+            yield pd.Series(list(e.encode(t or "" for t in texts)), dtype=object)
 
     return docs.withColumn(into, ids(F.col(text)))
 
@@ -276,10 +411,10 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_i
         names = [str(i) for i in range(max(e.vocabulary.bytes, default=0) + 1)]
         for texts in batches:
             rows = []
-            for t in texts:
-                ids = e.encode(t or "")
+            for found in e.encode(t or "" for t in texts):
+                ids = found.tolist()
                 rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                             hashlib.sha256(e.decode(ids)).hexdigest(), *([np.array(ids, np.int32)] if with_ids else [])))
+                             hashlib.sha256(e.decode(ids)).hexdigest(), *([found] if with_ids else [])))
             yield pd.DataFrame(rows, columns=[f.name for f in fields])
 
     return docs.withColumn("bpe", digest(F.col(text)))

@@ -24,51 +24,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
+from winnow.llm.hashing import Lookup
+
 BLANK = "▁"        # fixed value: stands for a space in pieces
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6     # fixed values: kinds of pieces in a model
 NEVER = np.iinfo(np.int32).max
-SPREAD = np.uint64(0x9E3779B97F4A7C15)      # fixed value: 2**64 over the golden ratio, odd
 
 SLICE_CHARS = 1 << 20       # characters whose pre-tokens are listed at once
 KEPT_CHARS = 48             # longer pre-tokens are counted anew in each slice
 KEPT_BYTES = 48 << 20       # estimated size of the kept counts of a worker
 
 
-class Lookup:
-    """Place of each of some distinct numbers, found for whole arrays at once (open addressing)."""
-
-    def __init__(self, keys: np.ndarray):
-        bits = max(4, int(len(keys)).bit_length() + 2)
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.slots, self.places = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
-        waiting, step = np.arange(len(keys)), 0
-        while len(waiting):
-            slot = (self._home(keys[waiting]) + step) & self.mask
-            slot, first = np.unique(slot, return_index=True)
-            free = self.slots[slot] < 0
-            slot, won = slot[free], waiting[first[free]]
-            self.slots[slot], self.places[slot] = keys[won], won
-            waiting, step = np.setdiff1d(waiting, won), step + 1
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
-
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and whether there is one."""
-        slot = self._home(wanted)
-        held = self.slots[slot]
-        known = held == wanted
-        at = np.where(known, self.places[slot], 0)
-        open_ = np.flatnonzero(~known & (held >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & self.mask
-            held = self.slots[slot[open_]]
-            found = open_[held == wanted[open_]]
-            known[found], at[found] = True, self.places[slot[found]]
-            open_ = open_[(held != wanted[open_]) & (held >= 0)]
-        return at, known
-
-
 class Pieces:
     """The tables of a model: characters, pairs that merge, and where merges cannot cross."""
 
